@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import encoding, packing
+from . import encoding, packing, sentences
 
 
 def p7_ids(spark: SparkSession, base: str) -> DataFrame:
@@ -24,5 +24,15 @@ def p8_containers(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack_corpus(table(spark, base, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p7_token_counts, p8_containers)}
+def p9_found(spark: SparkSession, base: str) -> DataFrame:
+    """Sentence units of every document."""
+    return sentences.split_sentences(table(spark, base, "documents"))
+
+
+def p9_sentences(spark: SparkSession, base: str) -> DataFrame:
+    """Sentence units of every document with their text."""
+    return sentences.split_sentences(table(spark, base, "documents"), with_text=True)
+
+
+QUERIES = {f.__name__: f for f in (p7_ids, p7_token_counts, p8_containers, p9_found, p9_sentences)}
 ORACLES: dict[str, str] = {}

@@ -45,6 +45,14 @@ BEFORE_NUMBER = {
     "es": "fig cap pág págs núm art vol secc tab",
     "ru": "рис табл гл стр с п пп разд",
 }
+# Abbreviations that may end a sentence, but do not when it goes on in lower case.
+MAY_BE_FINAL = {
+    "en": "inc ltd corp co bros jr sr etc al a.m p.m u.s u.k dept govt univ assn est min max std orig anon resp ext",
+    "de": "usw u.a etc jh gmbh evtl o.ä",
+    "fr": "etc cie p.m",
+    "es": "etc cía ee.uu",
+    "ru": "г гг т.п т.д др в вв руб тыс млн млрд",
+}
 # Names of months after a German ordinal day.
 MONTHS = "Januar Februar März April Mai Juni Juli August September Oktober November Dezember Jan Feb Mrz Apr Jun Jul Aug Sep Okt Nov Dez".split()
 # Particles by which a Japanese sentence goes on after a quotation.
@@ -54,6 +62,7 @@ BULLETS = "•‣◦▪●○■□∙⁃*"
 
 NEVER = frozenset(w for words in NEVER_FINAL.values() for w in words.split())
 TITLES = frozenset("mr mrs ms messrs dr prof rev hon gen col capt lt sgt mt m mm mme mlle pr sr sra srta sres dra hr fr ud uds sig ing".split())
+FINAL = frozenset(w for words in MAY_BE_FINAL.values() for w in words.split())
 NUMBERED = frozenset(w for words in BEFORE_NUMBER.values() for w in words.split())
 
 _LINE = r"(?:\r\n|[\n\r\x0b\x0c\x85 ])"
@@ -121,9 +130,9 @@ def _goes_on(text: str, opening: int, closing: int, end: int, before: bool) -> b
     if k >= end:
         return False
     c = text[k]
-    if c.islower() or c in ",;:，；：、—–-)]）】" or c in TERMINATORS or c in FULL_STOPS or c in ELLIPSIS:
+    if c.islower() and not _NAME_OF_CALL.match(text, k, end) or c in ",;:，；：、—–-)]）】" or c in TERMINATORS or c in FULL_STOPS or c in ELLIPSIS:
         return True
-    if c.isupper() or c.isdigit() or not c.isalpha():
+    if c.islower() or c.isupper() or c.isdigit() or not c.isalpha():
         return False
     if k == closing + 1:
         if text[opening] in BRACKETS:
@@ -141,7 +150,8 @@ def _full_stop_ends(text: str, start: int, at: int, after: int, end: int) -> boo
     never = low in NEVER and (low not in TITLES or token[0].isupper())
     last = token[-1:]
     uncased = last.isalpha() and not last.islower() and not last.isupper()
-    if c in ",;:，；：、" or c.islower() and not uncased and not (len(token) > 3 and _NAME_OF_CALL.match(text, k, end)):
+    whole = token.isalpha() and len(token) > 2 and low not in NEVER and low not in NUMBERED and low not in FINAL
+    if c in ",;:，；：、" or c.islower() and not uncased and not (k > after and (whole or len(token) > 3 and _NAME_OF_CALL.match(text, k, end))):
         return False
     if k == after:
         if c.isdigit():

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import encoding, packing, sentences
+from . import encoding, packing, scans, sentences
 
 
 def p7_ids(spark: SparkSession, base: str) -> DataFrame:
@@ -34,5 +34,25 @@ def p9_sentences(spark: SparkSession, base: str) -> DataFrame:
     return sentences.split_sentences(table(spark, base, "documents"), with_text=True)
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p7_token_counts, p8_containers, p9_found, p9_sentences)}
+def _titles(spark: SparkSession, base: str) -> list[str]:
+    """Titles of books and chapters: a reference list of fixed size, checked before it is sent."""
+    chapters = table(spark, base, "chapters")
+    names = chapters.select("title").union(chapters.select("book_title")).where(F.length("title") > 0).distinct().limit(10_001)
+    found = sorted(r[0] for r in names.collect())
+    if len(found) > 10_000:
+        raise ValueError("chapters is not the small reference list it should be")
+    return found
+
+
+def p3_found(spark: SparkSession, base: str) -> DataFrame:
+    """Kinds of noise in every chunk."""
+    return scans.find_noise(table(spark, base, "section_chunks"), table(spark, base, "chunks"), _titles(spark, base))
+
+
+def p3_text(spark: SparkSession, base: str) -> DataFrame:
+    """Every chunk's text without what the page scan left in it."""
+    return scans.clean_texts(table(spark, base, "section_chunks"), table(spark, base, "chunks"), _titles(spark, base))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_text, p7_ids, p7_token_counts, p8_containers, p9_found, p9_sentences)}
 ORACLES: dict[str, str] = {}

@@ -49,20 +49,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def hot_keys(df: DataFrame, key: str, at_least: int) -> DataFrame:
-    """Keys with ``at_least`` rows or more: at most rows/at_least of them, so their number is bounded."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= at_least).select(key)
+HOT_ROWS = 100_000
 
 
-def salted_lookup(rows: DataFrame, index: DataFrame, key: str, salts: int = 16, how: str = "left") -> DataFrame:
+def hot_keys(counts: DataFrame, key: str, n: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, from a table of counts.
+
+    There are fewer than rows/hot_rows of them: this bound is what allows their broadcast.
+    """
+    return counts.where((F.col(n) > hot_rows) & F.col(key).isNotNull()).select(key)
+
+
+def salted_lookup(rows: DataFrame, index: DataFrame, key: str, hot: DataFrame, how: str = "left", salts: int = 64) -> DataFrame:
     """Join rows with an index that has one row per key, whatever the skew of ``key`` in rows.
 
-    Every row gets a salt from its own content and every index row one copy per salt, so a key that
-    holds a third of all rows is spread over ``salts`` tasks. Nulls in ``key`` match nothing; under a left
-    join they are spread by the salt as well.
+    ``hot``: the keys to spread, from ``hot_keys``. Rows of a hot key get a salt from their own content and its
+    index row one copy per salt; all other keys join as they are. A null key matches nothing and, under a
+    left join, is spread by the content of its rows.
     """
-    others = [c for c in rows.columns if c != key]
-    salt = F.pmod(F.xxhash64(*(F.col(c) for c in others)), F.lit(salts)).cast("int") if others else F.lit(0)
-    left = rows.withColumn("_salt", salt)
-    right = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    others = [F.col(c) for c in rows.columns if c != key]
+    content = F.pmod(F.xxhash64(*others), F.lit(salts)) if others else F.lit(0).cast("long")
+    flagged = hot.withColumn("_hot", F.lit(True))
+    left = rows.join(F.broadcast(flagged), key, "left").withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), content).otherwise(F.lit(0).cast("long"))).drop("_hot")
+    right = index.join(F.broadcast(flagged), key, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0)).cast("long")))
+    ).drop("_hot")
     return left.join(right, [key, "_salt"], how).drop("_salt")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import encoding, packing, scans, sentences
+from . import cohesion, encoding, groups, packing, scans, sentences
 
 
 def p7_ids(spark: SparkSession, base: str) -> DataFrame:
@@ -34,6 +34,17 @@ def p9_sentences(spark: SparkSession, base: str) -> DataFrame:
     return sentences.split_sentences(table(spark, base, "documents"), with_text=True)
 
 
+def p1_found(spark: SparkSession, base: str) -> DataFrame:
+    """Chunks above the size limit, by the pieces they were split into."""
+    split = cohesion.split_sections(table(spark, base, "section_chunks"))
+    return split.where("source_chars > 2400").select("chunk_id").distinct()
+
+
+def p1_pieces(spark: SparkSession, base: str) -> DataFrame:
+    """Pieces of the present state of every section chunk."""
+    return cohesion.split_sections(cohesion.latest_rows(table(spark, base, "section_chunks"), "chunk_id"))
+
+
 def _titles(spark: SparkSession, base: str) -> list[str]:
     """Titles of books and chapters: a reference list of fixed size, checked before it is sent."""
     chapters = table(spark, base, "chapters")
@@ -54,5 +65,23 @@ def p3_text(spark: SparkSession, base: str) -> DataFrame:
     return scans.clean_texts(table(spark, base, "section_chunks"), table(spark, base, "chunks"), _titles(spark, base))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_text, p7_ids, p7_token_counts, p8_containers, p9_found, p9_sentences)}
-ORACLES: dict[str, str] = {}
+def p4_found(spark: SparkSession, base: str) -> DataFrame:
+    """Every name of a same verdict with the smallest name of its group."""
+    verdicts = groups.same_verdicts(table(spark, base, "merge_decisions"))
+    return groups.connected_groups(verdicts).select(F.col("member").alias("concept_name"), F.col("group_id").alias("group_name"))
+
+
+P4_SQL = """
+WITH RECURSIVE links AS (
+  SELECT a AS u, b AS v FROM merge_decisions WHERE lower(regexp_replace(relation, '^\\s+|\\s+$', '', 'g')) = 'same' AND a IS NOT NULL AND b IS NOT NULL
+), both_ways AS (SELECT u, v FROM links UNION SELECT v, u FROM links),
+reach(s, t) AS (SELECT u, u FROM both_ways UNION SELECT r.s, e.v FROM reach r JOIN both_ways e ON e.u = r.t)
+SELECT s AS concept_name, min(t) AS group_name FROM reach GROUP BY s
+"""
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p3_text, p4_found, p7_ids, p7_token_counts, p8_containers, p9_found, p9_sentences)}
+ORACLES: dict[str, str] = {
+    "p1_found": "SELECT DISTINCT chunk_id FROM section_chunks WHERE length(text) > 2400",
+    "p4_found": P4_SQL,
+}

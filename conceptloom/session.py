@@ -52,21 +52,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 HOT_ROWS = 100_000
 
 
-def hot_keys(counts: DataFrame, key: str, n: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, from a table of counts.
+def hot_keys(counts: DataFrame, key: str, n: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows, from a stored table of counts; None if there are none.
 
     There are fewer than rows/hot_rows of them: this bound is what allows their broadcast.
     """
-    return counts.where((F.col(n) > hot_rows) & F.col(key).isNotNull()).select(key)
+    hot = counts.where((F.col(n) > hot_rows) & F.col(key).isNotNull()).select(key)
+    return None if hot.isEmpty() else hot
 
 
-def salted_lookup(rows: DataFrame, index: DataFrame, key: str, hot: DataFrame, how: str = "left", salts: int = 64) -> DataFrame:
+def salted_lookup(rows: DataFrame, index: DataFrame, key: str, hot: DataFrame | None, how: str = "left", salts: int = 64) -> DataFrame:
     """Join rows with an index that has one row per key, whatever the skew of ``key`` in rows.
 
     ``hot``: the keys to spread, from ``hot_keys``. Rows of a hot key get a salt from their own content and its
     index row one copy per salt; all other keys join as they are. A null key matches nothing and, under a
-    left join, is spread by the content of its rows.
+    left join, is spread by the content of its rows. Without hot keys this is a plain join.
     """
+    if hot is None:
+        return rows.join(index, key, how)
     others = [F.col(c) for c in rows.columns if c != key]
     content = F.pmod(F.xxhash64(*others), F.lit(salts)) if others else F.lit(0).cast("long")
     flagged = hot.withColumn("_hot", F.lit(True))

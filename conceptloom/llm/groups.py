@@ -35,7 +35,7 @@ def connected_groups(pairs: DataFrame, a: str = "a", b: str = "b", hot_rows: int
         if edges.isEmpty():
             break
         # Smallest vertex of each closed neighbourhood, proposed to all of the neighbourhood.
-        smallest = edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("m", "u"))
+        smallest = cut(edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).withColumn("m", F.least("m", "u")))
         hubs = hot_keys(smallest, "u", "n", hot_rows)
         proposed = salted_lookup(edges, smallest.select("u", "m"), "u", hubs).select(F.col("v").alias("u"), "m")
         proposals = cut(proposed.union(smallest.select("u", "m")).distinct())
@@ -48,16 +48,15 @@ def connected_groups(pairs: DataFrame, a: str = "a", b: str = "b", hot_rows: int
         edges = cut(_both_ways(linked).distinct())
     else:
         raise RuntimeError(f"not converged after {rounds} rounds")
-    pruned_all = forest[0].select("member") if forest else None
-    for step in forest[1:]:
-        pruned_all = pruned_all.union(step.select("member"))
-    groups = vertices if pruned_all is None else vertices.join(pruned_all, "member", "left_anti")
-    groups = groups.select("member", F.col("member").alias("group_id"))
-    for step in reversed(forest):
+    seeds = vertices
+    for step in forest:
+        seeds = seeds.join(step.select("member"), "member", "left_anti")
+    groups = seeds.select("member", F.col("member").alias("group_id"))
+    for step in reversed(forest):  # what hangs below vertices of later rounds or seeds; only new rows are written
         above = groups.select(F.col("member").alias("parent"), "group_id")
-        children = step.groupBy("parent").agg(F.count(F.lit(1)).alias("n"))
+        children = cut(step.groupBy("parent").agg(F.count(F.lit(1)).alias("n")))
         below = salted_lookup(step, above, "parent", hot_keys(children, "parent", "n", hot_rows), "inner")
-        groups = cut(groups.union(below.select("member", "group_id")))
+        groups = groups.union(cut(below.select("member", "group_id")))
     return groups
 
 

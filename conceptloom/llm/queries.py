@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import cohesion, encoding, groups, packing, scans, sentences
+from . import cohesion, encoding, groups, neighbours, packing, scans, sentences
 
 
 def p7_ids(spark: SparkSession, base: str) -> DataFrame:
@@ -45,6 +45,21 @@ def p1_pieces(spark: SparkSession, base: str) -> DataFrame:
     return cohesion.split_sections(cohesion.latest_rows(table(spark, base, "section_chunks"), "chunk_id"))
 
 
+def _vectors(spark: SparkSession, base: str) -> DataFrame:
+    concepts = neighbours.usable_vectors(table(spark, base, "concepts"), "concept_id", "concept")
+    return concepts.union(neighbours.usable_vectors(table(spark, base, "chunks"), "chunk_id", "chunk"))
+
+
+def p2_found(spark: SparkSession, base: str) -> DataFrame:
+    """Pairs of concepts and pairs of chunks with a cosine of 0.90 or more."""
+    return neighbours.similar_pairs(_vectors(spark, base), 0.9)
+
+
+def p2_nearest(spark: SparkSession, base: str) -> DataFrame:
+    """The ten most similar others of every concept and every chunk."""
+    return neighbours.nearest(_vectors(spark, base), 10)
+
+
 def _titles(spark: SparkSession, base: str) -> list[str]:
     """Titles of books and chapters: a reference list of fixed size, checked before it is sent."""
     chapters = table(spark, base, "chapters")
@@ -71,6 +86,18 @@ def p4_found(spark: SparkSession, base: str) -> DataFrame:
     return groups.connected_groups(verdicts).select(F.col("member").alias("concept_name"), F.col("group_id").alias("group_name"))
 
 
+P2_SQL = """
+WITH v AS (
+  SELECT 'concept' AS kind, concept_id AS id, any_value(embedding)::DOUBLE[] AS e FROM concepts GROUP BY concept_id
+  UNION ALL SELECT 'chunk', chunk_id, any_value(embedding)::DOUBLE[] FROM chunks GROUP BY chunk_id
+), u AS (
+  SELECT * FROM v WHERE id IS NOT NULL AND len(e) = 64 AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+  AND len(list_filter(e, lambda x: x <> 0)) > 0
+)
+SELECT a.kind, a.id AS id_a, b.id AS id_b FROM u a JOIN u b ON a.kind = b.kind AND a.id < b.id
+WHERE list_cosine_similarity(a.e, b.e) >= 0.9 - 1e-9
+"""
+
 P4_SQL = """
 WITH RECURSIVE links AS (
   SELECT a AS u, b AS v FROM merge_decisions WHERE lower(regexp_replace(relation, '^\\s+|\\s+$', '', 'g')) = 'same' AND a IS NOT NULL AND b IS NOT NULL
@@ -80,8 +107,9 @@ SELECT s AS concept_name, min(t) AS group_name FROM reach GROUP BY s
 """
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p3_found, p3_text, p4_found, p7_ids, p7_token_counts, p8_containers, p9_found, p9_sentences)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_nearest, p3_found, p3_text, p4_found, p7_ids, p7_token_counts, p8_containers, p9_found, p9_sentences)}
 ORACLES: dict[str, str] = {
     "p1_found": "SELECT DISTINCT chunk_id FROM section_chunks WHERE length(text) > 2400",
+    "p2_found": P2_SQL,
     "p4_found": P4_SQL,
 }

@@ -132,7 +132,7 @@ def pairs_in_index(members: pd.DataFrame, probes: pd.DataFrame, free_bits: int,
             b = np.repeat(low[at:to] - (ends[at:to] - c - base), c) + np.arange(int(c.sum()))
             for k in range(0, len(a), block):  # one source with more partners than a block
                 x, y = a[k : k + block], b[k : k + block]
-                near = np.bitwise_count(codes[x] ^ code[y]).sum(axis=1) <= radius
+                near = np.bitwise_count((codes[x] ^ code[y]).view(np.uint64)).sum(axis=1) <= radius
                 if near.any():
                     yield names[x[near]], h[y[near]]
             at = to

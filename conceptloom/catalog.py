@@ -6,6 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import records
+
+MODULES = [records]
+
 
 def flagship(spark: SparkSession, base: str) -> DataFrame:
     """Placeholder until retrieval is in."""
@@ -13,8 +17,10 @@ def flagship(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    """Every query by name."""
+    return {name: f for m in MODULES for name, f in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL by query name."""
+    return {name: sql for m in MODULES for name, sql in m.ORACLES.items()}

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import graph_queries, records, text_queries
+from .plans import graph_queries, merge_queries, records, text_queries
 
-MODULES = [records, text_queries, graph_queries]
+MODULES = [records, text_queries, graph_queries, merge_queries]
 
 
 def flagship(spark: SparkSession, base: str) -> DataFrame:

@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import graph_queries, merge_queries, records, text_queries
+from .plans import graph_queries, merge_queries, records, retrieval_queries, text_queries
 
-MODULES = [records, text_queries, graph_queries, merge_queries]
+MODULES = [records, text_queries, graph_queries, merge_queries, retrieval_queries]
 
 
 def flagship(spark: SparkSession, base: str) -> DataFrame:
-    """Placeholder until retrieval is in."""
-    return spark.read.parquet(f"{base}/concepts.parquet")
+    """Hybrid retrieval: vector seeds, graph expansion and evidence in one ranked table."""
+    return retrieval_queries.hybrid_retrieve(spark, base)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import HOT_ROWS, cut, hot_keys, salted_lookup
@@ -43,11 +43,13 @@ def _merge_index(old: DataFrame | None, new: DataFrame) -> DataFrame:
     return old.union(new).groupBy("pk").agg(F.min("first_created").alias("first_created"), F.max("now").alias("now"))
 
 
-_CAUSE = (
-    F.when(F.col("now").isNull(), "missing")
-    .when(F.col("now.deleted_at").isNotNull(), "deleted")
-    .when(F.col("first_created") > F.col("created_at"), "late")
-)
+def _cause() -> Column:
+    """Why a reference joined with its parent's state fails; null if it holds."""
+    return (
+        F.when(F.col("now").isNull(), "missing")
+        .when(F.col("now.deleted_at").isNotNull(), "deleted")
+        .when(F.col("first_created") > F.col("created_at"), "late")
+    )
 
 
 @dataclass
@@ -63,7 +65,7 @@ class Ledger:
     def _judged(self, refs: DataFrame, index: DataFrame, how: str) -> DataFrame:
         hot = hot_keys(cut(refs.groupBy("pk").agg(F.count(F.lit(1)).alias("n"))), "pk", "n", self.hot_rows)
         found = salted_lookup(refs, index, "pk", hot, how)
-        return found.withColumn("cause", _CAUSE).where("cause IS NOT NULL").select("ref_table", "ref_field", "row_id", "pk", "created_at", "cause")
+        return found.withColumn("cause", _cause()).where("cause IS NOT NULL").select("ref_table", "ref_field", "row_id", "pk", "created_at", "cause")
 
     def period(self, refs: DataFrame, parent_rows: DataFrame, name: str) -> None:
         """Take in one period's references (columns of ``references``) and parent rows (columns of ``parents``)."""

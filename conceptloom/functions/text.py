@@ -10,7 +10,7 @@ import difflib
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as K
 
@@ -125,7 +125,8 @@ def name_keys(c: Column | str, compat: bool = False) -> Column:
 def has_phrase(phrase: Column, text: Column) -> Column:
     """A normalised phrase in normalised text, not inside a longer run of letters and digits."""
     safe = F.regexp_replace(phrase, "([.+])", "\\\\$1")
-    return (phrase != "") & F.regexp_like(text, F.concat(F.lit("(?<![a-z0-9])"), safe, F.lit("(?![a-z0-9])")))
+    # The plain search is cheap and rules out nearly all texts before a pattern is compiled.
+    return (phrase != "") & F.contains(text, phrase) & F.regexp_like(text, F.concat(F.lit("(?<![a-z0-9])"), safe, F.lit("(?![a-z0-9])")))
 
 
 def quote_in_text(quote: Column | str, text: Column | str, compat: bool = False) -> Column:
@@ -184,28 +185,54 @@ def lexically_present(names: Column, text: Column | str, compat: bool = False) -
     return F.exists(names, lambda n: has_phrase(normalize_name(n), t))
 
 
-def name_coverage(names: Column, quote: Column | str, compat: bool = False) -> Column:
-    """The best share of a name's telling words found in a quote, where two or more are found."""
-    seen = words_of(normalize_name(quote, True, compat))
+def telling_words(names: Column) -> Column:
+    """Of each name its singular words that can anchor a quote."""
+    return F.transform(names, lambda n: F.filter(words_of(normalize_name(n, True)), lambda w: (F.length(w) > 2) & ~w.isin(ANCHOR_STOPS)))
+
 
-    def share(name: Column) -> Column:
-        words = F.filter(words_of(normalize_name(name, True)), lambda w: (F.length(w) > 2) & ~w.isin(ANCHOR_STOPS))
+def _coverage(telling: Column, seen: Column) -> Column:
+    def share(words: Column) -> Column:
         both = F.size(F.array_intersect(words, seen))
         return F.when((F.size(words) >= 2) & (both >= 2), both / F.size(words)).otherwise(F.lit(0.0))
 
-    return F.coalesce(F.array_max(F.transform(names, share)), F.lit(0.0))
+    return F.coalesce(F.array_max(F.transform(telling, share)), F.lit(0.0))
+
+
+def name_coverage(names: Column, quote: Column | str, compat: bool = False) -> Column:
+    """The best share of a name's telling words found in a quote, where two or more are found."""
+    return _coverage(telling_words(names), words_of(normalize_name(quote, True, compat)))
+
+
+def anchor_terms(names: Column, definition: Column | str) -> Column:
+    """What ``anchored`` needs of a concept, so that it is made once per concept and not once per quote."""
+    return F.struct(
+        F.filter(F.transform(names, lambda n: normalize_name(n)), lambda n: n != "").alias("plain"),
+        telling_words(names).alias("telling"),
+        content_words(definition, DEFINITION_STOPS, 3).alias("content"),
+    )
+
 
+def anchored(rows: DataFrame, terms: str, quote: str, evidence_type: str) -> DataFrame:
+    """Adds ``anchor`` and ``score``: by what a quote is tied to a concept, and how well.
 
-def anchor(names: Column, definition: Column, quote: Column, evidence_type: Column, compat: bool = False) -> Column:
-    """By what a quote is tied to a concept, and how well: ``anchor``, ``score``."""
-    coverage, overlap = name_coverage(names, quote, compat), definition_overlap(quote, definition, compat)
-    named = lexically_present(names, quote, compat)
+    terms: a column made by ``anchor_terms``; null stands for an unknown concept. A name in the quote comes
+    first, then enough of its telling words, then a definition's overlap.
+    """
+    made = rows.withColumns({"_q": normalize_search(quote), "_w": words_of(normalize_name(quote, True)), "_c": content_words(quote, DEFINITION_STOPS, 3)})
+    made = made.withColumns(
+        {
+            "_named": F.coalesce(F.exists(F.col(f"{terms}.plain"), lambda n: has_phrase(n, F.col("_q"))), F.lit(False)),
+            "_coverage": _coverage(F.col(f"{terms}.telling"), F.col("_w")),
+            "_overlap": F.coalesce(_jaccard(F.col("_c"), F.col(f"{terms}.content")), F.lit(0.0)),
+        }
+    )
     kind = (
-        F.when(named, "name_or_alias_in_quote")
-        .when(coverage >= COVERAGE_FLOOR, "distinctive_name_tokens_in_quote")
-        .when((evidence_type == "definition") & (overlap >= OVERLAP_FLOOR), "definition_overlap")
+        F.when(F.col("_named"), "name_or_alias_in_quote")
+        .when(F.col("_coverage") >= COVERAGE_FLOOR, "distinctive_name_tokens_in_quote")
+        .when((F.col(evidence_type) == "definition") & (F.col("_overlap") >= OVERLAP_FLOOR), "definition_overlap")
     )
-    return F.struct(kind.alias("anchor"), F.when(named, F.lit(1.0)).when(coverage >= COVERAGE_FLOOR, coverage).otherwise(overlap).alias("score"))
+    score = F.when(F.col("_named"), F.lit(1.0)).when(F.col("_coverage") >= COVERAGE_FLOOR, F.col("_coverage")).otherwise(F.col("_overlap"))
+    return made.withColumns({"anchor": kind, "score": score}).drop("_q", "_w", "_c", "_named", "_coverage", "_overlap")
 
 
 def json_object(c: Column) -> Column:
@@ -304,7 +331,7 @@ def strip_labels(c: Column) -> Column:
 
 def label_fragment(c: Column) -> Column:
     """Four lines or more, most of them short, with a sentence at most."""
-    lines = F.filter(F.transform(F.split(c, "\\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(c, "\\n"), lambda x: F.trim(x)), lambda x: x != "")
     short = F.size(F.filter(lines, lambda x: F.length(x) <= 35))
     return (F.size(lines) >= 4) & (short / F.greatest(F.size(lines), F.lit(1)) >= 0.7) & (F.regexp_count(c, F.lit("[.!?](\\s|$)")) <= 1)
 

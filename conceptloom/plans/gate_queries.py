@@ -170,7 +170,7 @@ SELECT mention_id, CASE WHEN NOT known THEN 'unknown_or_non_candidate_concept' W
 WHEN confidence < CASE evidence_type WHEN 'definition' THEN 0.75 WHEN 'mention' THEN 0.75 ELSE 0.7 END THEN 'below_evidence_confidence_threshold' WHEN NOT (named OR coverage >= 0.67 OR (evidence_type = 'definition' AND overlap >= 0.18)) THEN 'quote_not_anchored_to_concept_name_alias_or_definition' END AS reason FROM w""")
 def evidence_validation(spark: SparkSession, base: str) -> DataFrame:
     """Why each mention is refused, or null."""
-    c = V.concepts(spark, base).select("concept_id", "short_definition", _names().alias("names"), F.lit(True).alias("k"))
+    c = V.concepts(spark, base).select("concept_id", T.anchor_terms(_names(), "short_definition").alias("terms"), F.lit(True).alias("k"))
     m = V.mentions(spark, base).join(V.chunks(spark, base).select("chunk_id", "text"), "chunk_id", "left").join(c, "concept_id", "left").withColumn("known", F.coalesce("k", F.lit(False)))
     return K.evidence_reasons(m).select("mention_id", "reason")
 

@@ -205,10 +205,10 @@ round(CASE WHEN named THEN 1.0 WHEN coverage >= 0.67 THEN coverage ELSE overlap
 )
 def anchor_scores(spark: SparkSession, base: str) -> DataFrame:
     """What ties each mention's quote to its concept."""
-    c = V.concepts(spark, base).select("concept_id", "short_definition", F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>"))).alias("names"))
-    both = V.mentions(spark, base).join(c, "concept_id")
-    tied = both.select("mention_id", T.anchor(F.col("names"), F.col("short_definition"), F.col("quote"), F.col("evidence_type")).alias("a"))
-    return tied.select("mention_id", "a.anchor", F.round("a.score", 6).alias("score"))
+    names = F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))
+    c = V.concepts(spark, base).select("concept_id", T.anchor_terms(names, "short_definition").alias("terms"))
+    both = V.mentions(spark, base).select("mention_id", "concept_id", "quote", "evidence_type").join(c, "concept_id")
+    return T.anchored(both, "terms", "quote", "evidence_type").select("mention_id", "anchor", F.round("score", 6).alias("score"))
 
 
 @query("""SELECT event_id, try_cast(json_extract_string(regexp_extract(x, '(?s)(\\{.*\\})', 1), '$.k') AS INT) AS k FROM (SELECT event_id, 'Answer: ' || chr(96) || props || chr(96) || ' done' AS x FROM events)""")

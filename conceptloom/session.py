@@ -78,3 +78,13 @@ def salted_lookup(rows: DataFrame, index: DataFrame, key: str, hot: DataFrame |
         "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0)).cast("long")))
     ).drop("_hot")
     return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores if the input has fewer parts than there are cores.
+
+    Only an input of less than one part per core is shuffled, so what moves is small at any cluster size;
+    larger inputs stay where they are read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .sentences import sentence_spans
 
 _TOKENS = re.compile(r"[぀-ヿ㐀-鿿豈-﫿]|[^\W\d_぀-ヿ㐀-鿿豈-﫿]{2,}")
@@ -160,7 +161,7 @@ def split_sections(chunks: DataFrame, limit: int = 2400, overlap: int = 300) ->
             data = list(zip(*rows)) if rows else [[] for _ in columns]
             yield pa.RecordBatch.from_arrays([pa.array(list(d), t) for d, t in zip(data, kinds)], names=columns)
 
-    return chunks.where(F.length("text") > 0).select(*names).mapInArrow(split, schema)
+    return spread(chunks.where(F.length("text") > 0).select(*names)).mapInArrow(split, schema)
 
 
 def latest_rows(df: DataFrame, key: str, order: str = "loaded_at") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import spread
 from .bytebpe import DEFAULT_VOCABULARY, Encoder
 
 
@@ -17,7 +18,7 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Null and empty texts get the empty list. Repeated rows come out as often as they came in; other columns
     are not read. No shuffle: texts are encoded where they are read, one Arrow batch at a time.
     """
-    source = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+    source = spread(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")))
     schema = T.StructType([source.schema[id_col], T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
 
     def encode(batches):
@@ -33,7 +34,7 @@ def encode_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = DEFAULT_VOCABULARY) -> DataFrame:
     """One row per input row: the id and ``n_tokens`` (0 for null and empty texts)."""
-    source = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+    source = spread(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")))
     schema = T.StructType([source.schema[id_col], T.StructField("n_tokens", T.LongType(), False)])
 
     def count(batches):

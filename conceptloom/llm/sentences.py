@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import spread
+
 # Sentence terminators of the scripts (property Sentence_Terminal), without full stops.
 TERMINATORS = (
     "!?։؝؞؟۔܀܁܂߹࠷࠹࠽࠾।॥၊။።፧፨᙮᜵᜶។៕᠃᠉᥄᥅᪨᪩᪪᪫᭚᭛᭞᭟᰻᰼᱾᱿‼‽⁇⁈⁉⸮⸼⹓⹔。꓿꘎꘏꛳꛷꡶꡷꣎꣏꤯꧈꧉꩝꩞꩟꫰꫱꯫﹖﹗！？｡"
@@ -200,9 +202,11 @@ def _block(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
     cuts = [m.start() for m in _UNSPACED.finditer(text, start, end)] if _HAS_UNSPACED.search(text, start, end) else []
     marker = _MARKER.match(text, start, end)
     begin, at, k, free = start, marker.end() if marker else start, 0, None
+    stop, here = None, -1
     while at < end:
-        stop = _STOP.search(text, at, end)
-        here = stop.start() if stop else end
+        if here < at:  # a terminator ahead stays the next one however many brackets lie before it
+            stop = _STOP.search(text, at, end)
+            here = stop.start() if stop else end
         if k < len(spans) and spans[k][0] < here and spans[k] != free:
             opening, closing = spans[k]
             before = bool(text[begin:opening].strip("﻿ \t\r\n\xa0")) and not (marker and begin == start and opening <= marker.end())
@@ -285,7 +289,7 @@ def split_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null, empty and blank texts have no units. Repeated rows give repeated units. Other columns are not read.
     Texts are split where they are read: no shuffle.
     """
-    source = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"))
+    source = spread(docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text")))
     fields = [source.schema[id_col], T.StructField("sent_start", T.IntegerType(), False), T.StructField("sent_end", T.IntegerType(), False)]
     if with_text:
         fields.append(T.StructField("sentence", T.StringType(), False))

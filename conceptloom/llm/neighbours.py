@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
@@ -216,7 +216,7 @@ def _scan(queries: DataFrame, classes: DataFrame, k: int, query_rows: int = 100_
     all_rows = classes.select("kind", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("role"), "h", "v")
 
     def search(batches):
-        key, names, matrix, best, best_h = None, [], [], None, None
+        key, names, matrix, best, best_h, by_name = None, [], [], None, None, None
 
         def result():
             if best is None:
@@ -240,28 +240,34 @@ def _scan(queries: DataFrame, classes: DataFrame, k: int, query_rows: int = 100_
                     continue
                 if best is None:
                     names, matrix = np.concatenate(names), np.concatenate(matrix)
+                    by_name = np.argsort(names, kind="stable")
                     best = np.full((len(names), k), -2, np.float32)
                     best_h = np.zeros((len(names), k), np.int64)
                 h = part["h"].to_numpy()
+                place = np.minimum(np.searchsorted(names, h, sorter=by_name), len(names) - 1)
+                own_query, own_column = by_name[place], np.flatnonzero(names[by_name[place]] == h)
+                own_query = own_query[own_column]
                 for at in range(0, len(names), 1000):
                     score = matrix[at : at + 1000] @ x.T
-                    score[names[at : at + 1000, None] == h[None, :]] = -3
-                    if score.shape[1] > k and best[at, 0] == -2:
-                        top = np.argpartition(score, -k, axis=1)[:, -k:]
-                        pool, pool_h = np.take_along_axis(score, top, axis=1), h[top]
+                    mine = (own_query >= at) & (own_query < at + len(score))
+                    score[own_query[mine] - at, own_column[mine]] = -3
+                    now, now_h = best[at : at + 1000], best_h[at : at + 1000]
+                    if score.shape[1] > k and now[0, 0] == -2:
+                        c = np.argpartition(score, -k, axis=1)[:, -k:]
                         q = np.repeat(np.arange(len(score)), k)
-                        s, n = pool.ravel(), pool_h.ravel()
+                        c = c.ravel()
                     else:
-                        q, c = np.nonzero(score > best[at : at + 1000].min(axis=1, keepdims=True))
-                        s, n = score[q, c], h[c]
+                        q, c = np.nonzero(score > now.min(axis=1, keepdims=True))
                     if not len(q):
                         continue
-                    for row in np.unique(q):
-                        mine = q == row if len(q) < 64 else slice(*np.searchsorted(q, [row, row + 1]))
-                        all_s = np.concatenate([best[at + row], s[mine]])
-                        all_h = np.concatenate([best_h[at + row], n[mine]])
-                        keep = np.lexsort((all_h, -all_s))[:k]
-                        best[at + row], best_h[at + row] = all_s[keep], np.where(all_s[keep] > -2, all_h[keep], 0)
+                    # Best so far and what beats it, sorted by query, score and name; the first k of each query stay.
+                    row = np.concatenate([np.repeat(np.arange(len(now)), k), q])
+                    value, other = np.concatenate([now.ravel(), score[q, c]]), np.concatenate([now_h.ravel(), h[c]])
+                    order = np.lexsort((other, -value, row))
+                    start = np.searchsorted(row[order], np.arange(len(now)))
+                    keep = order[(start[:, None] + np.arange(k)).ravel()]
+                    best[at : at + 1000] = value[keep].reshape(-1, k)
+                    best_h[at : at + 1000] = np.where(value[keep] > -2, other[keep], 0).reshape(-1, k)
         yield from result()
 
     rows = asked.union(all_rows).repartition("kind", "block").sortWithinPartitions("kind", "block", "role")
@@ -287,8 +293,6 @@ def nearest(vectors: DataFrame, k: int = 10, sure: float = 0.9) -> DataFrame:
     own = classes.select("kind", "h", F.col("h").alias("neighbour"), F.lit(1.0).alias("similarity"))
     all_near = both.join(answered, ["kind", "h"], "left_semi").union(scanned).union(own)
     # The k + 1 smallest ids of a class are enough for any list of k; larger classes of copies lose nothing.
-    from pyspark.sql import Window
-
     first = members.withColumn("n", F.row_number().over(Window.partitionBy("kind", "h").orderBy("id"))).where(F.col("n") <= k + 1).drop("n")
     found = all_near.join(first.select("kind", F.col("h").alias("neighbour"), F.col("id").alias("other")), ["kind", "neighbour"])
     per_class = found.withColumn("n", F.row_number().over(Window.partitionBy("kind", "h").orderBy(F.desc("similarity"), "other"))).where(F.col("n") <= k + 1).drop("n")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,7 +81,7 @@ def pack(sizes: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens", c
     Items up to ``capacity`` stay whole (piece 0). A larger one is cut into full containers and one rest that
     is packed like an item. Sizes that are null or below 1 take no room and have no row. Items are spread by
     the hash of their id over groups of about ``group_rows`` and each group is packed alone, so no task grows
-    with the data; a group leaves at most its last container loose. Rows with equal ids are packed one by one.
+    with the data; a group leaves at most its last container loose. Rows with equal or null ids are packed one by one.
     """
     items = sizes.where(F.col(size_col) >= 1).select(F.col(id_col), F.col(size_col).cast("long").alias("_size"))
     spark = sizes.sparkSession
@@ -92,13 +93,12 @@ def pack(sizes: DataFrame, id_col: str = "doc_id", size_col: str = "n_tokens", c
     )
     id_type = spark.createDataFrame([], sizes.select(id_col).schema).schema[0].dataType.simpleString()
 
-    def one(key, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([id_col, "piece"], kind="stable")
+    def one(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[(id_col, "ascending"), ("piece", "ascending")]))
         number, place = best_two_fit(rows["piece_tokens"].to_numpy(), capacity)
-        rows["container_id"], rows["place"] = int(key[0]) * (1 << 32) + number, place.astype("int32")
-        return rows[[id_col, "piece", "piece_tokens", "container_id", "place"]]
+        return rows.select([id_col, "piece", "piece_tokens"]).append_column("container_id", pa.array(key[0].as_py() * (1 << 32) + number)).append_column("place", pa.array(place.astype("int32")))
 
-    return pieces.groupBy("_group").applyInPandas(one, f"`{id_col}` {id_type}, piece int, piece_tokens long, container_id long, place int")
+    return pieces.groupBy("_group").applyInArrow(one, f"`{id_col}` {id_type}, piece int, piece_tokens long, container_id long, place int")
 
 
 def pack_corpus(docs: DataFrame, capacity: int = 2048, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -139,6 +139,9 @@ def _goes_on(text: str, opening: int, closing: int, end: int, before: bool) -> b
     if k == closing + 1:
         if text[opening] in BRACKETS:
             return before
+        inner = text[opening + 1 : closing].rstrip(last + " ")
+        if before and _cjk(c) and inner and not _cjk(inner[-1]):
+            return False
         return c in PARTICLES if last in "。．." else True
     return not before and last not in FULL_STOPS and last not in "。।"
 
@@ -189,7 +192,7 @@ def _ends(text: str, start: int, at: int, stop: int, after: int, end: int) -> bo
         return _full_stop_ends(text, start, at, after, end)
     if all(x in FULL_STOPS or x in ELLIPSIS for x in run):
         if k == after:
-            return _cjk(c) and at > start and not text[at - 1].isspace()
+            return (_cjk(c) or c in OPENERS and _cjk(text[at - 1])) and at > start and not text[at - 1].isspace()
         return not c.isdigit() and (not c.islower() or bool(_NAME_OF_CALL.match(text, k, end)))
     if k == after and run[-1] in "!?" and c.isalnum():
         return _cjk(c) or c.isupper() and at > start and text[at - 1].islower()

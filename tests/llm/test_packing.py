@@ -25,7 +25,7 @@ def test_two_items_replace_one():
 
 
 def test_pack_in_groups_with_oversized_and_empty_items(spark):
-    rows = [(i, n) for i, n in enumerate([5000, 2048, 1, 0, None, 2047, 300] + [700] * 50)] + [(6, 300)]
+    rows = [(i, n) for i, n in enumerate([5000, 2048, 1, 0, None, 2047, 300] + [700] * 50)] + [(6, 300), (None, 5)]
     out = pack(spark.createDataFrame(rows, "doc_id long, n_tokens long"), group_rows=20).collect()
     load = {}
     for r in out:
@@ -33,5 +33,6 @@ def test_pack_in_groups_with_oversized_and_empty_items(spark):
     assert max(load.values()) <= 2048
     assert sorted(r["piece_tokens"] for r in out if r["doc_id"] == 0) == [904, 2048, 2048]
     assert sum(load.values()) == sum(n for _, n in rows if n)
+    assert sum(r["doc_id"] is None for r in out) == 1
     assert sum(r["doc_id"] == 6 for r in out) == 2 and not [r for r in out if r["doc_id"] in (3, 4)]
     assert pack(spark.createDataFrame([], "doc_id long, n_tokens long")).count() == 0

@@ -206,12 +206,16 @@ def similar_pairs(vectors: DataFrame, similarity: float = 0.9) -> DataFrame:
     return both.select("kind", F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).where("id_a < id_b").distinct()
 
 
-def _scan(queries: DataFrame, classes: DataFrame, k: int, query_rows: int = 100_000) -> DataFrame:
+def _scan(queries: DataFrame, classes: DataFrame, k: int, most_rows: int = 100_000, least_rows: int = 10_000) -> DataFrame:
     """Exact ``k`` nearest classes of a stated set of queries: each block of queries meets all rows in turn.
 
-    Rows stream past a block of queries in Arrow batches; only the best ``k`` of each query are kept.
+    Rows stream past a block of queries in Arrow batches; only the best ``k`` of each query are kept. Blocks are
+    as many as there are cores while they hold ``least_rows`` queries or more, and hold ``most_rows`` at most: every
+    row is sent once for each block.
     """
-    blocks = max(1, -(-queries.count() // query_rows))
+    asked_rows = queries.count()
+    block_rows = max(least_rows, min(most_rows, -(-asked_rows // queries.sparkSession.sparkContext.defaultParallelism)))
+    blocks = max(1, -(-asked_rows // block_rows))
     asked = queries.select("kind", F.pmod("h", F.lit(blocks)).cast("int").alias("block"), F.lit(0).alias("role"), "h", "v")
     all_rows = classes.select("kind", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("role"), "h", "v")
 
@@ -270,7 +274,7 @@ def _scan(queries: DataFrame, classes: DataFrame, k: int, query_rows: int = 100_
                     best_h[at : at + 1000] = np.where(value[keep] > -2, other[keep], 0).reshape(-1, k)
         yield from result()
 
-    rows = asked.union(all_rows).repartition("kind", "block").sortWithinPartitions("kind", "block", "role")
+    rows = asked.union(all_rows).repartition(4 * blocks, "kind", "block").sortWithinPartitions("kind", "block", "role")
     return rows.mapInPandas(search, "kind string, h long, neighbour long, similarity double")
 
 

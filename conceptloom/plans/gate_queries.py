@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import aliases as A
 from ..operators import candidates as C
 from ..operators import validate as K
 from ..session import table
@@ -264,3 +265,35 @@ def merge_actions(spark: SparkSession, base: str) -> DataFrame:
     verdict, sure = F.lower(F.trim("relation")), F.col("confidence") >= 0.85
     action = F.when((verdict == "same") & sure, "MERGE").when((verdict == "subset") & sure & F.col("parent").isNotNull() & F.col("child").isNotNull(), "SUBTYPE").otherwise("KEEP")
     return table(spark, base, "merge_decisions").groupBy("a", "b", "confidence", action.alias("action")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_SAID = "t AS (SELECT concept_id, canonical_name AS n, regexp_replace(canonical_name, '[^A-Z]', '', 'g') AS ac FROM g_concept WHERE regexp_full_match(canonical_name, '[A-Z][A-Za-z-]{2,40}( [A-Z][A-Za-z-]{2,40}){0,3}'))"
+
+
+@query(V.sql("g_concept") + f", {_SAID}, k AS (SELECT lower(x) AS k, min(x) AS name FROM (SELECT n AS x FROM t UNION SELECT ac FROM t) GROUP BY 1), p AS (SELECT DISTINCT a.name AS canonical, b.name AS alias, concept_id FROM t JOIN k a ON a.k = lower(n) JOIN k b ON b.k = lower(ac) WHERE regexp_full_match(ac, '[A-Z][A-Za-z]{{1,20}}') AND lower(n) <> lower(ac)) SELECT canonical, alias, min(concept_id) AS seen_in FROM p GROUP BY 1, 2")
+def alias_patterns(spark: SparkSession, base: str) -> DataFrame:
+    """Acronyms stated in brackets after a name."""
+    c = V.concepts(spark, base).where(F.col("canonical_name").rlike("^[A-Z][A-Za-z-]{2,40}( [A-Z][A-Za-z-]{2,40}){0,3}$"))
+    c = c.select("concept_id", "canonical_name", F.regexp_replace("canonical_name", "[^A-Z]", "").alias("ac"))
+    texts = c.select("concept_id", F.concat("canonical_name", F.lit(" ("), "ac", F.lit(")")).alias("text"))
+    names = c.select(F.col("canonical_name").alias("name"), F.lit(True).alias("core")).union(c.select("ac", F.lit(False))).groupBy("name").agg(F.bool_or("core").alias("core"))
+    return A.stated_aliases(texts, "concept_id", "text", names)
+
+
+@query("""WITH al AS (SELECT child AS alias, min(parent) AS canonical FROM subtype_edges WHERE child IS NOT NULL AND parent IS NOT NULL AND child <> parent GROUP BY child), n AS (SELECT DISTINCT x AS name FROM (SELECT unnest([parent, child]) AS x FROM subtype_edges) WHERE x IS NOT NULL),
+m AS (SELECT coalesce(canonical, name) AS target, CASE WHEN canonical IS NOT NULL THEN name END AS extra FROM n LEFT JOIN al ON alias = name) SELECT target AS name, coalesce(array_to_string(list_sort(list_distinct(list(extra) FILTER (extra IS NOT NULL AND extra <> target))), '|'), '') AS aliases FROM m GROUP BY target""")
+def alias_fold(spark: SparkSession, base: str) -> DataFrame:
+    """Children of a hierarchy folded into their first parent as aliases."""
+    s = table(spark, base, "subtype_edges")
+    al = s.where("child IS NOT NULL AND parent IS NOT NULL AND child <> parent").groupBy(F.col("child").alias("alias")).agg(F.min("parent").alias("canonical"))
+    n = s.select(F.explode(F.array("parent", "child")).alias("name")).where("name IS NOT NULL").distinct()
+    out = A.fold(n.select("name", F.array().cast("array<string>").alias("aliases"), F.lit("").alias("definition")), al)
+    return out.select("name", F.array_join("aliases", "|").alias("aliases"))
+
+
+@query(V.sql("g_concept") + ", x AS (SELECT DISTINCT canonical_name AS n FROM g_concept UNION SELECT DISTINCT p_name FROM part), e AS (SELECT 'red widget' AS n, 'RedWidgetUnit' AS c) SELECT x.n AS name, coalesce(c, array_to_string(list_transform(list_filter(string_split(regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(x.n, '([A-Z]+)([A-Z][a-z])', '\\1 \\2', 'g'), '([a-z0-9])([A-Z])', '\\1 \\2', 'g'), '([A-Za-z])([0-9])', '\\1 \\2', 'g')), '[^A-Za-z0-9]+', ' ', 'g'), ' '), lambda w: w <> ''), lambda w: upper(w[1]) || substr(w, 2)), '')) AS canonical FROM x LEFT JOIN e ON e.n = x.n WHERE x.n IS NOT NULL")
+def canonical_spellings(spark: SparkSession, base: str) -> DataFrame:
+    """Canonical spellings by a map and by rule."""
+    x = V.concepts(spark, base).select(F.col("canonical_name").alias("name")).union(table(spark, base, "part").select("p_name")).where("name IS NOT NULL").distinct()
+    exact = spark.createDataFrame([("red widget", "RedWidgetUnit")], "name string, canonical string")
+    return A.canonical_names(x, "name", exact).select("name", "canonical")

@@ -108,7 +108,7 @@ def audit_evidence(spark: SparkSession, base: str) -> DataFrame:
     from ..operators.merge import top_per_key
 
     k = V.chunks(spark, base)
-    preferred = V.mentions(spark, base).where("evidence_type = 'definition'").select("chunk_id").distinct().withColumn("p", F.lit(100))
+    preferred = V.mentions(spark, base, "evidence_type").where("evidence_type = 'definition'").select("chunk_id").distinct().withColumn("p", F.lit(100))
     named = C.phrase_hits(k, "chunk_id", "text", _heads(spark, base)).groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"))
     s = k.select("chapter_id", "chunk_id").join(preferred, "chunk_id", "left").join(named, "chunk_id", "left").select("chapter_id", "chunk_id", (F.coalesce("p", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("score"))
     return top_per_key(s, ["chapter_id"], [F.desc("score"), "chunk_id"], 2).drop("place")
@@ -131,7 +131,7 @@ def pair_context(spark: SparkSession, base: str) -> DataFrame:
 
     r = V.relations(spark, base).where("source_concept_id <> target_concept_id")
     f = r.select(F.least("source_concept_id", "target_concept_id").alias("a"), F.greatest("source_concept_id", "target_concept_id").alias("b"), F.explode("evidence.chunk_id").alias("chunk_id")).withColumn("pri", F.lit(0))
-    m = V.mentions(spark, base).select("concept_id", "chunk_id").distinct()
+    m = V.mentions(spark, base, "concept_id", "chunk_id").select("concept_id", "chunk_id").distinct()
     pairs = f.select("a", "b").distinct()
     shared = pairs.join(m.withColumnRenamed("concept_id", "a"), "a").join(m.withColumnRenamed("concept_id", "b"), ["b", "chunk_id"]).select("a", "b", "chunk_id", F.lit(1).alias("pri"))
     u = f.union(shared).where("chunk_id IS NOT NULL").groupBy("a", "b", "chunk_id").agg(F.min("pri").alias("pri"))
@@ -172,7 +172,7 @@ WHEN confidence < CASE evidence_type WHEN 'definition' THEN 0.75 WHEN 'mention'
 def evidence_validation(spark: SparkSession, base: str) -> DataFrame:
     """Why each mention is refused, or null."""
     c = V.concepts(spark, base).select("concept_id", T.anchor_terms(_names(), "short_definition").alias("terms"), F.lit(True).alias("k"))
-    m = V.mentions(spark, base).join(V.chunks(spark, base).select("chunk_id", "text"), "chunk_id", "left").join(c, "concept_id", "left").withColumn("known", F.coalesce("k", F.lit(False)))
+    m = V.mentions(spark, base).join(V.chunks(spark, base, "chunk_id", "text").select("chunk_id", "text"), "chunk_id", "left").join(c, "concept_id", "left").withColumn("known", F.coalesce("k", F.lit(False)))
     return K.evidence_reasons(m).select("mention_id", "reason")
 
 
@@ -221,7 +221,7 @@ f AS (SELECT *, regexp_matches(name, '^[a-z_][a-z0-9_]{0,3}$|^[A-Z]\\d*$') AS v,
 p AS (SELECT concept_id, v, g, (d > 0)::INT + (o >= 5)::INT + (NOT v AND NOT ro)::INT + (k >= 3)::INT + (r >= 2)::INT + (NOT g)::INT + (NOT call)::INT AS points FROM f) SELECT concept_id, points, CASE WHEN v OR g THEN 'REJECT' WHEN points >= 5 THEN 'ACCEPT' WHEN points >= 3 THEN 'DEMOTE' ELSE 'REJECT' END AS verdict FROM p""")
 def admission_verdicts(spark: SparkSession, base: str) -> DataFrame:
     """Verdicts on concepts by their use."""
-    m = V.mentions(spark, base).groupBy("concept_id").agg(F.count_if(F.col("evidence_type") == "definition").alias("definitions"), F.count(F.lit(1)).alias("occurrences"), F.countDistinct("chunk_id").alias("chunks"))
+    m = V.mentions(spark, base, "evidence_type").groupBy("concept_id").agg(F.count_if(F.col("evidence_type") == "definition").alias("definitions"), F.count(F.lit(1)).alias("occurrences"), F.countDistinct("chunk_id").alias("chunks"))
     r = V.relations(spark, base).select(F.explode(F.array("source_concept_id", "target_concept_id")).alias("concept_id")).groupBy("concept_id").agg(F.count(F.lit(1)).alias("relations"))
     n = V.concepts(spark, base).select("concept_id", F.col("canonical_name").alias("name")).join(m, "concept_id", "left").join(r, "concept_id", "left").na.fill(0)
     return K.admission(n).select("concept_id", "points", "verdict")
@@ -230,7 +230,7 @@ def admission_verdicts(spark: SparkSession, base: str) -> DataFrame:
 @query(V.sql("g_concept", "g_mention") + ", d AS (SELECT concept_id, bool_or(evidence_type = 'definition' AND confidence >= 0.75) AS defined FROM g_mention GROUP BY 1) SELECT concept_id, upper(trim(status)) = 'APPROVED' OR coalesce(defined, false) AS formal FROM g_concept LEFT JOIN d USING (concept_id)".replace("upper(trim(status)) = 'APPROVED'", "coalesce(upper(trim(status)) = 'APPROVED', false)"))
 def formal_promotion(spark: SparkSession, base: str) -> DataFrame:
     """Concepts that are formal by state or by a definition."""
-    d = V.mentions(spark, base).groupBy("concept_id").agg(F.bool_or((F.col("evidence_type") == "definition") & (F.col("confidence") >= 0.75)).alias("defined"))
+    d = V.mentions(spark, base, "evidence_type", "confidence").groupBy("concept_id").agg(F.bool_or((F.col("evidence_type") == "definition") & (F.col("confidence") >= 0.75)).alias("defined"))
     ok = F.coalesce(F.upper(F.trim("status")) == "APPROVED", F.lit(False)) | F.coalesce("defined", F.lit(False))
     return V.concepts(spark, base).join(d, "concept_id", "left").select("concept_id", ok.alias("formal"))
 

@@ -19,13 +19,13 @@ _TYPES = ", ".join(f"'{t}'" for t in EXPANSION)
 
 
 def _edges(spark: SparkSession, base: str) -> DataFrame:
-    r = V.relations(spark, base).where("relation IS NOT NULL")
+    r = V.relations(spark, base, "relation").where("relation IS NOT NULL")
     return r.select(F.col("source_concept_id").alias("source"), F.col("target_concept_id").alias("target"), "relation", "confidence", "relation_id")
 
 
 def _seeds(spark: SparkSession, base: str) -> DataFrame:
     """The five concepts that are mentioned most."""
-    return V.mentions(spark, base).groupBy(F.col("concept_id").alias("node")).count().orderBy(F.desc("count"), "node").limit(5).select("node")
+    return V.mentions(spark, base, "concept_id").groupBy(F.col("concept_id").alias("node")).count().orderBy(F.desc("count"), "node").limit(5).select("node")
 
 
 _REL = "e AS (SELECT source_concept_id AS source, target_concept_id AS target, relation, confidence, relation_id FROM g_relation WHERE relation IS NOT NULL)"
@@ -107,7 +107,7 @@ def subtypes_parents(spark: SparkSession, base: str) -> DataFrame:
 @query(V.sql("g_concept") + "SELECT concept_id, canonical_name, short_definition, chapter_id FROM g_concept")
 def all_concepts(spark: SparkSession, base: str) -> DataFrame:
     """All concepts by name."""
-    return V.concepts(spark, base).select("concept_id", "canonical_name", "short_definition", "chapter_id").orderBy("canonical_name", "concept_id")
+    return V.concepts(spark, base, "concept_id", "canonical_name", "short_definition", "chapter_id").select("concept_id", "canonical_name", "short_definition", "chapter_id").orderBy("canonical_name", "concept_id")
 
 
 @query(V.sql("g_prereq", recursive=True) + """, reach(s, t) AS (SELECT source, target FROM g_prereq UNION SELECT r.s, p.target FROM reach r JOIN g_prereq p ON p.source = r.t)
@@ -212,7 +212,7 @@ def fast_merge(spark: SparkSession, base: str) -> DataFrame:
 @query(V.sql("g_concept") + ", up AS (SELECT concept_id, broader_concept_id FROM g_concept WHERE broader_concept_id IS NOT NULL)" + " SELECT c.concept_id, c.canonical_name, count(DISTINCT k.concept_id) AS children, count(DISTINCT s.concept_id) AS siblings FROM g_concept c LEFT JOIN up k ON k.broader_concept_id = c.concept_id LEFT JOIN up me ON me.concept_id = c.concept_id LEFT JOIN up s ON s.broader_concept_id = me.broader_concept_id AND s.concept_id <> c.concept_id GROUP BY ALL")
 def concept_neighbourhood(spark: SparkSession, base: str) -> DataFrame:
     """Children and siblings of every concept, counted by parent before any join."""
-    c = V.concepts(spark, base).select("concept_id", "canonical_name", "broader_concept_id")
+    c = V.concepts(spark, base, "concept_id", "canonical_name", "broader_concept_id").select("concept_id", "canonical_name", "broader_concept_id")
     held = c.where("broader_concept_id IS NOT NULL").groupBy("broader_concept_id").agg(F.countDistinct("concept_id").alias("n"))
     children = held.select(F.col("broader_concept_id").alias("concept_id"), F.col("n").alias("children"))
     near = c.join(children, "concept_id", "left").join(held, "broader_concept_id", "left")

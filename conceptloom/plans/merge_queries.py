@@ -61,7 +61,7 @@ def evidence_strength(spark: SparkSession, base: str) -> DataFrame:
     kind, sure = F.col("evidence_type"), F.col("confidence")
     strong = ((kind == "definition") & (sure >= 0.75)) | (kind.isin("example", "usage") & (sure >= 0.8))
     counts = [F.count_if(kind == k).alias(k) for k in ("definition", "example", "usage", "mention")]
-    return V.mentions(spark, base).where("evidence_type IS NOT NULL").groupBy("concept_id").agg(F.bool_or(strong).alias("strong"), *counts)
+    return V.mentions(spark, base, "evidence_type", "confidence").where("evidence_type IS NOT NULL").groupBy("concept_id").agg(F.bool_or(strong).alias("strong"), *counts)
 
 
 _PRE = "SELECT a AS source, b AS target, coalesce(confidence, 0.0) AS confidence, row_number() OVER (ORDER BY a, b, relation NULLS FIRST, confidence NULLS FIRST, reason NULLS FIRST) AS arrival FROM merge_decisions WHERE a IS NOT NULL AND b IS NOT NULL"
@@ -79,7 +79,7 @@ def prereq_dedup_arbitrated(spark: SparkSession, base: str) -> DataFrame:
 @query(V.sql("g_mention") + ", b AS (SELECT chunk_id, concept_id, max(confidence) AS best FROM g_mention GROUP BY 1, 2) SELECT chunk_id, concept_id, round(best, 6) AS best, row_number() OVER (PARTITION BY chunk_id ORDER BY best DESC, concept_id) AS place FROM b QUALIFY place <= 10")
 def best_per_chunk_top10(spark: SparkSession, base: str) -> DataFrame:
     """The ten surest concepts of every chunk."""
-    b = V.mentions(spark, base).groupBy("chunk_id", "concept_id").agg(F.max("confidence").alias("best"))
+    b = V.mentions(spark, base, "confidence").groupBy("chunk_id", "concept_id").agg(F.max("confidence").alias("best"))
     return M.top_per_key(b, ["chunk_id"], [F.desc("best"), "concept_id"], 10).withColumn("best", F.round("best", 6))
 
 
@@ -114,7 +114,7 @@ def dual_relations(spark: SparkSession, base: str) -> DataFrame:
 @query(V.sql("g_mention") + "SELECT concept_id, count(DISTINCT chunk_id) AS chunks FROM g_mention GROUP BY concept_id")
 def mention_counts(spark: SparkSession, base: str) -> DataFrame:
     """Chunks that mention each concept."""
-    return V.mentions(spark, base).select("concept_id", "chunk_id").distinct().groupBy("concept_id").agg(F.count(F.lit(1)).alias("chunks"))
+    return V.mentions(spark, base, "concept_id", "chunk_id").select("concept_id", "chunk_id").distinct().groupBy("concept_id").agg(F.count(F.lit(1)).alias("chunks"))
 
 
 @query(V.sql("g_concept") + f", a AS (SELECT concept_id, canonical_name, unnest(aliases) AS alias FROM g_concept), k AS (SELECT DISTINCT {S.name('alias')} AS alias_key, concept_id, canonical_name FROM a) SELECT alias_key, count(*) AS concepts, min(canonical_name) AS first_name, CASE WHEN length(alias_key) <= 4 THEN 'HIGH' ELSE 'MEDIUM' END AS risk FROM k WHERE alias_key <> '' GROUP BY alias_key HAVING count(*) > 1")
@@ -141,7 +141,7 @@ def derived_concepts(spark: SparkSession, base: str) -> DataFrame:
 @query(V.sql("g_concept", "g_mention") + "SELECT c.chapter_id, count(*) AS concepts, count_if(m.concept_id IS NOT NULL) AS evidenced, round(count_if(m.concept_id IS NOT NULL) / count(*), 4) AS rate FROM g_concept c LEFT JOIN (SELECT DISTINCT concept_id FROM g_mention) m USING (concept_id) GROUP BY c.chapter_id")
 def coverage_report(spark: SparkSession, base: str) -> DataFrame:
     """Concepts with evidence by chapter."""
-    c = V.concepts(spark, base).join(V.mentions(spark, base).select("concept_id").distinct().withColumn("e", F.lit(1)), "concept_id", "left")
+    c = V.concepts(spark, base, "chapter_id").join(V.mentions(spark, base, "concept_id").select("concept_id").distinct().withColumn("e", F.lit(1)), "concept_id", "left")
     return c.groupBy("chapter_id").agg(F.count(F.lit(1)).alias("concepts"), F.count("e").alias("evidenced"), F.round(F.count("e") / F.count(F.lit(1)), 4).alias("rate"))
 
 
@@ -161,14 +161,14 @@ def chunk_length_stats(spark: SparkSession, base: str) -> DataFrame:
 @query(V.sql("g_chunk") + "SELECT chapter_id, primary_section, count(*) AS n FROM g_chunk GROUP BY ALL")
 def section_distribution(spark: SparkSession, base: str) -> DataFrame:
     """Chunks by section."""
-    return V.chunks(spark, base).groupBy("chapter_id", "primary_section").agg(F.count(F.lit(1)).alias("n"))
+    return V.chunks(spark, base, "chapter_id", "primary_section").groupBy("chapter_id", "primary_section").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(V.sql("g_concept", "g_relation") + "SELECT (SELECT count(*) FROM g_concept) AS concepts, (SELECT count(*) FROM g_relation WHERE relation = 'HAS_SUBTYPE') AS subtypes, (SELECT count(*) FROM prerequisite_edges) AS prerequisites, (SELECT count(DISTINCT book_id) FROM chapters) AS books")
 def graph_stats(spark: SparkSession, base: str) -> DataFrame:
     """Four counts in one row."""
-    one = V.concepts(spark, base).agg(F.count(F.lit(1)).alias("concepts"))
-    two = V.relations(spark, base).where("relation = 'HAS_SUBTYPE'").agg(F.count(F.lit(1)).alias("subtypes"))
+    one = V.concepts(spark, base, "concept_id").agg(F.count(F.lit(1)).alias("concepts"))
+    two = V.relations(spark, base, "relation").where("relation = 'HAS_SUBTYPE'").agg(F.count(F.lit(1)).alias("subtypes"))
     three = table(spark, base, "prerequisite_edges").agg(F.count(F.lit(1)).alias("prerequisites"))
     four = table(spark, base, "chapters").agg(F.countDistinct("book_id").alias("books"))
     key = lambda df: df.withColumn("_one", F.lit(1))  # noqa: E731 - single rows meet on a constant
@@ -178,7 +178,7 @@ def graph_stats(spark: SparkSession, base: str) -> DataFrame:
 @query(V.sql("g_chunk") + "SELECT chunk_id, lead(chunk_id) OVER (PARTITION BY chapter_id ORDER BY seq NULLS FIRST, chunk_id) AS next_chunk FROM g_chunk")
 def chunk_neighbours(spark: SparkSession, base: str) -> DataFrame:
     """The chunk that follows in its chapter."""
-    return V.chunks(spark, base).select("chunk_id", F.lead("chunk_id").over(Window.partitionBy("chapter_id").orderBy("seq", "chunk_id")).alias("next_chunk"))
+    return V.chunks(spark, base, "chapter_id", "seq").select("chunk_id", F.lead("chunk_id").over(Window.partitionBy("chapter_id").orderBy("seq", "chunk_id")).alias("next_chunk"))
 
 
 @query("SELECT 'concepts' AS tbl, concept_id AS key, count(*) AS n FROM concepts WHERE concept_id IS NOT NULL GROUP BY ALL HAVING count(*) > 1 UNION ALL SELECT 'mentions', mention_id::VARCHAR, count(*) FROM mentions GROUP BY ALL HAVING count(*) > 1 UNION ALL SELECT 'relations', relation_id::VARCHAR, count(*) FROM relations GROUP BY ALL HAVING count(*) > 1")
@@ -210,7 +210,7 @@ def upsert_concepts(spark: SparkSession, base: str) -> DataFrame:
 SELECT coalesce(o.chunk_id, n.chunk_id) AS chunk_id, coalesce(o.concept_id, n.concept_id) AS concept_id, round(greatest(o.confidence, n.confidence), 6) AS confidence, coalesce(o.n, 0) + coalesce(n.n, 0) AS n FROM o FULL JOIN n ON o.chunk_id = n.chunk_id AND o.concept_id = n.concept_id""")
 def upsert_mentions(spark: SparkSession, base: str) -> DataFrame:
     """M8, M9: mentions of two periods merged: greatest confidence, counts added."""
-    m = V.mentions(spark, base)
+    m = V.mentions(spark, base, "confidence", "loaded_at")
     batch = lambda df: df.groupBy("chunk_id", "concept_id").agg(F.max("confidence").alias("confidence"), F.count(F.lit(1)).alias("n"))
     out = M.merge_upsert(batch(m.where(F.col("loaded_at") < _SPLIT)), batch(m.where(F.col("loaded_at") >= _SPLIT)), ["chunk_id", "concept_id"], {"confidence": "maximum", "n": "add"})
     return out.withColumn("confidence", F.round("confidence", 6))

@@ -34,7 +34,7 @@ def _question(spark: SparkSession, base: str) -> list[float]:
 def _with_vectors(spark: SparkSession, base: str, name: str) -> DataFrame:
     key = "concept_id" if name == "concepts" else "chunk_id"
     v = table(spark, base, name).where(F.col(key).isNotNull()).groupBy(key).agg(F.any_value("embedding").alias("embedding"))
-    return V.present(spark, base, name).where("deleted_at IS NULL").join(v, key)
+    return V.present(spark, base, name, "canonical_name", "short_definition", "chapter_id", "deleted_at").where("deleted_at IS NULL").join(v, key)
 
 
 @query(V.sql("g_concept", "g_chunk") + f", {_VEC} SELECT chunk_id, chapter_id, round({_COS.format('e')}, 6) AS score FROM gk, q ORDER BY {_COS.format('e')} DESC, chunk_id LIMIT 6")
@@ -104,7 +104,7 @@ def concept_chunks_topn(spark: SparkSession, base: str) -> DataFrame:
     """Chunks that mention most of the 50 nearest concepts."""
     s = X.top_k(_with_vectors(spark, base, "concepts"), _question(spark, base), 50, "concept_id").select("concept_id")
     none = V.chunks(spark, base).limit(0).select("chunk_id")
-    return R.evidence_chunks(V.mentions(spark, base), s, none, 12).withColumn("score", F.round("score", 6))
+    return R.evidence_chunks(V.mentions(spark, base, "concept_id"), s, none, 12).withColumn("score", F.round("score", 6))
 
 
 _HYBRID = V.sql("g_concept", "g_chunk", "g_mention", "g_relation") + f""", {_VEC}, hits AS (SELECT chunk_id, {_COS.format('e')} AS score FROM gk, q ORDER BY score DESC, chunk_id LIMIT 5),
@@ -134,7 +134,7 @@ def hybrid_chunks(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _hybrid(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return R.hybrid(_question(spark, base), _with_vectors(spark, base, "concepts"), _with_vectors(spark, base, "chunks"), V.mentions(spark, base), V.relations(spark, base), EXPANSION)
+    return R.hybrid(_question(spark, base), _with_vectors(spark, base, "concepts"), _with_vectors(spark, base, "chunks"), V.mentions(spark, base, "concept_id"), V.relations(spark, base, "relation"), EXPANSION)
 
 
 _SOME = "(SELECT k AS concept_id, array_to_string(list(v ORDER BY v), '|') AS vs FROM (SELECT DISTINCT {0} AS k, {1} AS v FROM {2} QUALIFY row_number() OVER (PARTITION BY k ORDER BY v) <= 3) GROUP BY k)"
@@ -150,8 +150,8 @@ LEFT JOIN {_some('source', 'target', "(SELECT * FROM e WHERE relation IN ('USES'
 LEFT JOIN {_some('target', 'source', "(SELECT * FROM e WHERE relation = 'HAS_SUBTYPE')")} g USING (concept_id)""")
 def concept_context(spark: SparkSession, base: str) -> DataFrame:
     """What surrounds every concept."""
-    e = V.relations(spark, base).select(F.col("source_concept_id").alias("source"), F.col("target_concept_id").alias("target"), "relation")
-    return R.context(V.concepts(spark, base), V.mentions(spark, base), e)
+    e = V.relations(spark, base, "relation").select(F.col("source_concept_id").alias("source"), F.col("target_concept_id").alias("target"), "relation")
+    return R.context(V.concepts(spark, base, "concept_id"), V.mentions(spark, base, "concept_id"), e)
 
 
 @query(V.sql("g_concept", "g_chunk", "g_mention") + f""", {_VEC}, s AS (SELECT concept_id, canonical_name, {_COS.format('e')} AS score FROM gc, q ORDER BY score DESC, canonical_name LIMIT 5),
@@ -161,7 +161,7 @@ def seed_retrieve(spark: SparkSession, base: str) -> DataFrame:
     """The five nearest concepts with their subtypes and chunks, all seeds in one join."""
     s = X.scored(_with_vectors(spark, base, "concepts"), _question(spark, base)).orderBy(F.desc("score"), "canonical_name").limit(5).select("concept_id", "canonical_name", "score")
     below = V.concepts(spark, base).where("broader_concept_id IS NOT NULL").groupBy(F.col("broader_concept_id").alias("concept_id")).agg(F.countDistinct("concept_id").alias("below"))
-    chunks = V.mentions(spark, base).groupBy("concept_id").agg(F.countDistinct("chunk_id").alias("chunks"))
+    chunks = V.mentions(spark, base, "concept_id").groupBy("concept_id").agg(F.countDistinct("chunk_id").alias("chunks"))
     return s.join(below, "concept_id", "left").join(chunks, "concept_id", "left").select("canonical_name", F.round("score", 6).alias("score"), F.coalesce("below", F.lit(0)).alias("below"), F.coalesce("chunks", F.lit(0)).alias("chunks"))
 
 
@@ -192,14 +192,14 @@ def tutoring_policy(spark: SparkSession, base: str) -> DataFrame:
 @query(V.sql("g_chunk", "g_mention") + "SELECT chunk_id, count(DISTINCT concept_id) AS concepts, min(concept_id) AS first_concept FROM g_chunk JOIN g_mention USING (chunk_id) GROUP BY chunk_id")
 def chunk_mentions(spark: SparkSession, base: str) -> DataFrame:
     """Concepts of every chunk."""
-    m = V.mentions(spark, base).join(V.chunks(spark, base).select("chunk_id"), "chunk_id")
+    m = V.mentions(spark, base, "concept_id").join(V.chunks(spark, base, "chunk_id").select("chunk_id"), "chunk_id")
     return m.groupBy("chunk_id").agg(F.countDistinct("concept_id").alias("concepts"), F.min("concept_id").alias("first_concept"))
 
 
 @query(V.sql("g_concept", "g_chunk", "g_mention") + """, k AS (SELECT concept_id, min(primary_section) AS first_section, array_to_string(list_sort(list_distinct(list(chapter_id))), '|') AS chapters FROM g_mention JOIN g_chunk USING (chunk_id) GROUP BY concept_id) SELECT c.concept_id, c.short_definition, coalesce(len(c.local_kp_ids), 0) AS kps, k.first_section, coalesce(k.chapters, '') AS chapters FROM g_concept c LEFT JOIN k USING (concept_id)""")
 def concept_detail(spark: SparkSession, base: str) -> DataFrame:
     """Details of every concept with its chapters and first section."""
-    k = V.mentions(spark, base).join(V.chunks(spark, base).select("chunk_id", "chapter_id", "primary_section"), "chunk_id")
+    k = V.mentions(spark, base, "concept_id").join(V.chunks(spark, base, "chunk_id", "chapter_id", "primary_section").select("chunk_id", "chapter_id", "primary_section"), "chunk_id")
     k = k.groupBy("concept_id").agg(F.min("primary_section").alias("first_section"), F.array_join(F.array_sort(F.collect_set("chapter_id")), "|").alias("chapters"))
     c = V.concepts(spark, base).select("concept_id", "short_definition", F.greatest(F.size("local_kp_ids"), F.lit(0)).alias("kps"))
     return c.join(k, "concept_id", "left").withColumn("chapters", F.coalesce("chapters", F.lit("")))
@@ -209,9 +209,9 @@ def concept_detail(spark: SparkSession, base: str) -> DataFrame:
 SELECT concept_id, book_id, chunk_id, chapter, page_start FROM l QUALIFY row_number() OVER (PARTITION BY concept_id, book_id ORDER BY page_start NULLS FIRST, chunk_id) <= 5""")
 def concept_locations(spark: SparkSession, base: str) -> DataFrame:
     """Places of every concept, five at most in a book."""
-    k = V.chunks(spark, base).select("chunk_id", "chapter_id", "page_start")
+    k = V.chunks(spark, base, "chunk_id", "chapter_id", "page_start").select("chunk_id", "chapter_id", "page_start")
     h = table(spark, base, "chapters").select("chapter_id", "title", "book_id")
-    loc = V.mentions(spark, base).select("concept_id", "chunk_id").distinct().join(k, "chunk_id").join(F.broadcast(h), "chapter_id", "left")
+    loc = V.mentions(spark, base, "concept_id", "chunk_id").select("concept_id", "chunk_id").distinct().join(k, "chunk_id").join(F.broadcast(h), "chapter_id", "left")
     loc = loc.select("concept_id", "book_id", "chunk_id", F.coalesce("title", "chapter_id").alias("chapter"), "page_start")
     place = F.row_number().over(Window.partitionBy("concept_id", "book_id").orderBy("page_start", "chunk_id"))
     return loc.withColumn("n", place).where("n <= 5").drop("n")
@@ -229,7 +229,7 @@ def name_index_join(spark: SparkSession, base: str) -> DataFrame:
 def chapter_index(spark: SparkSession, base: str) -> DataFrame:
     """Concepts of a chapter, its own and mentioned ones."""
     own = V.concepts(spark, base).where("chapter_id IS NOT NULL").select("chapter_id", "concept_id")
-    said = V.mentions(spark, base).join(V.chunks(spark, base).where("chapter_id IS NOT NULL").select("chunk_id", "chapter_id"), "chunk_id").select("chapter_id", "concept_id")
+    said = V.mentions(spark, base, "concept_id").join(V.chunks(spark, base, "chapter_id").where("chapter_id IS NOT NULL").select("chunk_id", "chapter_id"), "chunk_id").select("chapter_id", "concept_id")
     return own.union(said).distinct().groupBy("chapter_id").agg(F.count(F.lit(1)).alias("concepts"))
 
 
@@ -250,7 +250,7 @@ def chapter_resolve(spark: SparkSession, base: str) -> DataFrame:
 @query(V.sql("g_concept", "g_relation") + "SELECT relation_id, s.concept_id IS NOT NULL AS source_known, t.concept_id IS NOT NULL AS target_known FROM g_relation LEFT JOIN g_concept s ON s.concept_id = source_concept_id LEFT JOIN g_concept t ON t.concept_id = target_concept_id")
 def endpoint_filter(spark: SparkSession, base: str) -> DataFrame:
     """Which ends of every relation are known concepts."""
-    c = V.concepts(spark, base).select("concept_id")
+    c = V.concepts(spark, base, "concept_id").select("concept_id")
     side = lambda x: c.select(F.col("concept_id").alias(f"{x}_concept_id"), F.lit(True).alias(f"{x}_known"))
     r = V.relations(spark, base).join(side("source"), "source_concept_id", "left").join(side("target"), "target_concept_id", "left")
     return r.select("relation_id", F.coalesce("source_known", F.lit(False)).alias("source_known"), F.coalesce("target_known", F.lit(False)).alias("target_known"))
@@ -259,14 +259,14 @@ def endpoint_filter(spark: SparkSession, base: str) -> DataFrame:
 @query(V.sql("g_concept", "g_mention") + "SELECT mention_id, CASE WHEN c.concept_id IS NULL THEN 'audit' ELSE 'formal' END AS part FROM g_mention LEFT JOIN (SELECT concept_id FROM g_concept WHERE upper(trim(status)) = 'APPROVED') c USING (concept_id)")
 def formal_split(spark: SparkSession, base: str) -> DataFrame:
     """Mentions of approved concepts and all others."""
-    m, ok = V.mentions(spark, base), V.concepts(spark, base).where("upper(trim(status)) = 'APPROVED'").select("concept_id")
+    m, ok = V.mentions(spark, base, "concept_id"), V.concepts(spark, base, "status").where("upper(trim(status)) = 'APPROVED'").select("concept_id")
     return m.join(ok, "concept_id", "left_semi").select("mention_id", F.lit("formal").alias("part")).union(m.join(ok, "concept_id", "left_anti").select("mention_id", F.lit("audit")))
 
 
 @query(V.sql("g_concept", "g_mention") + "SELECT concept_id, canonical_name FROM g_concept WHERE concept_id NOT IN (SELECT concept_id FROM g_mention)")
 def missing_prereq_anti(spark: SparkSession, base: str) -> DataFrame:
     """Concepts nobody mentions."""
-    return V.concepts(spark, base).join(V.mentions(spark, base), "concept_id", "left_anti").select("concept_id", "canonical_name")
+    return V.concepts(spark, base).join(V.mentions(spark, base, "concept_id"), "concept_id", "left_anti").select("concept_id", "canonical_name")
 
 
 _BEST10 = "b AS (SELECT chunk_id, concept_id FROM (SELECT chunk_id, concept_id, max(confidence) AS best FROM g_mention GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY best DESC, concept_id) <= 10)"
@@ -275,7 +275,7 @@ _BEST10 = "b AS (SELECT chunk_id, concept_id FROM (SELECT chunk_id, concept_id,
 def _best10(spark: SparkSession, base: str) -> DataFrame:
     from ..operators.merge import top_per_key
 
-    b = V.mentions(spark, base).groupBy("chunk_id", "concept_id").agg(F.max("confidence").alias("best"))
+    b = V.mentions(spark, base, "confidence").groupBy("chunk_id", "concept_id").agg(F.max("confidence").alias("best"))
     return top_per_key(b, ["chunk_id"], [F.desc("best"), "concept_id"], 10).select("chunk_id", "concept_id")
 
 
@@ -293,7 +293,7 @@ SELECT DISTINCT a, b, score::BIGINT AS score FROM (SELECT *, row_number() OVER (
 def prereq_candidates(spark: SparkSession, base: str) -> DataFrame:
     """Pairs among the five strongest of either end, by relations and shared chunks."""
     shared = shared_chunk_pairs(spark, base).select("a", "b", F.col("shared").alias("s"))
-    r = V.relations(spark, base).where("source_concept_id <> target_concept_id")
+    r = V.relations(spark, base, "relation").where("source_concept_id <> target_concept_id")
     linked = r.groupBy(F.least("source_concept_id", "target_concept_id").alias("a"), F.greatest("source_concept_id", "target_concept_id").alias("b")).agg((F.count(F.lit(1)) * 3).alias("s"))
     p = shared.union(linked).groupBy("a", "b").agg(F.sum("s").alias("score"))
     ends = p.select("a", "b", "score", F.explode(F.array("a", "b")).alias("me"))

@@ -103,7 +103,7 @@ def section_compat(spark: SparkSession, base: str) -> DataFrame:
 @query(V.sql("g_chunk", "g_mention") + f"SELECT mention_id, {S.quote_in('quote', 'text')} AS found FROM g_mention JOIN g_chunk USING (chunk_id)")
 def quote_in_chunk(spark: SparkSession, base: str) -> DataFrame:
     """Whether each mention's quote stands in its chunk."""
-    both = V.mentions(spark, base).select("mention_id", "chunk_id", "quote").join(V.chunks(spark, base).select("chunk_id", "text"), "chunk_id")
+    both = V.mentions(spark, base, "mention_id", "chunk_id", "quote").select("mention_id", "chunk_id", "quote").join(V.chunks(spark, base, "chunk_id", "text").select("chunk_id", "text"), "chunk_id")
     return both.select("mention_id", T.quote_in_text("quote", "text").alias("found"))
 
 
@@ -207,7 +207,7 @@ def anchor_scores(spark: SparkSession, base: str) -> DataFrame:
     """What ties each mention's quote to its concept."""
     names = F.concat(F.array("canonical_name"), F.coalesce("aliases", F.array().cast("array<string>")))
     c = V.concepts(spark, base).select("concept_id", T.anchor_terms(names, "short_definition").alias("terms"))
-    both = V.mentions(spark, base).select("mention_id", "concept_id", "quote", "evidence_type").join(c, "concept_id")
+    both = V.mentions(spark, base, "mention_id", "concept_id", "quote", "evidence_type").select("mention_id", "concept_id", "quote", "evidence_type").join(c, "concept_id")
     return T.anchored(both, "terms", "quote", "evidence_type").select("mention_id", "anchor", F.round("score", 6).alias("score"))
 
 

@@ -19,44 +19,54 @@ _KEYS = {"concepts": "concept_id", "chunks": "chunk_id", "mentions": "mention_id
 _COLUMNS = {"concepts": CONCEPT, "chunks": CHUNK, "mentions": MENTION, "relations": RELATION}
 
 
-def present(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """The present row of each key of concepts, chunks, mentions or relations; rows without a key are left out."""
-    columns, key = _COLUMNS[name], _KEYS[name]
+def present(spark: SparkSession, base: str, name: str, *columns: str) -> DataFrame:
+    """The present row of each key of concepts, chunks, mentions or relations; rows without a key are left out.
+
+    columns: those that are needed, all but the embedding by default. The aggregation hides them from column
+    pruning, so callers that need few say so, and only these are read and shuffled.
+    """
+    key = _KEYS[name]
+    wanted = [c for c in _COLUMNS[name] if not columns or c in columns or c == key]
     order = F.struct(*(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ["loaded_at", *_TIES[name]]))
-    rows = table(spark, base, name).where(F.col(key).isNotNull()).select(*columns)
-    return rows.groupBy(key).agg(F.max_by(F.struct(*columns), order).alias("_row")).select("_row.*")
+    rows = table(spark, base, name).where(F.col(key).isNotNull())
+    return rows.groupBy(key).agg(F.max_by(F.struct(*wanted), order).alias("_row")).select("_row.*")
+
+
+def _undeleted(spark: SparkSession, base: str, name: str, columns: tuple[str, ...]) -> DataFrame:
+    rows = present(spark, base, name, *columns, *(["deleted_at"] if columns else [])).where("deleted_at IS NULL")
+    return rows.select(*dict.fromkeys([_KEYS[name], *columns])) if columns else rows
 
 
-def concepts(spark: SparkSession, base: str) -> DataFrame:
+def concepts(spark: SparkSession, base: str, *columns: str) -> DataFrame:
     """Concepts that are not deleted, in their present state."""
-    return present(spark, base, "concepts").where("deleted_at IS NULL")
+    return _undeleted(spark, base, "concepts", columns)
 
 
-def chunks(spark: SparkSession, base: str) -> DataFrame:
+def chunks(spark: SparkSession, base: str, *columns: str) -> DataFrame:
     """Chunks that are not deleted, in their present state."""
-    return present(spark, base, "chunks").where("deleted_at IS NULL")
+    return _undeleted(spark, base, "chunks", columns)
 
 
-def mentions(spark: SparkSession, base: str) -> DataFrame:
+def mentions(spark: SparkSession, base: str, *columns: str) -> DataFrame:
     """Each mention once, with both keys, its type in lower case and its confidence within 0 and 1."""
     from ..functions.text import clamp
 
     kind = F.lower(F.trim("evidence_type"))
-    return (
-        present(spark, base, "mentions").where("concept_id IS NOT NULL AND chunk_id IS NOT NULL")
-        .withColumn("evidence_type", F.when(kind.isin("definition", "example", "usage", "mention"), kind))
-        .withColumn("confidence", clamp(F.col("confidence")))
-    )
+    rows = present(spark, base, "mentions", *columns, *(["concept_id", "chunk_id"] if columns else [])).where("concept_id IS NOT NULL AND chunk_id IS NOT NULL")
+    if "evidence_type" in rows.columns:
+        rows = rows.withColumn("evidence_type", F.when(kind.isin("definition", "example", "usage", "mention"), kind))
+    if "confidence" in rows.columns:
+        rows = rows.withColumn("confidence", clamp(F.col("confidence")))
+    return rows
 
 
-def relations(spark: SparkSession, base: str) -> DataFrame:
+def relations(spark: SparkSession, base: str, *columns: str) -> DataFrame:
     """Each relation once, with both ends, its type in upper case and its confidence within 0 and 1."""
     from ..functions.text import clamp
 
-    return (
-        present(spark, base, "relations").where("source_concept_id IS NOT NULL AND target_concept_id IS NOT NULL")
-        .withColumn("relation", F.upper(F.trim("relation"))).withColumn("confidence", clamp(F.col("confidence_max")))
-    )
+    ends = ["source_concept_id", "target_concept_id"]
+    rows = present(spark, base, "relations", *columns, *([*ends, "relation", "confidence_max"] if columns else [])).where("source_concept_id IS NOT NULL AND target_concept_id IS NOT NULL")
+    return rows.withColumn("relation", F.upper(F.trim("relation"))).withColumn("confidence", clamp(F.col("confidence_max")))
 
 
 def _sql_present(name: str) -> str:

@@ -131,7 +131,11 @@ def has_phrase(phrase: Column, text: Column) -> Column:
 
 def quote_in_text(quote: Column | str, text: Column | str, compat: bool = False) -> Column:
     """A normalised quote in normalised text; long quotes may differ in blanks and hyphens."""
-    q, t = normalize_text(quote, compat), normalize_text(text, compat)
+    return quote_in_normal(normalize_text(quote, compat), normalize_text(text, compat))
+
+
+def quote_in_normal(q: Column, t: Column) -> Column:
+    """T7 for a quote and a text that are normalised already, so that a text is normalised once and not once per quote."""
     short_q, short_t = (F.regexp_replace(x, f"[-{SPACES}]+", "") for x in (q, t))
     return (q != "") & (F.contains(t, q) | ((F.length(short_q) >= 12) & F.contains(short_t, short_q)))
 

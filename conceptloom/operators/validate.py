@@ -60,7 +60,8 @@ def contract(concepts: DataFrame, chunks: DataFrame, mentions: DataFrame, relati
 def evidence_reasons(mentions: DataFrame) -> DataFrame:
     """K2: adds ``reason`` to mentions joined with their chunk and concept; null means accepted.
 
-    Needs ``known`` (boolean), ``evidence_type``, ``quote``, ``text``, ``confidence``, ``terms`` (made by ``anchor_terms``).
+    Needs ``known`` (boolean), ``evidence_type``, ``quote``, ``normal_text`` (the chunk's, normalised),
+    ``confidence``, ``terms`` (made by ``anchor_terms``).
     """
     floor = F.create_map(*(F.lit(x) for kv in T.EVIDENCE_FLOORS.items() for x in kv))
     return T.anchored(mentions, "terms", "quote", "evidence_type").withColumn(
@@ -68,7 +69,7 @@ def evidence_reasons(mentions: DataFrame) -> DataFrame:
         first_reason(
             (~F.col("known"), "unknown_or_non_candidate_concept"),
             (F.col("evidence_type").isNull(), "invalid_evidence_type"),
-            (~T.quote_in_text("quote", "text"), "quote_not_found_in_chunk"),
+            (~F.coalesce(T.quote_in_normal(T.normalize_text("quote"), F.col("normal_text")), F.lit(False)), "quote_not_found_in_chunk"),
             (F.col("confidence") < floor[F.col("evidence_type")], "below_evidence_confidence_threshold"),
             (F.col("anchor").isNull(), "quote_not_anchored_to_concept_name_alias_or_definition"),
         ),

@@ -172,7 +172,8 @@ WHEN confidence < CASE evidence_type WHEN 'definition' THEN 0.75 WHEN 'mention'
 def evidence_validation(spark: SparkSession, base: str) -> DataFrame:
     """Why each mention is refused, or null."""
     c = V.concepts(spark, base).select("concept_id", T.anchor_terms(_names(), "short_definition").alias("terms"), F.lit(True).alias("k"))
-    m = V.mentions(spark, base).join(V.chunks(spark, base, "chunk_id", "text").select("chunk_id", "text"), "chunk_id", "left").join(c, "concept_id", "left").withColumn("known", F.coalesce("k", F.lit(False)))
+    k = V.chunks(spark, base, "text").select("chunk_id", T.normalize_text("text").alias("normal_text"))
+    m = V.mentions(spark, base).join(k, "chunk_id", "left").join(c, "concept_id", "left").withColumn("known", F.coalesce("k", F.lit(False)))
     return K.evidence_reasons(m).select("mention_id", "reason")
 
 

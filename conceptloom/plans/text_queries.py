@@ -103,8 +103,9 @@ def section_compat(spark: SparkSession, base: str) -> DataFrame:
 @query(V.sql("g_chunk", "g_mention") + f"SELECT mention_id, {S.quote_in('quote', 'text')} AS found FROM g_mention JOIN g_chunk USING (chunk_id)")
 def quote_in_chunk(spark: SparkSession, base: str) -> DataFrame:
     """Whether each mention's quote stands in its chunk."""
-    both = V.mentions(spark, base, "mention_id", "chunk_id", "quote").select("mention_id", "chunk_id", "quote").join(V.chunks(spark, base, "chunk_id", "text").select("chunk_id", "text"), "chunk_id")
-    return both.select("mention_id", T.quote_in_text("quote", "text").alias("found"))
+    k = V.chunks(spark, base, "text").select("chunk_id", T.normalize_text("text").alias("t"))
+    both = V.mentions(spark, base, "quote").select("mention_id", "chunk_id", T.normalize_text("quote").alias("q")).join(k, "chunk_id")
+    return both.select("mention_id", T.quote_in_normal(F.col("q"), F.col("t")).alias("found"))
 
 
 @query(f"SELECT mention_id, round({S.clamp('confidence', 0.5)}, 6) AS clamped, count(*) AS n FROM mentions GROUP BY ALL")

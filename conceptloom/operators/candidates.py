@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +36,10 @@ def phrase_hits(texts: DataFrame, key: str, text: str, phrases: DataFrame, most_
     if not grams:
         return normal.select(key, F.lit("").alias("phrase")).limit(0)
     each = words.select(key, F.explode(F.array_distinct(F.flatten(F.array(*grams)))).alias("_gram"))
-    counts = cut(each.join(index.select("_gram"), "_gram", "left_semi").groupBy("_gram").agg(F.count(F.lit(1)).alias("n")))
-    found = salted_lookup(each, index, "_gram", hot_keys(counts, "_gram", "n", hot_rows), "inner").select(key, F.explode("_phrases").alias("phrase")).distinct()
+    # Grams move once: what the index does not have is gone before the rows are counted and looked up.
+    kept = cut(each.join(index.select("_gram"), "_gram", "left_semi"))
+    counts = cut(kept.groupBy("_gram").agg(F.count(F.lit(1)).alias("n")))
+    found = salted_lookup(kept, index, "_gram", hot_keys(counts, "_gram", "n", hot_rows), "inner").select(key, F.explode("_phrases").alias("phrase")).distinct()
     checked = found.join(normal, key).where(T.has_phrase(F.col("phrase"), F.col("_t")))
     return checked.select(key, "phrase")
 
@@ -57,6 +61,73 @@ def content_scores(texts: DataFrame, key: str, text: str, registry: DataFrame) -
     return exact.union(loose)
 
 
+def named_concepts(texts: DataFrame, key: str, text: str, registry: DataFrame) -> DataFrame:
+    """``key``, ``concept_id``, ``words`` (of the longest name that stands in the text) for every concept of a registry.
+
+    registry: ``concept_id``, ``names`` (array). Names shorter than three characters are not sought.
+    """
+    names = registry.select("concept_id", F.explode("names").alias("n")).select("concept_id", T.normalize_name("n").alias("phrase")).where(F.length("phrase") >= 3).distinct()
+    hits = phrase_hits(texts, key, text, names.select("phrase").distinct()).join(names, "phrase")
+    return hits.groupBy(key, "concept_id").agg(F.max(F.size(F.split("phrase", " "))).alias("words"))
+
+
+def _best_shared(registry: pd.DataFrame, texts: pd.DataFrame, best: int) -> pd.DataFrame:
+    """The ``best`` + ``named`` concepts of each text by shared words of their definitions; ties fall by id."""
+    registry = registry.sort_values("concept_id", ignore_index=True)
+    each = registry["ws"].str.split(" ")
+    total = each.str.len().to_numpy(dtype=np.int64)
+    owner = np.repeat(np.arange(len(registry), dtype=np.int32), total)
+    places = pd.Series(owner).groupby(np.array([w for ws in each for w in ws], dtype=object)).indices
+    inverted = {w: owner[at] for w, at in places.items()}
+    ids, rows = registry["concept_id"].to_numpy(), []
+    for key, said, named in zip(texts["_key"], texts["ws"], texts["named"]):
+        lists = [inverted[w] for w in said.split(" ") if w in inverted]
+        if len(lists) < 2:
+            continue
+        n = np.bincount(np.concatenate(lists), minlength=len(ids))
+        at = np.flatnonzero(n >= 2)
+        score = np.round(200.0 + 20.0 * n[at] + 100.0 * n[at] / total[at], 6)
+        most = best + int(named)
+        if len(at) > most:
+            least = np.partition(score, len(at) - most)[len(at) - most]
+            above = np.flatnonzero(score > least)
+            chosen = np.concatenate([above, np.flatnonzero(score == least)[: most - len(above)]])
+            at, score = at[chosen], score[chosen]
+        rows.append((np.full(len(at), key, dtype=object), ids[at], score))
+    columns = [np.concatenate(c) for c in zip((np.empty(0, dtype=object), np.empty(0, dtype=object), np.empty(0)), *rows)]
+    return pd.DataFrame(dict(zip(["_key", "concept_id", "score"], columns)))
+
+
+def best_content(texts: DataFrame, key: str, text: str, registry: DataFrame, best: int, shard_concepts: int = 50_000, block_texts: int = 5_000) -> DataFrame:
+    """The ``best`` concepts of each text by ``content_scores``, scores rounded to six places, ties by id.
+
+    Every concept is scored, by each of its names and by its own definition. Definitions and texts share words in
+    nearly all pairs, so pairs are never rows: each task counts the shared words of a shard of the registry and a
+    block of texts, and gives a text's best and as many more as concepts are named in it, since these leave by their names.
+    """
+    from .merge import top_per_key
+
+    exact = cut(named_concepts(texts, key, text, registry).select(key, "concept_id", F.round(F.lit(1000.0) + 25.0 * F.col("words"), 6).alias("score")))
+    joined = lambda c, shortest: F.array_join(T.content_words(c, T.CANDIDATE_STOPS, shortest), " ")
+    said = texts.select(F.col(key).alias("_key"), joined(text, 3).alias("ws")).where("ws <> ''")
+    named = exact.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("named"))
+    said = cut(said.join(named, "_key", "left").withColumn("named", F.coalesce("named", F.lit(0))))
+    meant = cut(registry.select("concept_id", joined("short_definition", 4).alias("ws")).where("ws <> ''"))
+    shards = max(1, -(-meant.count() // shard_concepts))
+    blocks = max(2 * texts.sparkSession.sparkContext.defaultParallelism // shards, -(-said.count() // block_texts), 1)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    left = meant.select(F.pmod(F.xxhash64("concept_id"), F.lit(shards)).alias("_shard"), every(blocks).alias("_block"), "concept_id", "ws")
+    right = said.select(every(shards).alias("_shard"), F.pmod(F.xxhash64("_key"), F.lit(blocks)).alias("_block"), "_key", "ws", "named")
+    kinds = {f.name: f.dataType.simpleString() for f in [*texts.schema, *registry.schema]}
+
+    def shared(concepts: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+        return _best_shared(concepts, block, best)
+
+    loose = left.groupBy("_shard", "_block").cogroup(right.groupBy("_shard", "_block")).applyInPandas(shared, f"_key {kinds[key]}, concept_id {kinds['concept_id']}, score double").withColumnRenamed("_key", key)
+    scores = exact.union(loose.join(exact, [key, "concept_id"], "left_anti").select(key, "concept_id", "score"))
+    return top_per_key(scores, [key], [F.desc("score"), "concept_id"], best).drop("place")
+
+
 def align(local: DataFrame, registry: DataFrame) -> DataFrame:
     """``local_id``, ``concept_id``, ``method``, ``score`` for every local name.
 

@@ -114,6 +114,52 @@ def audit_evidence(spark: SparkSession, base: str) -> DataFrame:
     return top_per_key(s, ["chapter_id"], [F.desc("score"), "chunk_id"], 2).drop("place")
 
 
+# The queries above seek the heads of definitions, as their SQL says. Those below seek every concept by each of its names.
+_NAMED = f"""d AS (SELECT DISTINCT concept_id, phrase FROM (SELECT concept_id, {S.name('n')} AS phrase FROM (SELECT concept_id, unnest({_ALL}) AS n FROM g_concept)) WHERE length(phrase) >= 3),
+t AS (SELECT chunk_id, chapter_id, text, {S.search('text')} AS t FROM g_chunk),
+e AS (SELECT chunk_id, concept_id, max(len(string_split(phrase, ' '))) AS words FROM t JOIN d ON contains(t.t, phrase) AND regexp_matches(t.t, '(^|[^a-z0-9])' || regexp_escape(phrase) || '([^a-z0-9]|$)') GROUP BY 1, 2)"""
+
+
+def _named(spark: SparkSession, base: str) -> DataFrame:
+    return V.concepts(spark, base, "canonical_name", "aliases", "short_definition").select("concept_id", "short_definition", _names().alias("names"))
+
+
+@query(V.sql("g_concept", "g_chunk") + f", {_NAMED} SELECT chunk_id, concept_id FROM e")
+def registry_lexical_hits(spark: SparkSession, base: str) -> DataFrame:
+    """Every concept that a chunk names, by its canonical name or an alias."""
+    return C.named_concepts(V.chunks(spark, base, "text"), "chunk_id", "text", _named(spark, base)).select("chunk_id", "concept_id")
+
+
+@query(V.sql("g_concept", "g_chunk") + f""", {_NAMED}, s AS (SELECT chunk_id, unnest({S.content('text', T.CANDIDATE_STOPS, 3)}) AS w FROM g_chunk), m AS (SELECT concept_id, {S.content('short_definition', T.CANDIDATE_STOPS, 4)} AS ws FROM g_concept), i AS (SELECT concept_id, len(ws) AS total, unnest(ws) AS w FROM m),
+l AS (SELECT chunk_id, concept_id, count(*) AS n, any_value(total) AS total FROM s JOIN i USING (w) GROUP BY 1, 2 HAVING count(*) >= 2),
+u AS (SELECT chunk_id, concept_id, round(1000.0::DOUBLE + 25 * words, 6) AS score FROM e UNION ALL SELECT chunk_id, concept_id, round(200.0::DOUBLE + 20 * n + 100.0::DOUBLE * n / total, 6) FROM l ANTI JOIN e USING (chunk_id, concept_id))
+SELECT chunk_id, concept_id, score FROM u QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY score DESC, concept_id) <= 24""")
+def registry_candidates(spark: SparkSession, base: str) -> DataFrame:
+    """The 24 best concepts for each chunk, every concept scored by its names or by the words of its own definition."""
+    return C.best_content(V.chunks(spark, base, "text"), "chunk_id", "text", _named(spark, base), 24)
+
+
+@query(V.sql("g_concept", "g_chunk") + f", {_NAMED} SELECT chunk_id, count(*) AS states FROM e JOIN t USING (chunk_id) WHERE regexp_matches(text, '(?i)\\b(fig|tab)\\. ') GROUP BY chunk_id HAVING count(*) >= 2")
+def registry_diagrams(spark: SparkSession, base: str) -> DataFrame:
+    """Chunks with a figure that name two concepts or more."""
+    k = V.chunks(spark, base, "text").where(F.col("text").rlike("(?i)\\b(fig|tab)\\. "))
+    return C.named_concepts(k, "chunk_id", "text", _named(spark, base)).groupBy("chunk_id").agg(F.count(F.lit(1)).alias("states")).where("states >= 2")
+
+
+@query(V.sql("g_concept", "g_chunk", "g_mention") + f", {_NAMED}, p AS (SELECT DISTINCT chunk_id, 100 AS preferred FROM g_mention WHERE evidence_type = 'definition'), h AS (SELECT chunk_id, count(*) AS n FROM e GROUP BY chunk_id)"
+ + " SELECT chapter_id, chunk_id, coalesce(preferred, 0) + coalesce(n, 0) AS score FROM t LEFT JOIN p USING (chunk_id) LEFT JOIN h USING (chunk_id) QUALIFY row_number() OVER (PARTITION BY chapter_id ORDER BY score DESC, chunk_id) <= 2")
+def registry_evidence(spark: SparkSession, base: str) -> DataFrame:
+    """The two best chunks of each chapter for an audit: with a definition first, then by concepts named."""
+    from ..operators.merge import top_per_key
+
+    k = V.chunks(spark, base, "chapter_id", "text")
+    preferred = V.mentions(spark, base, "evidence_type").where("evidence_type = 'definition'").select("chunk_id").distinct().withColumn("p", F.lit(100))
+    named = C.named_concepts(k, "chunk_id", "text", _named(spark, base)).groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"))
+    s = k.select("chapter_id", "chunk_id").join(preferred, "chunk_id", "left").join(named, "chunk_id", "left").select("chapter_id", "chunk_id", (F.coalesce("p", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("score"))
+    return top_per_key(s, ["chapter_id"], [F.desc("score"), "chunk_id"], 2).drop("place")
+
+
+
 @query("WITH s AS (SELECT s_suppkey AS k, 'S' || s_suppkey AS name, s_nationkey AS chapter FROM supplier) SELECT a.name AS a, b.name AS b FROM s a JOIN s b ON a.k < b.k AND abs(a.chapter - b.chapter) <= 1")
 def gen1_candidate_pairs(spark: SparkSession, base: str) -> DataFrame:
     """Pairs of names in chapters at most one apart, joined on chapters spread to their neighbours."""

@@ -121,6 +121,24 @@ def _paths(walk: Walk):
             yield node, root, hops, ways[node]
 
 
+def _all_paths(walk: Walk):
+    """Every path from a root by depth-first traversal; a node that is open is not entered again, so loops are not followed."""
+    for root in walk.roots:
+        yield root, root, 0, root
+        grey, ways = {root}, [(root, root, iter(walk.below.get(root, ())))]
+        while ways:
+            node, way, rest = ways[-1]
+            child = next((c for c in rest if c not in grey), None)
+            if child is None:
+                ways.pop()
+                grey.discard(node)
+                continue
+            further = f"{way} > {child}"
+            yield child, root, len(ways), further
+            grey.add(child)
+            ways.append((child, further, iter(walk.below.get(child, ()))))
+
+
 def _descendants(walk: Walk):
     for node in walk.nodes:
         for below, (hops, _) in walk.down(node).items():
@@ -135,6 +153,7 @@ def _back_edges(walk: Walk):
 _FORMS = {
     "hops": (_hops, "node string, root_name string, hops int"),
     "paths": (_paths, "node string, root_name string, depth int, path string"),
+    "all_paths": (_all_paths, "node string, root_name string, depth int, path string"),
     "descendants": (_descendants, "node string, descendant string, hops int"),
     "back_edges": (_back_edges, "parent string, child string"),
 }
@@ -156,7 +175,8 @@ def _parted(edges: DataFrame, component_edges: int) -> tuple[DataFrame, DataFram
 
 def hierarchy(edges: DataFrame, form: str = "hops", component_edges: int = COMPONENT_EDGES) -> DataFrame:
     """``layer`` and, by ``form``: 'hops' (node, root_name, hops; CYCLE and -1 for nodes on loops), 'paths' (the
-    first of the shortest paths in name order), 'descendants', 'back_edges'.
+    first of the shortest paths in name order), 'all_paths' (every path that enters no node twice, with its own depth),
+    'descendants', 'back_edges'.
 
     edges: distinct ``layer``, ``parent``, ``child`` without nulls. A component where every node has another parent has
     no root and so only its loops. Empty tables give empty results. Components above ``component_edges`` give
@@ -180,6 +200,8 @@ def hierarchy(edges: DataFrame, form: str = "hops", component_edges: int = COMPO
         more = large_down(large, _roots(large)).select("layer", "node", F.col("start").alias("root_name"), "hops").union(loops)
     elif form == "paths":
         more = large_down(large, _roots(large)).select("layer", "node", F.col("start").alias("root_name"), F.col("hops").alias("depth"), "path")
+    elif form == "all_paths":
+        more = large_paths(large, _roots(large)).select("layer", "node", F.col("start").alias("root_name"), "depth", F.array_join("ways", " > ").alias("path"))
     elif form == "descendants":
         nodes = large.select("layer", F.col("parent").alias("start")).union(large.select("layer", "child")).distinct()
         more = large_down(large, nodes).where("node <> start").select("layer", F.col("start").alias("node"), F.col("node").alias("descendant"), "hops")
@@ -210,6 +232,17 @@ def large_down(edges: DataFrame, starts: DataFrame) -> DataFrame:
     return found
 
 
+def large_paths(edges: DataFrame, starts: DataFrame) -> DataFrame:
+    """``layer``, ``start``, ``node``, ``depth``, ``ways`` of every path that enters no node twice: one round of joins for each level."""
+    frontier = cut(starts.select("layer", "start", F.col("start").alias("node"), F.lit(0).alias("depth"), F.array("start").alias("ways")))
+    found = frontier
+    while not frontier.isEmpty():
+        step = frontier.join(edges.withColumnRenamed("parent", "node"), ["layer", "node"]).where(~F.array_contains("ways", F.col("child")))
+        frontier = cut(step.select("layer", "start", F.col("child").alias("node"), (F.col("depth") + 1).alias("depth"), F.array_append("ways", F.col("child")).alias("ways")))
+        found = found.union(frontier)
+    return found
+
+
 def large_loops(edges: DataFrame) -> DataFrame:
     """``layer``, ``node``, ``loop`` (a name of the loop's strongly connected part) of nodes on loops.
 

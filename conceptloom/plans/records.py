@@ -23,8 +23,8 @@ def p5_found(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p5_paths(spark: SparkSession, base: str) -> DataFrame:
-    """Path, depth and root of every node below every root."""
-    return hier.hierarchy(_layers(spark, base), "paths")
+    """Every path from a root to a node, with its depth."""
+    return hier.hierarchy(_layers(spark, base), "all_paths")
 
 
 def p5_descendants(spark: SparkSession, base: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 
 from conceptloom.operators import hierarchy as H
 from conceptloom.operators.components import components
+from conceptloom.plans import records
 
 
 def brute(edges):
@@ -65,3 +66,18 @@ def test_components_with_hub_and_chain(spark):
     pairs = [("hub", f"x{i}") for i in range(60)] + [(f"c{i:02d}", f"c{i + 1:02d}") for i in range(40)] + [("s", "s"), (None, "q")]
     got = dict(map(tuple, components(spark.createDataFrame(pairs, "a string, b string"), hot_rows=10).collect()))
     assert got["x59"] == "hub" and got["c40"] == "c00" and got["s"] == "s" and "q" not in got
+
+
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_all_paths_of_nodes_with_several_parents(spark, limit):
+    e = frame(spark, {("a", "b"), ("b", "d"), ("a", "c"), ("c", "d"), ("d", "e"), ("e", "b"), ("r", "c"), ("e", "e")})
+    got = sorted(tuple(r)[1:] for r in H.hierarchy(e, "all_paths", limit).collect())
+    ways = ["a", "a > b", "a > b > d", "a > b > d > e", "a > c", "a > c > d", "a > c > d > e", "a > c > d > e > b", "r", "r > c", "r > c > d", "r > c > d > e", "r > c > d > e > b"]
+    assert got == sorted((w.split(" > ")[-1], w[0], w.count(">"), w) for w in ways)
+
+
+def test_query_gives_every_path(spark, tmp_path):
+    frame(spark, {("a", "b"), ("b", "d"), ("a", "c"), ("c", "d")}).selectExpr("parent AS prereq", "child AS target").write.parquet(f"{tmp_path}/prerequisite_edges.parquet")
+    frame(spark, {("a", "b")}).select("parent", "child").write.parquet(f"{tmp_path}/subtype_edges.parquet")
+    got = {r["path"] for r in records.p5_paths(spark, str(tmp_path)).where("layer = 'prereq' AND node = 'd'").collect()}
+    assert got == {"a > b > d", "a > c > d"}

@@ -43,14 +43,10 @@ class Walk:
         self.roots = [x for x in self.nodes if x not in held]
 
     def loops(self) -> tuple[set, list]:
-        """Nodes on a loop, and the back edges at which depth-first traversal meets a node still open.
-
-        Colours: a node is white before its visit, grey while open, black when left. A stack stands for the
-        recursion; low marks join the nodes of a loop.
-        """
+        """Nodes on a loop, and the strongly connected parts they form; low marks join the nodes of a loop."""
         number: dict = {}
         low: dict = {}
-        grey, stack, on_loop, back = set(), [], set(), []
+        stack, on_loop, parts = [], set(), []
         open_nodes: set = set()
         for start in self.nodes:
             if start in number:
@@ -58,27 +54,22 @@ class Walk:
             number[start] = low[start] = len(number)
             stack.append(start)
             open_nodes.add(start)
-            grey.add(start)
             walk = [(start, iter(self.below.get(start, ())))]
             while walk:
                 node, rest = walk[-1]
                 for child in rest:
-                    if child in grey:
-                        back.append((node, child))
                     if child == node:
                         on_loop.add(node)
                     elif child not in number:
                         number[child] = low[child] = len(number)
                         stack.append(child)
                         open_nodes.add(child)
-                        grey.add(child)
                         walk.append((child, iter(self.below.get(child, ()))))
                         break
                     elif child in open_nodes:
                         low[node] = min(low[node], number[child])
                 else:
                     walk.pop()
-                    grey.discard(node)
                     if walk:
                         low[walk[-1][0]] = min(low[walk[-1][0]], low[node])
                     if low[node] == number[node]:
@@ -90,7 +81,32 @@ class Walk:
                                 break
                         if len(group) > 1:
                             on_loop.update(group)
-        return on_loop, back
+                        if group[0] in on_loop:
+                            parts.append(group)
+        return on_loop, parts
+
+    def back_edges(self, part):
+        """Edges at which depth-first traversal of a strongly connected part, from its smallest name, meets a node still open.
+
+        Colours: a node is white before its visit, grey while open, black when left. A stack stands for the recursion.
+        """
+        white, start = set(part), min(part)
+        grey = {start}
+        white.discard(start)
+        walk = [(start, iter(self.below.get(start, ())))]
+        while walk:
+            node, rest = walk[-1]
+            for child in rest:
+                if child in grey:
+                    yield node, child
+                elif child in white:
+                    white.discard(child)
+                    grey.add(child)
+                    walk.append((child, iter(self.below.get(child, ()))))
+                    break
+            else:
+                walk.pop()
+                grey.discard(node)
 
     def down(self, start):
         """Every node reachable from ``start`` with the fewest hops and the node before it; loops are not followed."""
@@ -147,7 +163,8 @@ def _descendants(walk: Walk):
 
 
 def _back_edges(walk: Walk):
-    yield from walk.loops()[1]
+    for part in walk.loops()[1]:
+        yield from walk.back_edges(part)
 
 
 _FORMS = {
@@ -206,11 +223,12 @@ def hierarchy(edges: DataFrame, form: str = "hops", component_edges: int = COMPO
         nodes = large.select("layer", F.col("parent").alias("start")).union(large.select("layer", "child")).distinct()
         more = large_down(large, nodes).where("node <> start").select("layer", F.col("start").alias("node"), F.col("node").alias("descendant"), "hops")
     else:
-        # Edges inside a loop stand for back edges where no single traversal visits the component.
+        # A traversal of one strongly connected part depends on nothing outside it, so each part goes to a task of its own.
         loops = large_loops(large)
         near = loops.select("layer", F.col("node").alias("parent"), F.col("loop").alias("_l"))
         far = loops.select("layer", F.col("node").alias("child"), F.col("loop").alias("_m"))
-        more = large.join(near, ["layer", "parent"]).join(far, ["layer", "child"]).where("_l = _m").select("layer", "parent", "child")
+        inner = large.join(near, ["layer", "parent"]).join(far, ["layer", "child"]).where("_l = _m").select("layer", "_l", "parent", "child")
+        more = inner.groupBy("layer", "_l").applyInPandas(walk, f"layer string, {schema}")
     return out.unionByName(more)
 
 

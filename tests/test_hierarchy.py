@@ -81,3 +81,9 @@ def test_query_gives_every_path(spark, tmp_path):
     frame(spark, {("a", "b")}).select("parent", "child").write.parquet(f"{tmp_path}/subtype_edges.parquet")
     got = {r["path"] for r in records.p5_paths(spark, str(tmp_path)).where("layer = 'prereq' AND node = 'd'").collect()}
     assert got == {"a > b > d", "a > c > d"}
+
+
+def test_back_edges_mean_the_same_at_every_size(spark):
+    ring = {(f"n{i}", f"n{(i + 1) % 5}") for i in range(5)} | {("r", "n3"), ("n2", "n2"), ("n1", "n4"), ("n4", "t")}
+    small, large = ({tuple(r)[1:] for r in H.hierarchy(frame(spark, ring), "back_edges", limit).collect()} for limit in (1000, 0))
+    assert small == large == {("n4", "n0"), ("n2", "n2")}

@@ -261,11 +261,12 @@ def corrections(counts: DataFrame, least: int = 5, ratio: int = 10, distance: in
                 m = common[found]
                 if found != word and m >= ratio * n and len(found) >= 3 and (edits := glyph_edits(word, found)):
                     rows.append((word, found, edits, int(n), int(m)))
-            if word[-1] in "!|" and len(word) > 3 and (bare := word[:-1]) in common:
-                rows = [r for r in rows if r[0] != word]
         return pd.DataFrame(rows, columns=["word", "candidate", "edits", "n", "candidate_n"])
 
-    found = cut(words.groupBy("shard", "block").cogroup(looked.groupBy("shard", "block")).applyInPandas(match, "word string, candidate string, edits int, n long, candidate_n long"))
+    # A known word with a sign behind it is no misreading, whatever shard the word is in.
+    signed = vocabulary.where(F.length("word") >= 3).select(F.explode(F.array(F.concat("word", F.lit("!")), F.concat("word", F.lit("|")))).alias("word"))
+    matched = words.groupBy("shard", "block").cogroup(looked.groupBy("shard", "block")).applyInPandas(match, "word string, candidate string, edits int, n long, candidate_n long")
+    found = cut(matched.join(signed, "word", "left_anti"))
     # A candidate that is itself misread stands for the word it was misread from.
     onward = found.groupBy("word").agg(F.max_by("candidate", "candidate_n").alias("true_word"), F.max("candidate_n").alias("true_n")).withColumnRenamed("word", "candidate")
     return (

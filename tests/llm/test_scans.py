@@ -71,3 +71,9 @@ def test_texts_are_repaired(spark):
 def test_empty_tables(spark):
     a, b = frames(spark, [])
     assert scans.find_noise(a, b, TITLES).count() == 0 and scans.clean_texts(a, b, TITLES).count() == 0
+
+
+def test_a_known_word_with_a_sign_is_no_misreading_in_any_shard(spark):
+    counts = spark.createDataFrame([("too", 50), ("tool", 900), ("too!", 5), ("poo!", 5), ("pool", 900)], "word string, n long")
+    for shard in (1, 100):
+        assert {(r["word"], r["candidate"]) for r in scans.corrections(counts, shard_words=shard).collect()} == {("poo!", "pool")}

@@ -1,32 +1,43 @@
 """Problem 2: most similar vectors, by multi-index hashing.
 
-Vectors become binary codes by learned rotations. Codes are split into substrings and every substring is an
-index of its own. Two codes that are near agree in some substring up to one bit, so probing each index at a
-radius of one bit retrieves them; full codes are then compared, and the float vectors decide.
+Vectors become several binary codes by learned rotations. Each code is split into substrings and every substring is
+an index of its own. By the pigeonhole principle two codes of ``m`` substrings that differ in at most
+``m * (probe + 1) - 1`` bits agree in some substring up to ``probe`` bits; probing each index that deep retrieves every
+code within this Hamming radius. How many codes are needed is measured on planted pairs, after the vectors are centred
+as they will be. The float vectors of what was retrieved decide.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
 
-#: Rows from which the rotations are learned, at most; every row is indexed.
+#: Rows of a kind in the sample from which the mean, rotations and misses are taken, at most; every row is indexed.
 FIT_ROWS = 20_000
+#: Rows of the sample that each rotation is learned from.
+LEARN_ROWS = 5_000
+#: Planted pairs on which misses are measured.
+PLANTED = 4_000
 
 
 def usable_vectors(df: DataFrame, id_col: str, kind: str, dim: int = 64) -> DataFrame:
     """``kind``, ``id``, ``v``, ``h`` of rows with ``dim`` finite values that are not all zero; ``h`` stands for the vector."""
-    v = F.col("embedding")
-    fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    # A NaN counts as the greatest value, and nulls are passed over, so the two ends tell of all but nulls.
+    v, endless = F.col("embedding"), F.lit(float("inf"))
+    low, high = F.array_min(v), F.array_max(v)
+    fine = (high < endless) & (low > -endless) & ((high != 0) | (low != 0)) & ~F.exists(v, lambda x: x.isNull())
     return (
-        df.where(F.col(id_col).isNotNull() & (F.size(v) == dim) & fine & F.exists(v, lambda x: x != 0))
+        df.where(F.col(id_col).isNotNull() & (F.size(v) == dim) & fine)
         .select(F.lit(kind).alias("kind"), F.col(id_col).alias("id"), v.cast("array<float>").alias("v"))
         .withColumn("h", F.xxhash64("v"))
     )
@@ -37,145 +48,295 @@ def classes_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return vectors.groupBy("kind", "h").agg(F.first("v").alias("v")), vectors.select("kind", "h", "id").distinct()
 
 
+def _ball(bits: int, radius: int) -> int:
+    return sum(math.comb(bits, k) for k in range(radius + 1))
+
+
 @dataclass(frozen=True)
 class Plan:
-    """Shape of an index: substrings of ``width`` bits, their number, bits that split an index over tasks, and the
-    Hamming radius at which full codes pass."""
+    """Shape of an index: codes of ``substrings`` substrings of ``width`` bits, probed ``probe`` bits deep; high bits that
+    split a substring's index over tasks; and the rows of a task."""
 
     width: int
     substrings: int
-    split: int
-    radius: int
+    probe: int
+    codes: int = 1
+    split: int = 0
+    group_rows: int = 200_000
+
+    @property
+    def bits(self) -> int:
+        return self.width * self.substrings
 
     @property
-    def rotations(self) -> int:
-        return -(-self.width * self.substrings // 64)
+    def radius(self) -> int:
+        """Codes within this Hamming radius are all retrieved: with more differences each substring could have ``probe`` + 1."""
+        return self.substrings * (self.probe + 1) - 1
+
+    def cost(self, rows: int) -> float:
+        """Cost of a row: to be sent once for each index, to probe it, to be compared with what the probes hit, and to be verified."""
+        ball, ball_of_code = _ball(self.width, self.probe), _ball(self.bits, self.radius)
+        return self.codes * (self.substrings * (60 + ball + 0.3 * rows * ball / 2**self.width) + 100 * rows * ball_of_code / 2**self.bits)
 
     @staticmethod
-    def of(rows: int, similarity: float, miss: float = 1e-3, group_rows: int = 200_000) -> Plan:
-        """Substrings as wide as the number of rows asks for, and as many as keep misses at ``similarity`` below ``miss``."""
-        width = min(24, max(8, math.ceil(math.log2(max(2, rows))) - 4))
-        p = math.acos(similarity) / math.pi
-        hit = (1 - p) ** width + width * p * (1 - p) ** (width - 1)
-        substrings = math.ceil(math.log(miss) / math.log(1 - hit))
-        bits = width * substrings
-        radius = math.ceil(bits * p + 5 * math.sqrt(bits * p * (1 - p)))
-        return Plan(width, substrings, max(0, math.ceil(math.log2(max(1, rows / group_rows)))), radius)
-
-
-def learn_rotations(sample: np.ndarray, number: int, rounds: int = 30, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and ``number`` rotations, each learned by iterative quantisation from another start."""
+    def of(rows: int, flips: float, miss: float = 2.5e-4, group_rows: int = 200_000) -> Plan:
+        """The cheapest shape for a number of rows when the bits of near codes differ with chance ``flips``."""
+        best = None
+        for width in range(8, 31):
+            for substrings in range(2, 62 // width + 1):
+                for probe in range(3):
+                    plan = Plan(width, substrings, probe, 1, 0, group_rows)
+                    hit = sum(math.comb(plan.bits, k) * flips**k * (1 - flips) ** (plan.bits - k) for k in range(plan.radius + 1))
+                    codes = max(1, math.ceil(math.log(miss) / math.log(1 - hit))) if hit < 1 - miss else 1
+                    cost = plan.cost(rows) * codes
+                    if best is None or cost < best[0]:
+                        best = cost, Plan(width, substrings, probe, codes, min(width - 1, max(0, math.ceil(math.log2(max(1, rows / group_rows))))), group_rows)
+        return best[1]
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def planted_pairs(sample: np.ndarray, similarity: float, pairs: int = PLANTED, seed: int = 11) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors at exactly ``similarity``: rows of the sample moved in any direction, and moved as rows differ."""
     rng = np.random.default_rng(seed)
-    unit = sample / np.linalg.norm(sample, axis=1, keepdims=True)
-    mean = unit.mean(axis=0)
-    centred, dim = unit - mean, sample.shape[1]
+    unit = _unit(sample)
+    x = unit[rng.integers(0, len(unit), pairs)]
     out = []
-    for _ in range(number):
-        rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
-        for _ in range(rounds if len(sample) > dim else 0):
-            u, _, vt = np.linalg.svd(np.sign(centred @ rotation).T @ centred)
-            rotation = (u @ vt).T
-        out.append(rotation)
-    return mean, np.hstack(out)
-
-
-def _codes(vectors: DataFrame, mean: np.ndarray, rotations: np.ndarray, plan: Plan) -> DataFrame:
-    """``kind``, ``h``, ``values`` (one per substring) and ``code`` (64-bit words)."""
-    bits = plan.width * plan.substrings
-    words = -(-bits // 64)
-
-    def encode(batches):
-        weights = 1 << np.arange(plan.width, dtype=np.int64)
-        for batch in batches:
-            x = np.stack(batch["v"].to_numpy()).astype(np.float64)
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
-            on = ((x - mean) @ rotations)[:, :bits] > 0
-            values = on.reshape(len(x), plan.substrings, plan.width) @ weights
-            padded = np.zeros((len(x), words * 64), np.uint8)
-            padded[:, :bits] = on
-            code = np.packbits(padded, axis=1, bitorder="little").view("<i8")
-            yield pd.DataFrame({"kind": batch["kind"], "h": batch["h"], "values": list(values), "code": list(code)})
+    for away in (rng.standard_normal(x.shape), unit[rng.integers(0, len(unit), pairs)] - unit[rng.integers(0, len(unit), pairs)] + 1e-9 * rng.standard_normal(x.shape)):
+        away = _unit(away - (away * x).sum(axis=1, keepdims=True) * x)
+        out.append((x, similarity * x + math.sqrt(1 - similarity**2) * away))
+    return out
+
+
+def learn_rotation(centred: np.ndarray, seed: int, rounds: int = 8) -> np.ndarray:
+    """One rotation by iterative quantisation; each seed begins from another start."""
+    dim = centred.shape[1]
+    rotation = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))[0]
+    for _ in range(rounds if len(centred) > dim else 0):
+        u, _, vt = np.linalg.svd(np.sign(centred @ rotation).T @ centred)
+        rotation = (u @ vt).T
+    return rotation
+
+
+@dataclass(frozen=True)
+class Coder:
+    """What turns vectors into codes: a mean and rotations for each code; ``found`` is the share of planted pairs retrieved."""
+
+    mean: np.ndarray
+    rotations: np.ndarray
+    found: float
+
+    def codes(self, x: np.ndarray, plan: Plan) -> np.ndarray:
+        """Codes of vectors as 64-bit words, one column for each code."""
+        on = (_unit(x.astype(np.float64)) - self.mean) @ self.rotations > 0
+        weights = np.uint64(1) << np.arange(plan.bits, dtype=np.uint64)
+        return on.reshape(len(x), plan.codes, plan.bits) @ weights
+
 
-    return vectors.mapInPandas(encode, "kind string, h long, values array<long>, code array<long>")
+def _flips(mean: np.ndarray, rotation: np.ndarray, planted) -> float:
+    return max(float((((x - mean) @ rotation > 0) != ((y - mean) @ rotation > 0)).mean()) for x, y in planted)
 
 
-def pairs_in_index(members: pd.DataFrame, probes: pd.DataFrame, free_bits: int, radius: int, block: int = 2_000_000):
-    """Pairs of rows of one index whose substrings differ in one bit at most and whose codes lie within ``radius``.
+def fit(samples: dict[str, np.ndarray], rows: dict[str, int], similarity: float, miss: float = 2.5e-4, plan: Plan | None = None) -> tuple[Plan, dict[str, Coder]]:
+    """The plan for the largest kind and a coder for each kind.
 
-    members: ``h``, ``value``, ``code``; probes: the same, with ``value`` as it reads in this index. Yields arrays of
-    ``h``; each pair comes once, and no more than ``block`` candidates are held at a time.
+    Chances come from planted pairs as the codes see them: after centring. Codes are added until both sorts of
+    planted pairs of every kind miss ``miss`` of their number or less.
     """
-    order = np.argsort(members["value"].to_numpy(), kind="stable")
-    value, h = members["value"].to_numpy()[order], members["h"].to_numpy()[order]
-    code = np.stack(members["code"].to_numpy())[order]
-    jobs = [(np.arange(len(value)), value, code, h, True)]
-    for bit in range(free_bits):
-        other = value ^ (1 << bit)
-        at = np.flatnonzero(value < other)
-        jobs.append((at, other[at], code, h, False))
-    if len(probes):
-        jobs.append((np.arange(len(probes)), probes["value"].to_numpy(), np.stack(probes["code"].to_numpy()), probes["h"].to_numpy(), False))
-    for source, target, codes, names, own in jobs:
-        low = np.searchsorted(value, target, "left")
-        high = np.searchsorted(value, target, "right")
-        if own:
-            low = np.arange(1, len(value) + 1)
-        count = np.maximum(high - low, 0)
-        source, low, count = source[count > 0], low[count > 0], count[count > 0]
+    state = {}
+    for kind, sample in samples.items():
+        unit = _unit(sample.astype(np.float64))
+        mean = unit.mean(axis=0)
+        state[kind] = mean, (unit - mean)[:LEARN_ROWS], planted_pairs(sample.astype(np.float64), similarity)
+    first = {kind: learn_rotation(centred, 0) for kind, (_, centred, _) in state.items()}
+    plan = plan or Plan.of(max(rows.values()), max(_flips(state[k][0], first[k], state[k][2]) for k in state), miss)
+    per = max(1, len(next(iter(first.values()))) // plan.bits)  # codes that one rotation has bits for
+    whole = -(-plan.bits // len(next(iter(first.values()))))
+    columns: dict[str, list[np.ndarray]] = {k: [] for k in state}
+    missed = {k: [np.ones(len(x), bool) for x, _ in planted] for k, (_, _, planted) in state.items()}
+    codes = 0
+    while codes == 0 or any(m.mean() > miss for many in missed.values() for m in many):
+        for kind, (mean, centred, planted) in state.items():
+            rotation = np.hstack([learn_rotation(centred, 1 + codes * 64 + i) for i in range(whole)])
+            for c in range(per):
+                part = rotation[:, c * plan.bits : (c + 1) * plan.bits]
+                columns[kind].append(part)
+                for lost, (x, y) in zip(missed[kind], planted):
+                    lost &= (((x - mean) @ part > 0) != ((y - mean) @ part > 0)).sum(axis=1) > plan.radius
+        codes += per
+    plan = Plan(plan.width, plan.substrings, plan.probe, codes, plan.split, plan.group_rows)
+    return plan, {k: Coder(state[k][0], np.hstack(columns[k]), 1 - max(m.mean() for m in missed[k])) for k in state}
+
+
+def masks_of(bits: int, most: int) -> list[int]:
+    """All words of some bits with ``most`` bits set or fewer."""
+    return [sum(1 << b for b in some) for k in range(most + 1) for some in combinations(range(bits), k)]
+
+
+def pairs_in_index(code_a, h_a, code_b, h_b, own: bool, j: int, free: int, probe: int, plan: Plan, block: int = 2_000_000):
+    """Pairs of rows whose substring ``j`` differs in ``probe`` of its low ``free`` bits at most and whose codes lie within the radius.
+
+    own: both sides are the same rows, and each pair comes once. A pair that an earlier substring of its code already
+    finds is left to that one. Yields arrays of ``h``; no more than ``block`` candidates are held at a time.
+    """
+    shift, low = np.uint64(j * plan.width), np.uint64((1 << free) - 1)
+    every = np.uint64((1 << plan.width) - 1)
+    value_b = (code_b >> shift) & low
+    order = np.argsort(value_b, kind="stable")
+    value_b, code_b, h_b = value_b[order], code_b[order], h_b[order]
+    if own:
+        value_a, code_a, h_a = value_b, code_b, h_b
+    else:
+        value_a = (code_a >> shift) & low
+    # Few values: a table of where each begins; many: binary search.
+    starts = np.searchsorted(value_b, np.arange((1 << free) + 1, dtype=np.uint64)) if free <= 22 else None
+    for mask in masks_of(free, probe):
+        target = value_a ^ np.uint64(mask)
+        at = np.flatnonzero(value_a < target) if own and mask else np.arange(len(value_a))
+        target = target[at]
+        if starts is not None:
+            begin, end = starts[target], starts[target + np.uint64(1)]
+        else:
+            begin, end = np.searchsorted(value_b, target, "left"), np.searchsorted(value_b, target, "right")
+        if own and not mask:
+            begin = at + 1
+        count = np.maximum(end - begin, 0)
+        some = count > 0
+        at, begin, count = at[some], begin[some], count[some]
         ends = np.cumsum(count)
-        at = 0
-        while at < len(source):
-            base = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, base + block, "right")))
-            c = count[at:to]
-            a = np.repeat(source[at:to], c)
-            b = np.repeat(low[at:to] - (ends[at:to] - c - base), c) + np.arange(int(c.sum()))
-            for k in range(0, len(a), block):  # one source with more partners than a block
-                x, y = a[k : k + block], b[k : k + block]
-                near = np.bitwise_count((codes[x] ^ code[y]).view(np.uint64)).sum(axis=1) <= radius
-                if near.any():
-                    yield names[x[near]], h[y[near]]
-            at = to
-
-
-def similar_classes(classes: DataFrame, similarity: float, plan: Plan | None = None) -> DataFrame:
-    """``kind``, ``h_a`` < ``h_b``, ``similarity`` of distinct vectors at least that similar, by multi-index hashing."""
-    classes = cut(classes)
-    most = classes.groupBy("kind").count().agg(F.max("count")).first()[0] or 0
-    if most == 0:
-        return classes.select("kind", F.col("h").alias("h_a"), F.col("h").alias("h_b"), F.lit(0.0).alias("similarity")).limit(0)
-    plan = plan or Plan.of(most, similarity)
-    total = classes.count()
-    sample = np.array([r[0] for r in classes.where(F.pmod("h", F.lit(max(1, total // FIT_ROWS))) == 0).select("v").limit(FIT_ROWS).collect()])
-    if not len(sample):
-        sample = np.array([r[0] for r in classes.select("v").limit(FIT_ROWS).collect()])
-    mean, rotations = learn_rotations(sample, plan.rotations)
-    codes = _codes(classes, mean, rotations, plan)
-    free = plan.width - plan.split
-    indexed = codes.select("kind", "h", "code", F.posexplode("values").alias("j", "value"))
-    part = F.shiftright("value", free)
-    rows = indexed.select("kind", "j", part.alias("part"), F.lit(False).alias("probe"), "h", "value", "code")
+        k = 0
+        while k < len(at):
+            base = ends[k - 1] if k else 0
+            to = max(k + 1, int(np.searchsorted(ends, base + block, "right")))
+            c = count[k:to]
+            for x, y in _expanded(at[k:to], begin[k:to], c, block):
+                differ = code_a[x] ^ code_b[y]
+                near = np.bitwise_count(differ) <= plan.radius
+                x, y, differ = x[near], y[near], differ[near]
+                first = np.ones(len(x), bool)
+                for earlier in range(j):
+                    first &= np.bitwise_count((differ >> np.uint64(earlier * plan.width)) & every) > plan.probe
+                if first.any():
+                    yield h_a[x[first]], h_b[y[first]]
+            k = to
+
+
+def _expanded(source, begin, count, block):
+    """Row numbers of both sides of runs of candidates, in blocks; a run longer than a block is cut."""
+    if len(source) == 1:
+        for at in range(0, int(count[0]), block):
+            n = min(block, int(count[0]) - at)
+            yield np.full(n, source[0]), begin[0] + at + np.arange(n)
+        return
+    ends = np.cumsum(count)
+    yield np.repeat(source, count), np.repeat(begin - (ends - count), count) + np.arange(int(ends[-1]))
+
+
+def _codes(vectors: DataFrame, plan: Plan, coders: dict[str, Coder]) -> DataFrame:
+    """``kind``, ``h``, ``codes`` of distinct vectors; the floats stay where they are read."""
+    sent = vectors.sparkSession.sparkContext.broadcast(coders)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            kinds = np.array(batch.column("kind").to_pylist(), object)
+            x = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            out = np.zeros((len(x), plan.codes), np.uint64)
+            for kind in set(kinds):
+                out[kinds == kind] = sent.value[kind].codes(x[kinds == kind], plan)
+            words = pa.FixedSizeListArray.from_arrays(pa.array(out.ravel().view(np.int64)), plan.codes).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("h"), words], names=["kind", "h", "codes"])
+
+    coded = vectors.select("kind", "h", "v").mapInArrow(encode, "kind string, h long, codes array<long>")
+    return coded.groupBy("kind", "h").agg(F.first("codes").alias("codes"))
+
+
+def fitted(vectors: DataFrame, similarity: float, miss: float = 2.5e-4, plan: Plan | None = None) -> tuple[Plan, dict[str, Coder], dict[str, int]] | None:
+    """Plan, coders and numbers of distinct vectors; None if there are no vectors. ``h`` is a hash, so its remainder gives a sample."""
+    rows = {r["kind"]: r["n"] for r in vectors.groupBy("kind").agg(F.approx_count_distinct("h").alias("n")).collect()}
+    if not rows:
+        return None
+    part = F.lit(1)
+    for kind, n in rows.items():
+        part = F.when(F.col("kind") == kind, F.lit(max(1, n // FIT_ROWS))).otherwise(part)
+    samples = {}
+    for kind in rows:
+        taken = vectors.where((F.col("kind") == kind) & (F.pmod("h", part) == 0)).select("h", "v").limit(2 * FIT_ROWS).toPandas().drop_duplicates("h").head(FIT_ROWS)
+        if len(taken):
+            samples[kind] = np.stack(taken["v"].to_numpy())
+    missing = rows.keys() - samples.keys()
+    for kind in missing:  # no row falls on the remainder: any rows serve
+        samples[kind] = np.stack(vectors.where(F.col("kind") == kind).select("v").limit(FIT_ROWS).toPandas()["v"].to_numpy())
+    return *fit(samples, rows, similarity, miss, plan), rows
+
+
+def _tiled(rows: DataFrame, plan: Plan) -> DataFrame:
+    """Rows with the tile they are compared in: a part of more than ``group_rows`` rows becomes a triangle of tiles.
+
+    Rows of a large part get a salt by their hash; each pair of salts is a task of its own, so no task holds more than
+    two salts' rows, however many rows share a value. There are fewer large parts than rows / group_rows.
+    """
+    sizes = rows.groupBy("kind", "slot", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * plan.group_rows)
+    large = cut(sizes.select("kind", "slot", "part", F.ceil(F.col("n") / plan.group_rows).cast("int").alias("salts")))
+    if large.isEmpty():
+        return rows.withColumn("tile", F.lit(0)).withColumn("other_tile", F.lit(0)).withColumn("salt", F.lit(0))
+    salted = rows.join(F.broadcast(large), ["kind", "slot", "part"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    salted = salted.withColumn("salt", F.pmod(F.xxhash64("h"), F.col("salts")).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    return salted.select("kind", "slot", "part", "depth", "h", "code", F.least("salt", "with").alias("tile"), F.greatest("salt", "with").alias("other_tile"), "salt")
+
+
+def similar_classes(vectors: DataFrame, similarity: float, plan: Plan | None = None, miss: float = 2.5e-4) -> DataFrame:
+    """``kind``, ``h_a`` < ``h_b``, ``similarity`` of distinct vectors at least that similar, by multi-index hashing.
+
+    vectors: as ``usable_vectors`` gives them. Only codes are shuffled; floats are read again for what was retrieved.
+    """
+    fits = fitted(vectors, similarity, miss, plan)
+    if fits is None:
+        return vectors.select("kind", F.col("h").alias("h_a"), F.col("h").alias("h_b"), F.lit(0.0).alias("similarity")).limit(0)
+    plan, coders, _ = fits
+    codes = _codes(vectors, plan, coders)
+    codes = cut(codes) if plan.split else codes
+    free, m = plan.width - plan.split, plan.substrings
+    one = codes.select("kind", "h", F.posexplode("codes").alias("t", "code"))
+    each = one.select("kind", "h", "code", F.explode(F.sequence(F.col("t") * m, F.col("t") * m + m - 1)).alias("slot"))
+    high = F.col("code")
+    for j in range(m):
+        high = F.when(F.col("slot") % m == j, F.shiftrightunsigned("code", j * plan.width + free)).otherwise(high)
+    part = high.bitwiseAND(F.lit((1 << plan.split) - 1))
+    rows = each.select("kind", "slot", part.alias("part"), F.lit(-1).alias("depth"), "h", "code")
     if plan.split:
-        # A row also probes the parts one high bit away, where that bit is set, with its value as read there.
-        flips = F.array(*(F.lit(1 << b).cast("long") for b in range(free, plan.width)))
-        probes = indexed.withColumn("bit", F.explode(flips)).where(F.col("value").bitwiseAND(F.col("bit")) != 0)
-        there = F.col("value").bitwiseXOR(F.col("bit"))
-        rows = rows.union(probes.select("kind", "j", F.shiftright(there, free).alias("part"), F.lit(True).alias("probe"), "h", there.alias("value"), "code"))
-    radius = plan.radius
-
-    def find(key, part_rows: pd.DataFrame) -> pd.DataFrame:
-        found = [np.zeros((0, 2), np.int64)]
-        members, probes = part_rows[~part_rows["probe"]], part_rows[part_rows["probe"]]
-        if len(members):
-            for a, b in pairs_in_index(members, probes, free, radius):
-                found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
-        pairs = np.concatenate(found)
-        return pd.DataFrame({"kind": key[0], "h_a": pairs[:, 0], "h_b": pairs[:, 1]})
-
-    candidates = cut(rows.groupBy("kind", "j", "part").applyInPandas(find, "kind string, h_a long, h_b long").distinct())
+        # A row also probes the parts whose high bits differ from its own in few bits, each pair of parts from one side.
+        flips = F.array(*(F.lit(x).cast("long") for x in masks_of(plan.split, plan.probe) if x))
+        probes = rows.withColumn("flip", F.explode(flips)).withColumn("there", F.col("part").bitwiseXOR(F.col("flip"))).where("there < part")
+        rows = rows.union(probes.select("kind", "slot", "there", (F.lit(plan.probe) - F.bit_count("flip")).cast("int"), "h", "code"))
+    tiled = _tiled(rows, plan) if plan.split else rows.withColumn("tile", F.lit(0)).withColumn("other_tile", F.lit(0)).withColumn("salt", F.lit(0))
+
+    def find(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, slot, _, tile, other = (k.as_py() for k in key)
+        table = pa.Table.from_batches(list(batches))
+        code = table["code"].to_numpy().view(np.uint64)
+        h, depth, salt = (table[c].to_numpy() for c in ("h", "depth", "salt"))
+        j = slot % m
+        member = depth < 0
+        if tile == other:
+            jobs = [(member, member, plan.probe, True)]
+            jobs += [(depth == d, member, d, False) for d in range(plan.probe)]
+        else:
+            jobs = [(member & (salt == tile), member & (salt == other), plan.probe, False)]
+            jobs += [((depth == d) & (salt == a), member & (salt == b), d, False) for d in range(plan.probe) for a, b in ((tile, other), (other, tile))]
+        for left, right, deep, own in jobs:
+            if left.any() and right.any():
+                for a, b in pairs_in_index(code[left], h[left], code[right], h[right], own, j, free, deep, plan):
+                    yield pa.RecordBatch.from_arrays([pa.array([kind] * len(a), pa.string()), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["kind", "h_a", "h_b"])
+
+    found = tiled.groupBy("kind", "slot", "part", "tile", "other_tile").applyInArrow(find, "kind string, h_a long, h_b long")
+    candidates = cut(found.distinct())
     # Float vectors of candidates only: most vectors have none, so these tables are small.
     wanted = candidates.select("kind", F.explode(F.array("h_a", "h_b")).alias("h")).distinct()
-    chosen = cut(classes.join(wanted, ["kind", "h"], "left_semi"))
+    chosen = cut(vectors.select("kind", "h", "v").join(wanted, ["kind", "h"], "left_semi").groupBy("kind", "h").agg(F.first("v").alias("v")))
     left, right = (chosen.select("kind", F.col("h").alias(f"h_{x}"), F.col("v").alias(f"v_{x}")) for x in "ab")
     return candidates.join(left, ["kind", "h_a"]).join(right, ["kind", "h_b"]).select("kind", "h_a", "h_b", cosine("v_a", "v_b").alias("similarity")).where(F.col("similarity") >= similarity - 1e-9)
 
@@ -193,20 +354,21 @@ def similar_pairs(vectors: DataFrame, similarity: float = 0.9) -> DataFrame:
     """``kind``, ``id_a`` < ``id_b`` of different ids at least that similar.
 
     Null, short, non-finite and zero vectors have no pairs; repeated rows count once; exact copies under several
-    ids are searched once and expanded at the end, which the result's columns require.
+    ids are searched once, and expanded only here at the end, which the result's columns require.
     """
-    classes, members = classes_of(vectors)
-    found = similar_classes(classes, similarity).select("kind", "h_a", "h_b")
-    members = cut(members)
+    found = similar_classes(vectors, similarity).select("kind", "h_a", "h_b")
+    members = cut(vectors.select("kind", "h", "id").distinct())
     a = members.select("kind", F.col("h").alias("h_a"), F.col("id").alias("a"))
     b = members.select("kind", F.col("h").alias("h_b"), F.col("id").alias("b"))
     across = found.join(a, ["kind", "h_a"]).join(b, ["kind", "h_b"]).select("kind", "a", "b")
-    within = a.join(b.withColumnRenamed("h_b", "h_a"), ["kind", "h_a"]).where("a < b").select("kind", "a", "b")
+    several = cut(members.groupBy("kind", "h").count().where("count > 1").select("kind", "h"))
+    copies = members.join(several, ["kind", "h"], "left_semi")
+    within = copies.select("kind", "h", F.col("id").alias("a")).join(copies.select("kind", "h", F.col("id").alias("b")), ["kind", "h"]).where("a < b").select("kind", "a", "b")
     both = across.union(within)
     return both.select("kind", F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).where("id_a < id_b").distinct()
 
 
-def _scan(queries: DataFrame, classes: DataFrame, k: int, most_rows: int = 100_000, least_rows: int = 10_000) -> DataFrame:
+def _scan(queries: DataFrame, classes: DataFrame, k: int, most_rows: int = 400_000, least_rows: int = 10_000) -> DataFrame:
     """Exact ``k`` nearest classes of a stated set of queries: each block of queries meets all rows in turn.
 
     Rows stream past a block of queries in Arrow batches; only the best ``k`` of each query are kept. Blocks are
@@ -278,24 +440,44 @@ def _scan(queries: DataFrame, classes: DataFrame, k: int, most_rows: int = 100_0
     return rows.mapInPandas(search, "kind string, h long, neighbour long, similarity double")
 
 
-def nearest(vectors: DataFrame, k: int = 10, sure: float = 0.9) -> DataFrame:
+#: Similarities at which ``nearest`` looks for neighbours, one after the other.
+LEVELS = (0.9, 0.8, 0.7, 0.6, 0.5)
+
+
+def _pays(plan: Plan, rows: int, open_rows: int) -> bool:
+    """Whether an index costs less than a quarter of comparing the open queries with all rows; both in costs of one comparison of codes."""
+    return 4 * plan.cost(rows) <= 0.1 * open_rows
+
+
+def nearest(vectors: DataFrame, k: int = 10, levels: tuple[float, ...] = LEVELS) -> DataFrame:
     """``kind``, ``id``, ``rank`` (from 1), ``neighbour``, ``similarity``: the ``k`` most similar other ids of every id.
 
-    The hash indexes answer every query that has ``k`` neighbours at least ``sure`` similar: no other row can be
-    nearer. All other queries are stated in full against all rows, in blocks. Ties fall to the smaller id.
+    The radius grows from level to level: the indexes answer every query that has ``k`` neighbours at least as similar
+    as the level, for no other row can be nearer; queries still open go to the next. A level is searched while its
+    index costs less than comparing what is open. All other queries are stated in full against all rows, in
+    blocks. Ties fall to the smaller id.
     """
     classes, members = classes_of(vectors)
     classes, members = cut(classes), cut(members)
-    sizes = members.groupBy("kind", "h").count()
-    hashed = cut(similar_classes(classes, sure))
-    both = hashed.select("kind", F.col("h_a").alias("h"), F.col("h_b").alias("neighbour"), "similarity").union(hashed.select("kind", F.col("h_b"), F.col("h_a"), "similarity"))
-    held = both.join(sizes.withColumnRenamed("h", "neighbour"), ["kind", "neighbour"]).groupBy("kind", "h").agg(F.sum("count").alias("near"))
-    answered = sizes.join(held, ["kind", "h"], "left").where(F.coalesce("near", F.lit(0)) + F.col("count") - 1 >= k).select("kind", "h")
-    answered = cut(answered)
-    open_queries = cut(classes.join(answered, ["kind", "h"], "left_anti"))
-    scanned = _scan(open_queries, classes, k)
-    own = classes.select("kind", "h", F.col("h").alias("neighbour"), F.lit(1.0).alias("similarity"))
-    all_near = both.join(answered, ["kind", "h"], "left_semi").union(scanned).union(own)
+    sizes = cut(members.groupBy("kind", "h").count())
+    rows = classes.groupBy("kind").count().agg(F.max("count")).first()[0] or 0
+    open_queries, parts = classes, []
+    for n, level in enumerate(levels if rows else ()):
+        if n:
+            flips = math.acos(level) / math.pi
+            if not _pays(Plan.of(rows, flips), rows, open_queries.count()):
+                break
+        hashed = cut(similar_classes(vectors, level))
+        both = hashed.select("kind", F.col("h_a").alias("h"), F.col("h_b").alias("neighbour"), "similarity").union(hashed.select("kind", F.col("h_b"), F.col("h_a"), "similarity"))
+        held = both.join(sizes.withColumnRenamed("h", "neighbour"), ["kind", "neighbour"]).groupBy("kind", "h").agg(F.sum("count").alias("near"))
+        near = open_queries.select("kind", "h").join(sizes, ["kind", "h"]).join(held, ["kind", "h"], "left")
+        answered = cut(near.where(F.coalesce("near", F.lit(0)) + F.col("count") - 1 >= k).select("kind", "h"))
+        if not answered.isEmpty():
+            parts.append(both.join(answered, ["kind", "h"], "left_semi"))
+            open_queries = cut(open_queries.join(answered, ["kind", "h"], "left_anti"))
+    all_near = classes.select("kind", "h", F.col("h").alias("neighbour"), F.lit(1.0).alias("similarity")).union(_scan(open_queries, classes, k))
+    for part in parts:
+        all_near = all_near.union(part)
     # The k + 1 smallest ids of a class are enough for any list of k; larger classes of copies lose nothing.
     first = members.withColumn("n", F.row_number().over(Window.partitionBy("kind", "h").orderBy("id"))).where(F.col("n") <= k + 1).drop("n")
     found = all_near.join(first.select("kind", F.col("h").alias("neighbour"), F.col("id").alias("other")), ["kind", "neighbour"])
@@ -303,3 +485,11 @@ def nearest(vectors: DataFrame, k: int = 10, sure: float = 0.9) -> DataFrame:
     pairs = members.join(per_class, ["kind", "h"]).where("id <> other")
     rank = F.row_number().over(Window.partitionBy("kind", "id").orderBy(F.desc("similarity"), "other"))
     return pairs.select("kind", "id", rank.alias("rank"), F.col("other").alias("neighbour"), "similarity").where(F.col("rank") <= k)
+
+
+def index_report(vectors: DataFrame, similarity: float = 0.9) -> DataFrame:
+    """``kind``, ``vectors`` (estimated), ``codes``, ``substrings``, ``width``, ``probe``, ``radius``, ``found`` (share of planted pairs at ``similarity`` that are retrieved)."""
+    schema = "kind string, vectors long, codes int, substrings int, width int, probe int, radius int, found double"
+    fits = fitted(vectors, similarity)
+    plan, coders, rows = fits or (None, {}, {})
+    return vectors.sparkSession.createDataFrame([(k, rows[k], plan.codes, plan.substrings, plan.width, plan.probe, plan.radius, float(c.found)) for k, c in sorted(coders.items())], schema)

@@ -60,6 +60,11 @@ def p2_nearest(spark: SparkSession, base: str) -> DataFrame:
     return neighbours.nearest(_vectors(spark, base), 10)
 
 
+def p2_index(spark: SparkSession, base: str) -> DataFrame:
+    """Shape of the index of each kind, and the share of planted pairs at a cosine of 0.90 that it retrieves."""
+    return neighbours.index_report(_vectors(spark, base))
+
+
 def _titles(spark: SparkSession, base: str) -> list[str]:
     """Titles of books and chapters: a reference list of fixed size, checked before it is sent."""
     chapters = table(spark, base, "chapters")
@@ -107,7 +112,7 @@ SELECT s AS concept_name, min(t) AS group_name FROM reach GROUP BY s
 """
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_nearest, p3_found, p3_text, p4_found, p7_ids, p7_token_counts, p8_containers, p9_found, p9_sentences)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_nearest, p2_index, p3_found, p3_text, p4_found, p7_ids, p7_token_counts, p8_containers, p9_found, p9_sentences)}
 ORACLES: dict[str, str] = {
     "p1_found": "SELECT DISTINCT chunk_id FROM section_chunks WHERE length(text) > 2400",
     "p2_found": P2_SQL,

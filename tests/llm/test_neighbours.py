@@ -38,13 +38,42 @@ def test_pairs_against_brute_force(spark, vectors):
     assert N.similar_pairs(df.limit(0)).count() == 0
 
 
-def test_split_indexes_find_the_same(spark, vectors):
+@pytest.mark.parametrize("split,group_rows", [(3, 200_000), (2, 40)])
+def test_split_and_tiled_indexes_find_the_same(spark, vectors, split, group_rows):
     df = N.usable_vectors(frame(spark, vectors), "id", "k")
-    classes, _ = N.classes_of(df)
-    plan = N.Plan.of(len(vectors), 0.9)
-    whole = {(r["h_a"], r["h_b"]) for r in N.similar_classes(classes, 0.9, plan).collect()}
-    parts = {(r["h_a"], r["h_b"]) for r in N.similar_classes(classes, 0.9, N.Plan(plan.width, plan.substrings, 3, plan.radius)).collect()}
-    assert len(whole ^ parts) <= 0.01 * len(whole)
+    whole = {(r["h_a"], r["h_b"]) for r in N.similar_classes(df, 0.9, N.Plan(10, 3, 2)).collect()}
+    parts = {(r["h_a"], r["h_b"]) for r in N.similar_classes(df, 0.9, N.Plan(10, 3, 2, 1, split, group_rows)).collect()}
+    assert whole and whole == parts
+
+
+@pytest.mark.parametrize("probe", [0, 1, 2])
+def test_every_code_within_the_radius_is_retrieved_once(probe):
+    rng = np.random.default_rng(3)
+    plan = N.Plan(6, 3, probe)
+    code = rng.integers(0, 1 << 18, 400).astype(np.uint64)
+    h = np.arange(400)
+    got = []
+    for j in range(3):
+        for a, b in N.pairs_in_index(code, h, code, h, True, j, 6, probe, plan, block=50):
+            got += [tuple(sorted(p)) for p in zip(a.tolist(), b.tolist())]
+    near = np.bitwise_count(code[:, None] ^ code[None, :]) <= plan.radius
+    assert sorted(got) == sorted((int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(near, 1))))
+
+
+@pytest.mark.parametrize("norm", [0.02, 0.67, 0.85])
+def test_recall_does_not_fall_when_vectors_have_a_common_mean(norm):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((8_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    middle = rng.standard_normal(64)
+    x += norm / math.sqrt(1 - norm**2) * middle / np.linalg.norm(middle) * (norm > 0.1)
+    plan, coders = N.fit({"k": x[4_000:]}, {"k": 20_000}, 0.9)
+    u = x[:4_000] / np.linalg.norm(x[:4_000], axis=1, keepdims=True)
+    away = rng.standard_normal(u.shape)
+    away -= (away * u).sum(axis=1, keepdims=True) * u
+    y = 0.905 * u + math.sqrt(1 - 0.905**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+    within = np.bitwise_count(coders["k"].codes(u, plan) ^ coders["k"].codes(y, plan)) <= plan.radius
+    assert within.any(axis=1).mean() >= 0.99 and coders["k"].found >= 0.999
 
 
 def test_nearest_recall(spark, vectors):
@@ -63,9 +92,13 @@ def test_nearest_recall(spark, vectors):
     assert hits / (10 * len(vectors)) >= 0.99
 
 
-def test_plan_bounds_misses():
-    for rows in (10, 10**5, 10**9):
-        plan = N.Plan.of(rows, 0.9)
-        p = math.acos(0.9) / math.pi
-        hit = (1 - p) ** plan.width + plan.width * p * (1 - p) ** (plan.width - 1)
-        assert (1 - hit) ** plan.substrings <= 1e-3
+def test_radius_grows_until_queries_are_answered(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((40, 64))
+    x = np.repeat(centres, 13, axis=0) + 0.35 * rng.standard_normal((520, 64))  # cosines of about 0.89
+    df = N.usable_vectors(frame(spark, x.astype(np.float32)), "id", "k")
+    by_index = {(r["id"], r["rank"], r["neighbour"]) for r in N.nearest(df, 10).collect()}
+    s = truth(x.astype(np.float32))
+    np.fill_diagonal(s, -2)
+    hits = sum(s[int(i[1:]), int(n[1:])] >= np.sort(s[int(i[1:])])[-10] - 1e-6 for i, _, n in by_index)
+    assert len(by_index) == 5200 and hits >= 0.99 * 5200

@@ -41,6 +41,22 @@ def glyph_edits(seen: str, true: str, most: int = 2) -> int | None:
     return best.get((n, m))
 
 
+def entered(seen: str, most: int = 2, letters: int = 2) -> set[str]:
+    """The first letters that a word can have of which ``seen`` is a misreading: the tries its automaton can enter."""
+    out, walk = set(), [(0, "", 0)]
+    while walk:
+        i, start, cost = walk.pop()
+        if len(start) >= letters or i == len(seen):
+            out.add(start[:letters])
+            continue
+        walk.append((i + 1, start + seen[i], cost))
+        if cost < most:
+            if (bare := plain(seen[i])) != seen[i]:
+                walk.append((i + 1, start + bare, cost + 1))
+            walk += [(i + len(s), start + t, cost + 1) for t, s in _READ if seen.startswith(s, i)]
+    return out
+
+
 class Trie:
     """A vocabulary as nested dictionaries; the empty key holds the word that ends there."""
 

@@ -1,15 +1,16 @@
 """Problem 3: what a page scan leaves in texts - broken and misread words, headers, page numbers.
 
-Three passes over the texts. The first counts words. The second finds page furniture and broken words where
-they stand and lists the words of the running text that are not among the commonest. Between them, each rare
-word of the corpus is looked up once: a Levenshtein automaton is intersected with tries of the corpus's own
-vocabulary, and candidates count if scanners' misreadings explain the difference and they are far commoner.
-The third pass, for whole texts, repairs words by rank and context, drops furniture and reflows paragraphs.
+Three passes over the texts. The first counts words and lines. Then each rare word of the corpus is looked up once: a
+Levenshtein automaton is intersected with tries of the corpus's own vocabulary, and candidates count if scanners'
+misreadings explain the difference and they are far commoner. The second pass finds page furniture, broken words
+and rare words where they stand, with the word before each, and counts what stands before the candidates. Rank and
+context then decide each occurrence, by joins. The third pass, for whole texts, repairs words, drops furniture and reflows paragraphs.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from functools import lru_cache
 
@@ -19,13 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, spread
-from .lexicon import Trie, glyph_edits
+from .lexicon import Trie, entered, glyph_edits
 
 BREAK_SIGNS = "-‐‑¬\xad"
 _OUTER = ".,;:?()[]{}<>“”‘’\"'«»„…—–*•·=+&%$#@~`^/\\，。；：？！「」（）、…"
 # The sign comes first, so that the search skips from sign to sign.
 _BREAK = re.compile(rf"[{BREAK_SIGNS}](?<=[^\W\d_].)[ \t]*\r?\n[ \t]*(?=[^\W\d_])")
-_UNSPACED = re.compile(r"[\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff]")
+# Runs of characters between those of scripts without blanks and their wide signs.
+_RUNS = re.compile(r"[^\u2e80-\u9fff\uac00-\ud7af\uf900-\ufaff\uff00-\uffef]+")
 _TECHNICAL = re.compile(r"[./_()\[\]{}=<>\\:@]")
 _CLEAN = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
 _SEGMENT = re.compile(r"\s*[|·—–:]\s*|\s{2,}")
@@ -33,6 +35,7 @@ _SPACED = re.compile(r"\S(?:\s{1,4}\S)+")
 _TAG = re.compile(r"(?i)(?:chap(?:ter|\.)?|sec(?:tion|\.|t\.)?|part|unit|lesson|第)?\s*\d+(?:\.\d+)*\s*[章節]?")
 _NUMBERED = re.compile(r"\s*\d+(?:\.\d+)+\s+\S")
 _CODE = re.compile(r"[{};]\s*$|^\s*(?:#include|if \(|for \(|while \(|return\b)|\(\);")
+_LISTED = re.compile(r"\s*(?:[•‣◦▪●*–—-]|\(?\d{1,3}[.)]|[a-z]\))\s+\S")
 _DUMP = re.compile(r"[0-9A-Fa-fx\s:.]{16,}")
 # Words of notices about the edition.
 _NOTICE = re.compile(r"(?i)\b(?:draft|pre-?print|proof|uncorrected|not for sale|course reader|review copy|reprint(?:ed)?|copyright|all rights reserved|not for distribution|for internal use)\b|\bedition(?:,? \d+)?$|版權|初稿|試讀")
@@ -68,6 +71,8 @@ def _near(a: str, b: str, most: int) -> bool:
         last, row[0] = row[0], i
         for j, y in enumerate(b, 1):
             last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        if min(row) > most:
+            return False
     return row[-1] <= most
 
 
@@ -76,20 +81,42 @@ class Furniture:
 
     def __init__(self, titles):
         self.titles = {key for t in titles if t and len(key := self.key(t)) >= 6}
+        self.longest = max(map(len, self.titles), default=0)
+        # Of a title cut into one piece more than letters may be misread, some piece stands unchanged in every reading of it.
+        self.pieces: dict[str, set[str]] = {}
+        for t in self.titles:
+            k = self._misread(t) + 1
+            for i in range(k):
+                self.pieces.setdefault(t[i * len(t) // k : (i + 1) * len(t) // k], set()).add(t)
+        self.lengths = sorted({len(p) for p in self.pieces})
         self.is_title = lru_cache(maxsize=100_000)(self._is_title)
 
     @staticmethod
     def key(text: str) -> str:
         return "".join(c for c in text.casefold().translate(_READ_LETTER) if c.isalpha())
 
+    @staticmethod
+    def _misread(key: str) -> int:
+        """How many letters of a title may be misread."""
+        return max(1, len(key) // 7)
+
     def _is_title(self, text: str) -> bool:
+        most = self.longest + self._misread("x" * self.longest)
+        # A beginning with more letters than any title needs no further look.
+        if len(text) > 4 * most and len(self.key(text[: 4 * most])) > most:
+            return False
         key = self.key(text)
-        return len(key) >= 6 and (key in self.titles or any(abs(len(key) - len(t)) <= (most := max(1, len(t) // 7)) and _near(key, t, most) for t in self.titles))
-
-    def kinds(self, line: str, pages: frozenset[int]) -> tuple[str, ...]:
+        if len(key) < 6 or len(key) > most:
+            return False
+        if key in self.titles:
+            return True
+        near = {t for n in self.lengths for i in range(len(key) - n + 1) for t in self.pieces.get(key[i : i + n], ())}
+        return any(_near(key, t, self._misread(t)) for t in near)
+
+    def kinds(self, line: str, pages) -> tuple[str, ...]:
         """'header' and 'page_number' as far as they hold for a line at a page's edge."""
         line = line.strip()
-        if not line or len(line) > 120 or line.startswith("|"):
+        if not line or line.startswith("|"):
             return ()
         value = page_value(line)
         if value is not None:
@@ -108,7 +135,7 @@ class Furniture:
         if not titled or not all(_TAG.fullmatch(p.translate(_READ_DIGIT) if any(c.isdigit() for c in p) and " " not in p else p) for p in rest):
             return ()
         numbers = {int(n) for p in rest if (n := p.translate(_READ_DIGIT)).isdigit()}
-        return ("header", "page_number") if numbers & pages else ("header",)
+        return ("header", "page_number") if any(n in pages for n in numbers) else ("header",)
 
 
 def _in_code(line: str) -> bool:
@@ -117,37 +144,40 @@ def _in_code(line: str) -> bool:
     return bare.startswith("|") or bool(_CODE.search(line)) or bool(_DUMP.fullmatch(bare))
 
 
+def _edges(lines: list[str], offsets) -> tuple[list[int], list[tuple[list[int], list[int]]], set[int]]:
+    """Lines that may be furniture, the two lines at each edge of each page, and the outermost ones.
+
+    Without offsets of pages any line may be furniture.
+    """
+    filled = [i for i, line in enumerate(lines) if line.strip()]
+    if offsets is None or not len(offsets):
+        return filled, [], set(filled[:1] + filled[-1:])
+    starts, at = [], 0
+    for line in lines:
+        starts.append(at)
+        at += len(line) + 1
+    cuts = sorted(int(o) for o in offsets if o is not None and o > 0)
+    groups: list[list[int]] = [[]]
+    for i in filled:
+        while cuts and starts[i] >= cuts[0]:
+            cuts.pop(0)
+            groups.append([])
+        groups[-1].append(i)
+    near = {i for g in groups for i in g[:2] + g[-2:]}
+    return [i for i in filled if i in near], [(g[:2], g[:-3:-1]) for g in groups], {i for g in groups for i in g[:1] + g[-1:]}
+
+
 class Page:
     """A text as lines, each marked with the furniture it is."""
 
     def __init__(self, text: str, pages, offsets, bounds, furniture: Furniture):
         self.lines = text.split("\n")
-        known = {int(p) for p in (pages if pages is not None else []) if p is not None}
-        if not known:
+        numbers = frozenset(int(p) for p in (pages if pages is not None else []) if p is not None)
+        if not numbers:
             both = sorted(int(b) for b in bounds if b is not None)
-            known = set(range(both[0], both[-1] + 1)) if both and both[-1] - both[0] < 1000 else set()
-        numbers = frozenset(known)
-        filled = [i for i, line in enumerate(self.lines) if line.strip()]
+            numbers = range(both[0], both[-1] + 1) if both else numbers
         self.kinds: list[tuple[str, ...]] = [()] * len(self.lines)
-        if offsets is not None and len(offsets):
-            starts, at = [], 0
-            for line in self.lines:
-                starts.append(at)
-                at += len(line) + 1
-            edges = set()
-            cuts = sorted(int(o) for o in offsets if o is not None and o > 0)
-            groups: list[list[int]] = [[]]
-            for i in filled:
-                while cuts and starts[i] >= cuts[0]:
-                    cuts.pop(0)
-                    groups.append([])
-                groups[-1].append(i)
-            for g in groups:
-                edges.update(g[:2] + g[-2:])
-            candidates = [i for i in filled if i in edges]
-            by_edge = [(g[:2], g[:-3:-1]) for g in groups]
-        else:
-            candidates, by_edge = filled, []
+        candidates, by_edge, self.edges = _edges(self.lines, offsets)
         for i in candidates:
             self.kinds[i] = furniture.kinds(self.lines[i].rstrip("\r"), numbers)
         for top, bottom in by_edge:  # the second line counts only behind another piece of furniture
@@ -159,12 +189,45 @@ class Page:
         """The text without furniture lines."""
         return "\n".join(line for line, k in zip(self.lines, self.kinds) if not k)
 
+    def repeating(self) -> dict[str, list[int]]:
+        """Lines at a page's edge that may be furniture if they come back on other pages, by their key."""
+        out: dict[str, list[int]] = {}
+        for i in self.edges:
+            if not self.kinds[i] and (key := line_key(self.lines[i])):
+                out.setdefault(key, []).append(i)
+        return out
+
+    def drop(self, keys) -> None:
+        """Mark repeated lines as headers."""
+        for key, lines in self.repeating().items():
+            if key in keys:
+                for i in lines:
+                    self.kinds[i] = ("header",)
+
+
+def line_key(line: str) -> str | None:
+    """What stays the same of a running header from page to page, after a line end; None for lines that read like text, headings or code."""
+    if len(line) > 400 or line[:1].islower():
+        return None
+    bare = line.strip()
+    if not 4 <= len(bare) <= 400 or bare[-1] in ".!?;:,。！？；：，" or bare[0].islower() or _NUMBERED.match(bare) or _LISTED.match(bare) or _in_code(bare):
+        return None
+    letters = "".join(c for c in bare.casefold() if c.isalpha())
+    return "\n" + letters if len(letters) >= 4 else None
+
 
 @lru_cache(maxsize=200_000)
 def _words_of(token: str) -> tuple[str, ...]:
-    """Words of a token with signs that may stand for letters; parts of technical names are left out."""
-    core = token.strip(_OUTER)
-    return tuple(part for part in core.split("-") if part) if core and not _TECHNICAL.search(core) else ()
+    """Words of a token with signs that may stand for letters; parts of technical names are left out.
+
+    A token that mixes in scripts without blanks is cut at their borders.
+    """
+    out: list[str] = []
+    for run in (token,) if token.isascii() else _RUNS.findall(token):
+        core = run.strip(_OUTER)
+        if core and not _TECHNICAL.search(core):
+            out += [part for part in core.split("-") if part]
+    return tuple(out)
 
 
 def _words(line: str):
@@ -175,8 +238,12 @@ def _words(line: str):
 
 @lru_cache(maxsize=200_000)
 def _keys_of(token: str) -> tuple[str, ...]:
-    """Words of a token in lower case that may be looked up; none of tokens that mix in scripts without blanks."""
-    return () if _UNSPACED.search(token) else tuple(w for word in _words_of(token) if len(w := _plain_end(word).lower()) < 40 and any("a" <= c <= "z" for c in w))
+    """Words of a token in lower case; only those with a letter may be looked up."""
+    return tuple(_plain_end(word).lower() for word in _words_of(token))
+
+
+def _sought(word: str) -> bool:
+    return any(c.isalpha() for c in word)
 
 
 def _parted(text: str) -> tuple[str, list[str]]:
@@ -209,7 +276,8 @@ def _count(texts) -> tuple[Counter, Counter]:
         words: Counter = Counter()
         for token, n in counts.items():
             for word in _keys_of(token):
-                words[word] += n
+                if _sought(word):
+                    words[word] += n
             core = token.strip(_OUTER)
             if "-" in core and _CLEAN.fullmatch(core):
                 words[core.lower()] += n
@@ -222,35 +290,68 @@ def _plain_end(word: str) -> str:
     return word.rstrip("!") if word.endswith("!!") else word
 
 
-def word_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
-    """``word``, ``n``, ``whole`` (not broken at a line's end) over all texts; each batch is summed before the shuffle."""
+def word_counts(texts: DataFrame) -> DataFrame:
+    """``word``, ``n``, ``whole`` over all texts; each batch is summed before the shuffle.
+
+    ``whole`` counts words that no line's end has broken. Lines that may be running headers count too, under their
+    key, which begins with a line end: ``n`` everywhere, ``whole`` at the edges of pages.
+    """
 
     def count(batches):
         for batch in batches:
-            whole, broken = _count(t for t in batch.column(0).to_pylist() if t)
+            rows = batch.to_pylist()
+            whole, broken = _count(r["text"] for r in rows)
+            middle: Counter = Counter()
+            for r in rows:
+                lines = r["text"].split("\n")
+                edges = _edges(lines, r["page_offsets"])[2]
+                for i, line in enumerate(lines):
+                    if key := line_key(line):
+                        (whole if i in edges else middle)[key] += 1
+            broken.update(middle)
             words = list(whole.keys() | broken.keys())
             n, w = [whole[x] + broken[x] for x in words], [whole[x] for x in words]
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n, pa.int64()), pa.array(w, pa.int64())], names=["word", "n", "whole"])
 
-    return texts.select(text_col).mapInArrow(count, "word string, n long, whole long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("whole").alias("whole"))
+    return texts.select("text", "page_offsets").mapInArrow(count, "word string, n long, whole long").groupBy("word").agg(F.sum("n").alias("n"), F.sum("whole").alias("whole"))
 
 
-def corrections(counts: DataFrame, least: int = 5, ratio: int = 10, distance: int = 2, shard_words: int = 20_000, block_words: int = 2_000) -> DataFrame:
+def repeated_lines(counts: DataFrame, least: int = 10, share: float = 0.9) -> DataFrame:
+    """``line``: keys of lines that stand at the edges of ``least`` pages or more and hardly anywhere else."""
+    return counts.where(F.col("word").startswith("\n") & (F.col("whole") >= least) & (F.col("whole") >= share * F.col("n"))).select(F.col("word").alias("line"))
+
+
+def corrections(counts: DataFrame, least: int = 5, ratio: int = 10, distance: int = 2, shard_words: int = 20_000, block_words: int = 20_000) -> DataFrame:
     """``word``, ``candidate``, ``edits``, ``n``, ``candidate_n`` for every misread word of the corpus.
 
-    The vocabulary (clean words seen ``least`` times or more) is cut into tries of at most about ``shard_words`` words
-    and the words to look up into blocks; each pair of a shard and a block is one task, whatever the size of
-    the corpus. A candidate must be ``ratio`` times as common and differ by misreadings alone.
+    The vocabulary (clean words seen ``least`` times or more) is cut into tries by the words' first two letters. A word to
+    look up goes only to the tries that its misreadings can enter, and there into one of several blocks, so each
+    task holds a trie and a block whatever the size of the corpus. A candidate must be ``ratio`` times as common and
+    differ by misreadings alone.
     """
-    counts = counts.where(F.length("word") >= 2)
-    vocabulary = counts.where((F.col("n") >= least) & F.col("word").rlike("^[a-z]{2,}$"))
-    shards = max(1, -(-vocabulary.count() // shard_words))
-    # A word can only be a misreading if some word is ratio times as common.
+    counts = counts.where((F.length("word") >= 2) & ~F.col("word").startswith("\n"))
+    vocabulary = counts.where((F.col("n") >= least) & F.col("word").rlike("^\\p{Ll}{2,}$"))
+    size, longest = vocabulary.agg(F.count(F.lit(1)), F.max(F.length("word"))).first()
+    shards = max(1, -(-size // shard_words))
+    # A word can only be a misreading if some word is ratio times as common, and about as long.
     top = counts.agg(F.max("n")).first()[0] or 0
-    rare = counts.where((F.col("n") * ratio <= top) & F.col("word").rlike("^[!|†]?[\\p{L}0-9!|†]+$") & ~F.col("word").rlike("^[0-9]+[a-z]?$") & F.col("word").rlike("^[^\\u3000-\\u9fff\\uac00-\\ud7af]+$"))
-    blocks = max(8, -(-rare.count() // block_words))
-    words = vocabulary.select(F.pmod(F.xxhash64("word"), F.lit(shards)).alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), "word", "n")
-    looked = rare.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"), F.pmod(F.xxhash64("word"), F.lit(blocks)).alias("block"), "word", "n")
+    rare = counts.where((F.col("n") * ratio <= top) & (F.length("word") <= (longest or 0) + distance) & F.col("word").rlike("^[!|†]?[\\p{L}0-9!|†]+$") & ~F.col("word").rlike("^[0-9]+[a-z]?$")).select("word", "n")
+
+    def route(batches):
+        for batch in batches:
+            words, n = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            starts = [entered(w, distance) for w in words]
+            at = [i for i, s in enumerate(starts) for _ in s]
+            yield pa.RecordBatch.from_arrays([pa.array([p for s in starts for p in s], pa.string()), pa.array([words[i] for i in at], pa.string()), pa.array([n[i] for i in at], pa.int64())], names=["start", "word", "n"])
+
+    shard_of = lambda c: F.pmod(F.xxhash64(c), F.lit(shards))
+    if shards > 1:
+        looked = cut(rare.mapInArrow(route, "start string, word string, n long").select(shard_of("start").alias("shard"), "word", "n").distinct())
+    else:
+        looked = cut(rare.select(F.lit(0).cast("long").alias("shard"), "word", "n"))
+    blocks = max(-(-8 // shards), -(-looked.count() // (shards * block_words)))
+    words = vocabulary.select(shard_of(F.substring("word", 1, 2)).alias("shard"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), "word", "n")
+    looked = looked.select("shard", F.pmod(F.xxhash64("word"), F.lit(blocks)).alias("block"), "word", "n")
 
     def match(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         common = dict(zip(shard["word"], shard["n"]))
@@ -285,25 +386,60 @@ def _sources(section_chunks: DataFrame, chunks: DataFrame) -> DataFrame:
     ).where(F.length("text") > 0)
 
 
-def find_noise(section_chunks: DataFrame, chunks: DataFrame, titles: list[str], known_words: int = 50_000) -> DataFrame:
+#: Commonest words that travel to the tasks, and marks of the table of words whose neighbours are counted.
+KNOWN_WORDS, MARKS = 50_000, 1 << 22
+
+
+class Noise:
+    """What both queries need: counts, corrections, and what was spotted and judged in every text."""
+
+    def __init__(self, section_chunks: DataFrame, chunks: DataFrame, titles: list[str], known_words: int = KNOWN_WORDS, as_is: int = 5):
+        self.texts, self.titles = spread(_sources(section_chunks, chunks)), titles
+        counts = cut(word_counts(self.texts))
+        found = cut(corrections(counts))
+        wrong = found.select("word").distinct()
+        # All words that stand whole somewhere and are not misread; those that travel are the commonest of them.
+        full = counts.where((F.col("whole") > 0) & ~F.col("word").startswith("\n")).select("word", "whole").join(wrong, "word", "left_anti")
+        self.known = [r[0] for r in full.orderBy(F.desc("whole"), "word").limit(known_words).select("word").collect()]
+        # Which words' neighbours to count: a table of fixed size, and exact after the join.
+        marks = bytearray(MARKS // 8)
+        for (m,) in found.select(F.pmod(F.crc32(F.col("candidate").cast("binary")), F.lit(MARKS))).distinct().collect():
+            marks[m >> 3] |= 1 << (m & 7)
+        spotted = cut(_spot(self.texts, titles, self.known, bytes(marks)))
+        key = ["src_table", "chunk_id"]
+        self.furniture = spotted.where(F.col("noise").isin("header", "page_number")).select(*key, "noise")
+        lines = spotted.where("noise = 'line'").select(*key, F.col("word").alias("line")).join(repeated_lines(counts), "line", "left_semi")
+        self.lines = cut(lines.distinct())
+        # A broken word: its joined form is a word, or the form with the hyphen is none and the rest goes on in lower case.
+        standing = full.select("word", F.lit(True).alias("stands"))
+        broken = spotted.where(F.col("noise").isin("break", "break_lower", "compound")).select(*key, "noise", "word", F.col("other"))
+        joined = broken.join(standing, "word", "left").withColumnRenamed("stands", "whole_word")
+        parted = joined.join(standing.withColumnRenamed("word", "other").withColumnRenamed("stands", "compound_word"), "other", "left")
+        lower = (F.col("noise") == "break_lower") & F.col("compound_word").isNull()
+        self.broken = parted.where(F.coalesce("whole_word", F.lit(False)) | lower).select(*key, "word", "other").union(spotted.where("noise = 'broken'").select(*key, "word", "other")).distinct()
+        # Misread words where they stand, without those on repeated lines.
+        seen = spotted.where("noise = 'word'").select(*key, "word", F.col("other").alias("left"), "line").join(wrong, "word", "left_semi")
+        seen = cut(seen.join(self.lines.withColumn("gone", F.lit(True)), [*key, "line"], "left").where("gone IS NULL").select(*key, "left", "word").distinct())
+        own = seen.groupBy("left", "word").agg(F.count(F.lit(1)).alias("as_is"))
+        pairs = spotted.where("noise = 'pair'").groupBy(F.col("other").alias("left"), F.col("word").alias("candidate")).agg(F.sum("n").alias("together"))
+        ranked = own.join(found, "word").join(pairs, ["left", "candidate"], "left").withColumn("together", F.coalesce("together", F.lit(0).cast("long")))
+        rank = F.struct("together", -F.col("edits"), F.col("candidate_n"), F.col("candidate"))
+        best = ranked.groupBy("left", "word").agg(F.max_by("candidate", rank).alias("candidate"), F.max("together").alias("together"), F.first("as_is").alias("as_is"))
+        # Where a word itself follows the one before it again and again, more often than any candidate, it stands.
+        self.misread = seen.join(best.where((F.col("as_is") < as_is) | (F.col("as_is") <= F.col("together"))).select("left", "word", "candidate"), ["left", "word"])
+
+
+def find_noise(section_chunks: DataFrame, chunks: DataFrame, titles: list[str], known_words: int = KNOWN_WORDS) -> DataFrame:
     """Distinct ``src_table``, ``chunk_id``, ``noise`` ('hyphen', 'ocr', 'header', 'page_number').
 
     Null and empty texts have none; repeated rows count once; a null page list falls back to the page bounds
-    in either order. Only the ``known_words`` commonest words travel to the tasks; all others meet their
-    corrections in a join.
+    in either order. Only the ``known_words`` commonest words travel to the tasks; all others are decided in joins
+    with the whole table of words, by the same rules.
     """
-    texts = spread(_sources(section_chunks, chunks))
-    counts = cut(word_counts(texts))
-    wrong = cut(corrections(counts)).select("word").distinct()
-    known = [r[0] for r in counts.where("whole > 0").orderBy(F.desc("whole"), "word").limit(known_words).join(wrong, "word", "left_anti").select("word").collect()]
-    # Furniture has no word; its chunk id stands in, so that these rows spread over the tasks of the join.
-    spotted = _spot(texts, titles, known).withColumn("word", F.coalesce("word", "chunk_id"))
-    judged = spotted.join(wrong.withColumn("wrong", F.lit(True)), "word", "left")
-    return (
-        judged.where("noise <> 'word' OR wrong")
-        .select("src_table", "chunk_id", F.when(F.col("noise") == "word", "ocr").otherwise(F.col("noise")).alias("noise"))
-        .distinct()
-    )
+    found = Noise(section_chunks, chunks, titles, known_words)
+    key = ["src_table", "chunk_id"]
+    each = found.furniture.union(found.lines.select(*key, F.lit("header"))).union(found.broken.select(*key, F.lit("hyphen"))).union(found.misread.select(*key, F.lit("ocr")))
+    return each.distinct()
 
 
 def _running(body: str) -> str:
@@ -311,65 +447,90 @@ def _running(body: str) -> str:
     return "\n".join(line for line in body.split("\n") if not _in_code(line) and not _NUMBERED.match(line))
 
 
-def _neighbours(running: str):
-    """Words of running text with the word before each."""
-    left = ""
-    for token in _BREAK.sub("", running).split():
-        for word in _words(token):
-            word = _plain_end(word).lower()
-            yield left, word
-            left = word
+def _break_forms(text: str, m: re.Match) -> tuple[str, str, bool] | None:
+    """The word around a sign at a line's end joined, with the hyphen, and whether its rest goes on in lower case."""
+    a, b = m.start(), m.end()
+    while a and (text[a - 1].isalpha() or text[a - 1] == "-"):
+        a -= 1
+    while b < len(text) and (text[b].isalpha() or text[b] == "-"):
+        b += 1
+    left, right = re.search(r"[^\W\d_]+(?:-[^\W\d_]+)*\Z", text[a : m.start()]), re.match(r"[^\W\d_]+(?:-[^\W\d_]+)*", text[m.end() : b])
+    if not left or not right or "一" <= right.group()[0] <= "鿿":
+        return None
+    x, y = left.group().lower(), right.group().lower()
+    return x + y, f"{x}-{y}", right.group()[0].islower()
+
 
+def _spot(texts: DataFrame, titles: list[str], known: list[str], marks: bytes) -> DataFrame:
+    """What stands where: ``src_table``, ``chunk_id``, ``noise``, ``word``, ``other``, ``line``, ``n``.
 
-def _spot(texts: DataFrame, titles: list[str], known: list[str]) -> DataFrame:
-    """Furniture and broken words where they stand, and the words of running text outside ``known``."""
+    By ``noise``: furniture; 'line', a line at a page's edge that may be repeated; 'word', a word of running text outside
+    ``known``, behind ``other`` and on ``line`` if that may be repeated; 'broken', 'break', 'break_lower' and 'compound', a word
+    broken at a line's end, joined and with its hyphen (the first is decided, the last known as a compound); 'pair', how often
+    a marked word follows ``other`` in the texts of a batch.
+    """
     spark = texts.sparkSession
-    sent = spark.sparkContext.broadcast((list(titles), frozenset(known)))
+    sent = spark.sparkContext.broadcast((list(titles), frozenset(known), marks))
 
     def spot(batches):
-        names, common = sent.value
+        names, common, bits = sent.value
         furniture = Furniture(names)
-        for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                page = Page(row["text"], row["pages"], row["page_offsets"], (row["page_start"], row["page_end"]), furniture)
-                key = (row["src_table"], row["chunk_id"])
-                found = {k for kinds in page.kinds for k in kinds}
-                body = page.body()
-                running = _running(body)
-                for m in _BREAK.finditer(running):
-                    if _broken(running, m, common):
-                        found.add("hyphen")
-                        break
-                rows += [(*key, kind, None) for kind in found]
-                seen = {w for token in set(_BREAK.sub("", running).split()) for w in _keys_of(token)} - common
-                rows += [(*key, "word", w) for w in seen]
-            columns = list(zip(*rows)) if rows else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in columns], names=["src_table", "chunk_id", "noise", "word"])
+        cache: dict[str, tuple] = {}
 
-    return texts.mapInArrow(spot, "src_table string, chunk_id string, noise string, word string")
+        def kind_of(word: str) -> int:
+            """Two marks: whether a word is to be looked up, and whether its neighbours are counted."""
+            m = zlib.crc32(word.encode()) % MARKS
+            return (word not in common and _sought(word)) + 2 * (bits[m >> 3] >> (m & 7) & 1)
 
+        def look_at(token: str) -> tuple:
+            """The last word of a token, and its words with a mark, each with the word of the token before it."""
+            words = _keys_of(token)
+            before = (None, *words)
+            cache[token] = c = (words[-1] if words else None, tuple((w, k, b) for w, b in zip(words, before) if (k := kind_of(w))))
+            return c
 
-def _context(texts: DataFrame, titles: list[str], words: set[str]) -> DataFrame:
-    """``left``, ``word``, ``together``: how often some words follow others in running text."""
-    spark = texts.sparkSession
-    sent = spark.sparkContext.broadcast((list(titles), frozenset(words)))
-
-    def count(batches):
-        names, wanted = sent.value
-        furniture = Furniture(names)
         for batch in batches:
-            pairs: Counter = Counter()
+            rows, pairs = [], Counter()
+            if len(cache) > 300_000:
+                cache.clear()
             for row in batch.to_pylist():
                 page = Page(row["text"], row["pages"], row["page_offsets"], (row["page_start"], row["page_end"]), furniture)
-                pairs.update(p for p in _neighbours(_running(page.body())) if p[1] in wanted)
-            left, word = zip(*pairs) if pairs else ([], [])
-            yield pa.RecordBatch.from_arrays([pa.array(list(left), pa.string()), pa.array(list(word), pa.string()), pa.array(list(pairs.values()), pa.int64())], names=["left", "word", "together"])
-
-    return texts.mapInArrow(count, "left string, word string, together long").groupBy("left", "word").agg(F.sum("together").alias("together"))
-
-
-def clean_texts(section_chunks: DataFrame, chunks: DataFrame, titles: list[str], known_words: int = 50_000) -> DataFrame:
+                key = (row["src_table"], row["chunk_id"])
+                rows += [(*key, k, None, None, None, None) for k in {k for kinds in page.kinds for k in kinds}]
+                may_repeat = {page.lines[i]: k for k, many in page.repeating().items() for i in many}
+                rows += [(*key, "line", k, None, None, None) for k in set(may_repeat.values())]
+                running = _running(page.body())
+                forms = set()
+                for m in _BREAK.finditer(running):
+                    if f := _break_forms(running, m):
+                        forms.add(f)
+                for whole, parted, lower in forms:
+                    name = "broken" if whole in common else "compound" if parted in common else "break_lower" if lower else "break"
+                    rows.append((*key, name, whole, None if name == "compound" else parted, None, None))
+                seen = set()
+                left = ""
+                text = _BREAK.sub("", running)
+                for line in text.split("\n") if may_repeat else (text,):
+                    on = may_repeat.get(line)
+                    for token in line.split():
+                        last, marked = cache.get(token) or look_at(token)
+                        for word, k, before in marked:
+                            before = left if before is None else before
+                            if k & 1:
+                                seen.add((before, word, on))
+                            if k & 2:
+                                pairs[before, word] += 1
+                        left = left if last is None else last
+                rows += [(*key, "word", word, left, on, None) for left, word, on in seen]
+            rows += [(None, None, "pair", word, left, None, n) for (left, word), n in pairs.items()]
+            columns = list(zip(*rows)) if rows else [[]] * 7
+            types = [pa.string()] * 6 + [pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["src_table", "chunk_id", "noise", "word", "other", "line", "n"])
+
+    return texts.mapInArrow(spot, "src_table string, chunk_id string, noise string, word string, other string, line string, n long")
+
+
+def clean_texts(section_chunks: DataFrame, chunks: DataFrame, titles: list[str], known_words: int = KNOWN_WORDS) -> DataFrame:
     """``src_table``, ``chunk_id``, ``text`` of every row with text, repaired, as paragraphs between blank lines.
 
     Furniture is dropped, broken words are joined, misread words replaced by the candidate that follows the
@@ -377,58 +538,33 @@ def clean_texts(section_chunks: DataFrame, chunks: DataFrame, titles: list[str],
     code, tables, dumps, lists and headings keep their lines. Null and empty texts have no row; repeated rows
     come out as often as they came in.
     """
-    texts = spread(_sources(section_chunks, chunks))
-    counts = cut(word_counts(texts))
-    found = cut(corrections(counts))
-    known = [r[0] for r in counts.where("whole > 0").orderBy(F.desc("whole"), "word").limit(known_words).join(found.select("word"), "word", "left_anti").collect()]
-    common = set(known)
-    unsure = found.groupBy("word").agg(F.count(F.lit(1)).alias("choices")).where("choices > 1")
-    # Words to count in context are limited to the commonest, so what is sent stays bounded.
-    wanted = {r[0] for r in found.join(unsure, "word", "left_semi").join(counts.orderBy(F.desc("n"), "word").limit(known_words).select(F.col("word").alias("candidate")), "candidate", "left_semi").select("candidate").distinct().collect()} & common
-    seen = cut(_rare_words(texts, titles, known).join(found.select("word").distinct(), "word", "left_semi"))
-    pairs = seen.select("left", "word").distinct().join(found, "word")
-    if wanted:
-        pairs = pairs.join(_context(texts, titles, wanted).withColumnRenamed("word", "candidate"), ["left", "candidate"], "left")
-    else:
-        pairs = pairs.withColumn("together", F.lit(0).cast("long"))
-    rank = F.struct(F.coalesce("together", F.lit(0)), -F.col("edits"), F.col("candidate_n"), F.col("candidate"))
-    best = pairs.groupBy("left", "word").agg(F.max_by("candidate", rank).alias("candidate"))
-    fixes = seen.join(best, ["left", "word"]).groupBy("src_table", "chunk_id").agg(F.collect_set(F.struct("left", "word", "candidate")).alias("fixes"))
-    return _repair(texts.join(fixes, ["src_table", "chunk_id"], "left"), titles, known)
-
-
-def _rare_words(texts: DataFrame, titles: list[str], known: list[str]) -> DataFrame:
-    """``src_table``, ``chunk_id``, ``left``, ``word``: words of running text outside ``known``, with their left neighbour."""
-    sent = texts.sparkSession.sparkContext.broadcast((list(titles), frozenset(known)))
-
-    def rare(batches):
-        names, common = sent.value
-        furniture = Furniture(names)
-        for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                page = Page(row["text"], row["pages"], row["page_offsets"], (row["page_start"], row["page_end"]), furniture)
-                seen = {p for p in _neighbours(_running(page.body())) if p[1] not in common and len(p[1]) < 40}
-                rows += [(row["src_table"], row["chunk_id"], *p) for p in seen if any("a" <= c <= "z" for c in p[1])]
-            columns = list(zip(*rows)) if rows else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in columns], names=["src_table", "chunk_id", "left", "word"])
-
-    return texts.mapInArrow(rare, "src_table string, chunk_id string, left string, word string")
+    found = Noise(section_chunks, chunks, titles, known_words)
+    key = ["src_table", "chunk_id"]
+    form = lambda kind, a, b, c: F.struct(F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"), c.alias("c"))
+    none = F.lit(None).cast("string")
+    each = (
+        found.misread.select(*key, form("word", F.col("left"), F.col("word"), F.col("candidate")).alias("fix"))
+        .union(found.broken.select(*key, form("broken", F.col("word"), none, none)))
+        .union(found.lines.select(*key, form("line", F.col("line"), none, none)))
+    )
+    fixes = each.groupBy(*key).agg(F.collect_set("fix").alias("fixes"))
+    return _repair(found.texts.join(fixes, key, "left"), titles)
 
 
-def _repair(texts: DataFrame, titles: list[str], known: list[str]) -> DataFrame:
-    sent = texts.sparkSession.sparkContext.broadcast((list(titles), frozenset(known)))
+def _repair(texts: DataFrame, titles: list[str]) -> DataFrame:
+    sent = texts.sparkSession.sparkContext.broadcast(list(titles))
 
     def repair(batches):
-        names, common = sent.value
-        furniture = Furniture(names)
+        furniture = Furniture(sent.value)
         for batch in batches:
             rows = batch.to_pylist()
             out = []
             for row in rows:
                 page = Page(row["text"], row["pages"], row["page_offsets"], (row["page_start"], row["page_end"]), furniture)
-                fixes = {(f["left"], f["word"]): f["candidate"] for f in row["fixes"] or ()}
-                out.append(repaired(page, common, fixes))
+                fixes = row["fixes"] or ()
+                page.drop({f["a"] for f in fixes if f["kind"] == "line"})
+                words = {(f["a"], f["b"]): f["c"] for f in fixes if f["kind"] == "word"}
+                out.append(repaired(page, {f["a"] for f in fixes if f["kind"] == "broken"}, words))
             columns = [[r["src_table"] for r in rows], [r["chunk_id"] for r in rows], out]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["src_table", "chunk_id", "text"])
 
@@ -455,11 +591,10 @@ def _fixed(line: str, left: str, fixes: dict) -> tuple[str, str]:
     return "".join(out) + line[at:], left
 
 
-_LISTED = re.compile(r"\s*(?:[•‣◦▪●*–—-]|\(?\d{1,3}[.)]|[a-z]\))\s+\S")
 _CJK = "　-鿿豈-﫿＀-￯"
 
 
-def repaired(page: Page, common: frozenset[str], fixes: dict) -> str:
+def repaired(page: Page, broken: set[str], fixes: dict) -> str:
     """The body of a page text with broken words joined and misread words replaced, as paragraphs."""
     kept = [(line.rstrip("\r"), bool(k)) for line, k in zip(page.lines, page.kinds)]
     filled = [i for i, (line, _) in enumerate(kept) if line.strip()]
@@ -477,7 +612,7 @@ def repaired(page: Page, common: frozenset[str], fixes: dict) -> str:
     body = "\n".join(lines)
     joined, at = [], 0
     for m in _BREAK.finditer(body):
-        if _broken(body, m, common):
+        if (forms := _break_forms(body, m)) and forms[0] in broken:
             joined.append(body[at : m.start()])
             at = m.end()
     body = "".join(joined) + body[at:]
@@ -502,15 +637,3 @@ def repaired(page: Page, common: frozenset[str], fixes: dict) -> str:
                 paragraphs.append(line)
             open_paragraph = True
     return "\n\n".join(paragraphs)
-
-
-def _broken(text: str, m: re.Match, common: frozenset[str]) -> bool:
-    """Whether a sign at a line's end breaks a word, and is not the hyphen of a compound."""
-    left = re.search(r"[^\W\d_]+(?:-[^\W\d_]+)*\Z", text[max(0, m.start() - 40) : m.start()])
-    right = re.match(r"[^\W\d_]+(?:-[^\W\d_]+)*", text[m.end() : m.end() + 40])
-    if not left or not right or "一" <= right.group()[0] <= "鿿":
-        return False
-    a, b = left.group().lower(), right.group().lower()
-    if a + b in common:
-        return True
-    return f"{a}-{b}" not in common and right.group()[0].islower()

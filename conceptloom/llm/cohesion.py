@@ -22,25 +22,31 @@ _TOKENS = re.compile(r"[぀-ヿ㐀-鿿豈-﫿]|[^\W\d_぀-ヿ㐀-鿿豈-﫿]{2,}
 _JOINERS = "‍︎️"
 
 
-def valley_depths(texts: list[str], block: int = 6) -> np.ndarray:
-    """Depth of the similarity valley after each unit but the last: how far it lies below the peaks around it."""
-    n = len(texts)
-    if n < 2:
-        return np.zeros(0)
+def _likeness(texts: list[str], first: int, last: int, block: int) -> np.ndarray:
+    """Cosine of the words of the blocks before and after each of the units from ``first`` to ``last``; only what these blocks hold is laid out."""
+    low, high = max(first - block, 0), min(last - 1 + block, len(texts))
     words: dict[str, int] = {}
     rows, columns = [], []
-    for i, text in enumerate(texts):
-        for word in _TOKENS.findall(text.lower()):
-            rows.append(i)
+    for i in range(low, high):
+        for word in _TOKENS.findall(texts[i].lower()):
+            rows.append(i - low + 1)
             columns.append(words.setdefault(word, len(words)))
-    counts = np.zeros((n + 1, max(1, len(words))), np.float32)
-    np.add.at(counts, (np.array(rows, int) + 1, np.array(columns, int)), 1)
-    total = np.cumsum(counts, axis=0)
-    at = np.arange(1, n)
+    counts = np.zeros((high - low + 1, max(1, len(words))), np.float32)
+    np.add.at(counts, (np.array(rows, int), np.array(columns, int)), 1)
+    total = np.cumsum(counts, axis=0, out=counts)
+    at = np.arange(first, last) - low
     before = total[at] - total[np.maximum(at - block, 0)]
-    after = total[np.minimum(at + block, n)] - total[at]
+    after = total[np.minimum(at + block, high - low)] - total[at]
     size = np.linalg.norm(before, axis=1) * np.linalg.norm(after, axis=1)
-    like = np.einsum("ij,ij->i", before, after) / np.where(size > 0, size, 1)
+    return np.einsum("ij,ij->i", before, after) / np.where(size > 0, size, 1)
+
+
+def valley_depths(texts: list[str], block: int = 6, span: int = 500) -> np.ndarray:
+    """Depth of the similarity valley after each unit but the last: how far it lies below the peaks around it."""
+    n = len(texts)
+    if n < 2:
+        return np.zeros(0)
+    like = np.concatenate([_likeness(texts, a, min(a + span, n), block) for a in range(1, n, span)])
     left, right = like.copy(), like.copy()
     for i in range(1, len(like)):  # climb from each valley to the nearest peak on either side
         left[i] = max(like[i], left[i - 1]) if like[i - 1] >= like[i] else like[i]
@@ -72,8 +78,9 @@ def _forced(text: str, low: int, high: int) -> int:
 def pieces(text: str, limit: int = 2400, overlap: int = 300, block: int = 6, paragraph_bonus: float = 0.1) -> list[tuple[int, int]]:
     """(start, end) of the ordered pieces of a text, each of ``limit`` characters at most.
 
-    A text within the limit is one piece. Pieces cover every character but white space between them; an end
-    is a unit's end if the window has any, preferring its second half and the deepest valley there.
+    A text within the limit is one piece. Pieces cover every character but white space between them. An end is the
+    unit's end at the deepest valley of the window, the last of equal ones; the window is all that the limit leaves,
+    but for ends that would add less than the overlap repeats, which count only if there is no other.
     """
     n = len(text)
     if n <= limit:
@@ -91,9 +98,9 @@ def pieces(text: str, limit: int = 2400, overlap: int = 300, block: int = 6, par
     while n - start > limit:
         high = start + limit
         first, last = np.searchsorted(ends, done, "right"), np.searchsorted(ends, high, "right")
-        half = max(first, np.searchsorted(ends, start + limit // 2))
-        if half < last:
-            end = int(ends[half + int(np.argmax(score[half:last]))])
+        begin = max(first, np.searchsorted(ends, done + overlap))
+        if begin < last:
+            end = int(ends[last - 1 - int(np.argmax(score[begin:last][::-1]))])
         elif first < last:
             end = int(ends[last - 1])
         else:

@@ -23,9 +23,7 @@ from pyspark.sql import functions as F
 from ..session import cut
 
 #: Rows of a kind in the sample from which the mean, rotations and misses are taken, at most; every row is indexed.
-FIT_ROWS = 20_000
-#: Rows of the sample that each rotation is learned from.
-LEARN_ROWS = 5_000
+FIT_ROWS = 5_000
 #: Planted pairs on which misses are measured.
 PLANTED = 4_000
 
@@ -76,7 +74,7 @@ class Plan:
     def cost(self, rows: int) -> float:
         """Cost of a row: to be sent once for each index, to probe it, to be compared with what the probes hit, and to be verified."""
         ball, ball_of_code = _ball(self.width, self.probe), _ball(self.bits, self.radius)
-        return self.codes * (self.substrings * (60 + ball + 0.3 * rows * ball / 2**self.width) + 100 * rows * ball_of_code / 2**self.bits)
+        return self.codes * (self.substrings * (500 + ball + 0.3 * rows * ball / 2**self.width) + 2000 * rows * ball_of_code / 2**self.bits)
 
     @staticmethod
     def of(rows: int, flips: float, miss: float = 2.5e-4, group_rows: int = 200_000) -> Plan:
@@ -84,7 +82,7 @@ class Plan:
         best = None
         for width in range(8, 31):
             for substrings in range(2, 62 // width + 1):
-                for probe in range(3):
+                for probe in range(4):
                     plan = Plan(width, substrings, probe, 1, 0, group_rows)
                     hit = sum(math.comb(plan.bits, k) * flips**k * (1 - flips) ** (plan.bits - k) for k in range(plan.radius + 1))
                     codes = max(1, math.ceil(math.log(miss) / math.log(1 - hit))) if hit < 1 - miss else 1
@@ -149,7 +147,7 @@ def fit(samples: dict[str, np.ndarray], rows: dict[str, int], similarity: float,
     for kind, sample in samples.items():
         unit = _unit(sample.astype(np.float64))
         mean = unit.mean(axis=0)
-        state[kind] = mean, (unit - mean)[:LEARN_ROWS], planted_pairs(sample.astype(np.float64), similarity)
+        state[kind] = mean, unit - mean, planted_pairs(sample.astype(np.float64), similarity)
     first = {kind: learn_rotation(centred, 0) for kind, (_, centred, _) in state.items()}
     plan = plan or Plan.of(max(rows.values()), max(_flips(state[k][0], first[k], state[k][2]) for k in state), miss)
     per = max(1, len(next(iter(first.values()))) // plan.bits)  # codes that one rotation has bits for

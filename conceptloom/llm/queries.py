@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import table
@@ -35,9 +35,9 @@ def p9_sentences(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, base: str) -> DataFrame:
-    """Chunks above the size limit, by the pieces they were split into."""
+    """Chunks above the size limit: those with a piece that is not their whole text."""
     split = cohesion.split_sections(table(spark, base, "section_chunks"))
-    return split.where("source_chars > 2400").select("chunk_id").distinct()
+    return split.where("end_char - start_char < source_chars").select("chunk_id").distinct()
 
 
 def p1_pieces(spark: SparkSession, base: str) -> DataFrame:
@@ -45,6 +45,24 @@ def p1_pieces(spark: SparkSession, base: str) -> DataFrame:
     return cohesion.split_sections(cohesion.latest_rows(table(spark, base, "section_chunks"), "chunk_id"))
 
 
+def p1_invariants(spark: SparkSession, base: str) -> DataFrame:
+    """What must hold of every chunk's pieces: size, overlap, cover and pages."""
+    latest = cohesion.latest_rows(table(spark, base, "section_chunks"), "chunk_id")
+    pieces = cohesion.split_sections(latest)
+    order = Window.partitionBy("chunk_id").orderBy("piece")
+    placed = pieces.withColumn("before", F.lag("end_char").over(order)).join(latest.select("chunk_id", F.col("text").alias("source"), F.when(F.col("page_start").isNotNull() & F.col("page_end").isNotNull(), F.array_sort(F.array("page_start", "page_end"))).alias("bounds")), "chunk_id")
+    gap = F.expr("substring(source, coalesce(before, 0) + 1, start_char - coalesce(before, 0))")
+    return placed.groupBy("chunk_id").agg(
+        F.max("source_chars").alias("source_chars"),
+        F.count_if(F.length("text") > 2400).cast("long").alias("too_long"),
+        F.count_if(F.col("before") - F.col("start_char") > 300).cast("long").alias("overlap_too_long"),
+        F.count_if(gap.rlike("(?U)\\S")).cast("long").alias("left_out"),
+        F.count_if(F.col("text") != F.expr("substring(source, start_char + 1, end_char - start_char)")).cast("long").alias("not_in_place"),
+        F.max_by(F.expr("substring(source, end_char + 1)").rlike("(?U)\\S"), "piece").cast("long").alias("tail_left_out"),
+        F.count_if((F.col("page_start") < F.col("bounds")[0]) | (F.col("page_end") > F.col("bounds")[1]) | (F.col("page_start") > F.col("page_end"))).cast("long").alias("pages_out"),
+    )
+
+
 def _vectors(spark: SparkSession, base: str) -> DataFrame:
     concepts = neighbours.usable_vectors(table(spark, base, "concepts"), "concept_id", "concept")
     return concepts.union(neighbours.usable_vectors(table(spark, base, "chunks"), "chunk_id", "chunk"))
@@ -112,9 +130,11 @@ SELECT s AS concept_name, min(t) AS group_name FROM reach GROUP BY s
 """
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p2_nearest, p2_index, p3_found, p3_text, p4_found, p7_ids, p7_token_counts, p8_containers, p9_found, p9_sentences)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_pieces, p1_invariants, p2_found, p2_nearest, p2_index, p3_found, p3_text, p4_found, p7_ids, p7_token_counts, p8_containers, p9_found, p9_sentences)}
 ORACLES: dict[str, str] = {
     "p1_found": "SELECT DISTINCT chunk_id FROM section_chunks WHERE length(text) > 2400",
+    "p1_invariants": """SELECT chunk_id, length(text)::INT AS source_chars, 0 AS too_long, 0 AS overlap_too_long, 0 AS left_out, 0 AS not_in_place, 0 AS tail_left_out, 0 AS pages_out
+FROM section_chunks WHERE chunk_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY loaded_at DESC) = 1 AND length(text) > 0""",
     "p2_found": P2_SQL,
     "p4_found": P4_SQL,
 }

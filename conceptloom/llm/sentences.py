@@ -1,40 +1,52 @@
 """Problem 9: sentence units of texts in any language and script.
 
-Sentence-break classes of characters (terminators of all scripts, ambiguous full stops, closing marks, letters
-by case) decide where a unit may end; lists of abbreviations by language suppress full stops, and matched
-quotations and brackets stay whole where a clause of their sentence stands before or after them.
+Sentence-break classes of characters (terminators of all scripts, ambiguous full stops, closing marks, what extends a
+character), taken from the Unicode property, decide where a unit may end. Abbreviations of the block's own language suppress
+full stops: the script of the word tells it, or, among languages in Latin letters, the function words of the block or
+else of the text. Matched quotations and brackets stay whole where a clause of their sentence stands before or after them.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
+from collections.abc import Callable
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import spread
 
-# Sentence terminators of the scripts (property Sentence_Terminal), without full stops.
-TERMINATORS = (
-    "!?։؝؞؟۔܀܁܂߹࠷࠹࠽࠾।॥၊။።፧፨᙮᜵᜶។៕᠃᠉᥄᥅᪨᪩᪪᪫᭚᭛᭞᭟᰻᰼᱾᱿‼‽⁇⁈⁉⸮⸼⹓⹔。꓿꘎꘏꛳꛷꡶꡷꣎꣏꤯꧈꧉꩝꩞꩟꫰꫱꯫﹖﹗！？｡"
-    "𑁇𑁈𑂾𑂿𑃀𑃁𑅁𑅂𑅃𑇅𑇆𑇍𑇞𑇟𑈸𑈹𑈻𑈼𑊩𑑋𑑌𑗂𑗃𑙁𑙂𑜼𑜽𑜾𖩮𖩯𖫵𖬷𖬸𖭄𛲟𝪈"
-)
-FULL_STOPS = ".․﹒．"
+
+
+def _of_class(*classes: str) -> str:
+    """All characters of some sentence-break classes."""
+    every = "".join(map(chr, (*range(0xD800), *range(0xE000, sys.maxunicode + 1))))
+    return "".join(regex.findall("[" + "".join(rf"\p{{Sentence_Break={c}}}" for c in classes) + "]", every))
+
+
+TERMINATORS = _of_class("STerm")
+FULL_STOPS = _of_class("ATerm")
+#: Marks and signs that belong to the character before them, but for the byte-order mark.
+EXTENDING = _of_class("Extend", "Format").replace("\ufeff", "")
+GREEK_QUESTION = ";\u037e"
 ELLIPSIS = "…⋯"
 # Marks that open and close quotations and brackets.
 BRACKETS = {"(": ")", "[": "]", "{": "}", "（": "）", "［": "］", "【": "】", "〔": "〕", "〖": "〗"}
 QUOTES = {"“": "”", "‘": "’", "«": "»", "‹": "›", "「": "」", "『": "』", "《": "》", "〈": "〉", "„": "“”", "‚": "‘’"}
 OPENERS = BRACKETS | QUOTES
-CLOSERS = set("".join(OPENERS.values())) - {"“", "‘"}
+CLOSERS = (set("".join(OPENERS.values())) | {c for c in _of_class("Close") if unicodedata.category(c) in ("Pe", "Pf")}) - {"“", "‘"}
 # Abbreviations by language that never end a sentence: titles, and words that need what follows.
 NEVER_FINAL = {
     "en": "mr mrs ms messrs dr prof rev hon st gen col capt lt sgt mt vs v cf e.g i.e viz esp incl",
     "de": "hr fr dr prof dipl ing d.h z.b u.a i.d.r ca bzw vgl sog inkl evtl ggf d h z",
     "fr": "m mm mme mlle dr pr me c.-à-d p.ex env cf",
     "es": "sr sra srta sres dr dra d dña ud uds p.ej aprox",
-    "ru": "см т.е т.к напр ок г-н г-жа проф акад им",
+    "ru": "см т.е т.к напр ок г-н г-жа проф акад им ул пр пл обл",
     "hi": "डॉ डा श्री प्रो पं सुश्री",
     "it": "sig sig.ra dott prof ing avv",
     "pt": "sr sra dr dra prof",
@@ -62,10 +74,77 @@ PARTICLES = "とはがをにでもやへのっ"
 # Bullets that always begin a list item at the start of a line.
 BULLETS = "•‣◦▪●○■□∙⁃*"
 
-NEVER = frozenset(w for words in NEVER_FINAL.values() for w in words.split())
+# Russian words that end a sentence after a number (a year, a century) and otherwise stand before a name.
+AFTER_NUMBER = frozenset("г гг в вв".split())
+# The commonest function words of languages in Latin letters.
+FUNCTION_WORDS = {
+    "en": "the of and to is in a that it for with as are on be this by an from or not when then",
+    "de": "der die das und ist ein eine einen nicht mit den von zu im auf des dem sich wird für oder wenn",
+    "fr": "le la les des et est un une que dans pour du qui sur au aux ne pas ce se par ou il elle",
+    "es": "el la los las de y es un una que en por para con del se no al lo como si cuando",
+    "it": "il lo la gli le di e è un una che per con del della dei non si nel quando",
+    "pt": "o a os as de e é um uma que em para com do da dos das não se no na quando",
+}
 TITLES = frozenset("mr mrs ms messrs dr prof rev hon gen col capt lt sgt mt m mm mme mlle pr sr sra srta sres dra hr fr ud uds sig ing".split())
-FINAL = frozenset(w for words in MAY_BE_FINAL.values() for w in words.split())
-NUMBERED = frozenset(w for words in BEFORE_NUMBER.values() for w in words.split())
+
+
+class Abbreviations:
+    """The lists of one language."""
+
+    def __init__(self, language: str):
+        self.never = frozenset(NEVER_FINAL.get(language, "").split())
+        self.numbered = frozenset(BEFORE_NUMBER.get(language, "").split())
+        self.final = frozenset(MAY_BE_FINAL.get(language, "").split())
+
+
+_LISTS = {x: Abbreviations(x) for x in NEVER_FINAL}
+_LISTED = frozenset().union(*(lists.never | lists.numbered | lists.final for lists in _LISTS.values()))
+_NONE = Abbreviations("")
+_SPEAKERS: dict[str, list[str]] = {}
+for _language, _words in FUNCTION_WORDS.items():
+    for _one in _words.split():
+        _SPEAKERS.setdefault(_one, []).append(_language)
+_LATIN_WORD = re.compile(r"[^\W\d_]+")
+
+
+def votes_of(text: str) -> dict[str, int]:
+    """How many function words of each language in Latin letters stand in a text."""
+    votes: dict[str, int] = {}
+    for word in _LATIN_WORD.findall(text.lower()):
+        for language in _SPEAKERS.get(word, ()):
+            votes[language] = votes.get(language, 0) + 1
+    return votes
+
+
+def speaker(text: str) -> Callable[[str, int, int], Abbreviations]:
+    """The lists for a word of a block of a text; languages are told only when a listed word asks for it.
+
+    The language with most function words in the block counts; among level ones, and where there are none, that with most
+    in the whole text, and English where nothing tells.
+    """
+    known: dict[tuple[int, int], str] = {}
+    whole: dict[str, int] | None = None
+
+    def lists(word: str, start: int, end: int) -> Abbreviations:
+        nonlocal whole
+        if word not in _LISTED:
+            return _NONE
+        first = next((c for c in word if c.isalpha()), "a")
+        if "Ѐ" <= first <= "ԯ":
+            return _LISTS["ru"]
+        if "ऀ" <= first <= "ॿ":
+            return _LISTS["hi"]
+        language = known.get((start, end))
+        if language is None:
+            votes = votes_of(text[start:end])
+            level = [x for x, n in votes.items() if n == max(votes.values())] or list(FUNCTION_WORDS)
+            if len(level) > 1 and whole is None:
+                whole = votes_of(text)
+            language = known[start, end] = level[0] if len(level) == 1 else max(level, key=lambda x: (whole.get(x, 0), x == "en", x))
+        return _LISTS[language]
+
+    return lists
+
 
 _LINE = r"(?:\r\n|[\n\r\x0b\x0c\x85 ])"
 _FLAT = r"[^\S\n\r\x0b\x0c\x85  ]"
@@ -73,12 +152,17 @@ _BLANK = re.compile(rf"{_LINE}(?:[^\S\n\r\x0b\x0c\x85  ]|﻿)*{_LINE}(?:\s|
 _ITEM = re.compile(rf"{_LINE}{_FLAT}*(?=([{re.escape(BULLETS)}]|[-–—]|\(?(?:\d{{1,3}}|[a-z])\)|\d{{1,3}}\.){_FLAT}+\S)")
 _MARKER = re.compile(rf"(?:\s|﻿)*(?:[{re.escape(BULLETS)}]|[-–—]|\(?(?:\d{{1,3}}|[a-z])\)|\d{{1,3}}\.){_FLAT}+")
 _STOP = re.compile(f"[{re.escape(TERMINATORS + FULL_STOPS + ELLIPSIS)}]+")
+_GREEK_STOP = re.compile(f"[{re.escape(TERMINATORS + FULL_STOPS + ELLIPSIS)}]+|(?<=[\u0370-\u03ff\u1f00-\u1fff])[{GREEK_QUESTION}]")
+_GREEK = re.compile(r"[\u0370-\u03ff\u1f00-\u1fff]{3}")
+_EXTENDING = re.compile(f"[{re.escape(EXTENDING)}]+")
+_HAS_EXTENDING = re.compile(f"[{re.escape(TERMINATORS + FULL_STOPS + ELLIPSIS)}][{re.escape(EXTENDING)}]")
 _MARK = re.compile(f"[{re.escape(''.join(OPENERS) + ''.join(sorted(CLOSERS)))}\"]")
 _UNSPACED = re.compile(r"(?<=[ก-๛ກ-ໟ])\s+(?=[ก-๛ກ-ໟ])")
 _HAS_UNSPACED = re.compile(r"[ก-๛ກ-ໟ]")
 _SPACE = re.compile(r"(?:\s|﻿)*")
 _TOKEN = re.compile(r"[^\s\ufeff(\[{“„«‘‚‹「『（\"]*\Z")
 _WORD = re.compile(r"\w*")
+_YEAR = re.compile(r"[0-9IVXLCХІ]\s*\Z")
 _NAME_OF_CALL = re.compile(r"[a-z]\w*(?:\(\)|_\w)")
 
 
@@ -146,16 +230,20 @@ def _goes_on(text: str, opening: int, closing: int, end: int, before: bool) -> b
     return not before and last not in FULL_STOPS and last not in "。।"
 
 
-def _full_stop_ends(text: str, start: int, at: int, after: int, end: int) -> bool:
+def _full_stop_ends(text: str, start: int, at: int, after: int, end: int, lists_of, block: tuple[int, int]) -> bool:
     """Whether one full stop at ``at`` ends the sentence; ``after``: past its closing marks, inside ``end``."""
     k = _SPACE.match(text, after, end).end()
     c = text[k]
     token = _TOKEN.search(text, max(start, at - 24), at).group()
     low = token.lower()
-    never = low in NEVER and (low not in TITLES or token[0].isupper())
+    lists = lists_of(low, *block)
+    numbered, final = lists.numbered, lists.final
+    never = low in lists.never and (low not in TITLES or token[0].isupper())
+    if low in AFTER_NUMBER and not _YEAR.search(text, max(start, at - len(token) - 24), at - len(token)):
+        never = True
     last = token[-1:]
     uncased = last.isalpha() and not last.islower() and not last.isupper()
-    whole = token.isalpha() and len(token) > 2 and low not in NEVER and low not in NUMBERED and low not in FINAL
+    whole = token.isalpha() and len(token) > 2 and low not in lists.never and low not in numbered and low not in final
     if c in ",;:，；：、" or c.islower() and not uncased and not (k > after and (whole or len(token) > 3 and _NAME_OF_CALL.match(text, k, end))):
         return False
     if k == after:
@@ -172,15 +260,15 @@ def _full_stop_ends(text: str, start: int, at: int, after: int, end: int) -> boo
     if len(token) == 1 and token.isupper():
         return False
     if c.isdigit():
-        return low not in NUMBERED
-    if low in NUMBERED and _WORD.match(text, k, end).end() - k == 1 and c.isupper():
+        return low not in numbered
+    if low in numbered and _WORD.match(text, k, end).end() - k == 1 and c.isupper():
         return False
     if token.isdigit() and len(token) < 3:
         return _WORD.match(text, k, end).group() not in MONTHS
     return True
 
 
-def _ends(text: str, start: int, at: int, stop: int, after: int, end: int) -> bool:
+def _ends(text: str, start: int, at: int, stop: int, after: int, end: int, lists_of, block: tuple[int, int]) -> bool:
     """Whether the terminators from ``at`` to ``stop`` end the sentence."""
     k = _SPACE.match(text, after, end).end()
     if k >= end:
@@ -188,8 +276,10 @@ def _ends(text: str, start: int, at: int, stop: int, after: int, end: int) -> bo
     run, c = text[at:stop], text[k]
     if c in ",;，；、":
         return False
+    if run in GREEK_QUESTION:
+        return not c.islower()
     if all(x in FULL_STOPS for x in run) and len(run) == 1:
-        return _full_stop_ends(text, start, at, after, end)
+        return _full_stop_ends(text, start, at, after, end, lists_of, block)
     if all(x in FULL_STOPS or x in ELLIPSIS for x in run):
         if k == after:
             return (_cjk(c) or c in OPENERS and _cjk(text[at - 1])) and at > start and not text[at - 1].isspace()
@@ -199,7 +289,7 @@ def _ends(text: str, start: int, at: int, stop: int, after: int, end: int) -> bo
     return True
 
 
-def _block(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
+def _block(text: str, start: int, end: int, out: list[tuple[int, int]], lists_of, stops: re.Pattern, extended: bool) -> None:
     """Sentences of one block without blank lines and list items inside."""
     spans = _spans(text, start, end) if _MARK.search(text, start, end) else []
     cuts = [m.start() for m in _UNSPACED.finditer(text, start, end)] if _HAS_UNSPACED.search(text, start, end) else []
@@ -208,7 +298,7 @@ def _block(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
     stop, here = None, -1
     while at < end:
         if here < at:  # a terminator ahead stays the next one however many brackets lie before it
-            stop = _STOP.search(text, at, end)
+            stop = stops.search(text, at, end)
             here = stop.start() if stop else end
         if k < len(spans) and spans[k][0] < here and spans[k] != free:
             opening, closing = spans[k]
@@ -227,6 +317,8 @@ def _block(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
         if not stop:
             break
         after = stop.end()
+        if extended and (m := _EXTENDING.match(text, after, end)):
+            after = m.end()
         while k < len(spans) and after > spans[k][1]:
             k += 1
         close = after
@@ -237,7 +329,7 @@ def _block(text: str, start: int, end: int, out: list[tuple[int, int]]) -> None:
                 close = q + 1
             else:
                 break
-        if _ends(text, begin, here, after, close, end):
+        if _ends(text, begin, here, stop.end(), close, end, lists_of, (start, end)):
             out.append((begin, close))
             begin = close
         at = close
@@ -263,6 +355,7 @@ def sentence_spans(text: str) -> list[tuple[int, int]]:
     """Units of a text as (start, end) positions of characters, end exclusive."""
     raw: list[tuple[int, int]] = []
     at, n = 0, len(text)
+    shared = speaker(text), _GREEK_STOP if _GREEK.search(text) else _STOP, bool(_HAS_EXTENDING.search(text))
     for blank in [*_BLANK.finditer(text), None]:
         end = blank.start() if blank else n
         listed = False
@@ -270,10 +363,10 @@ def sentence_spans(text: str) -> list[tuple[int, int]]:
             head = text[at : item.start()].rstrip()
             listed = listed or bool(_MARKER.match(text, at, end))
             if item.group(1) in BULLETS or listed or head[-1:] in (":", ";", "："):
-                _block(text, at, item.start(), raw)
+                _block(text, at, item.start(), raw, *shared)
                 at, listed = item.end(), True
         if at < end:
-            _block(text, at, end, raw)
+            _block(text, at, end, raw, *shared)
         at = blank.end() if blank else n
     out = []
     for a, b in raw:

@@ -45,3 +45,17 @@ def test_pages_nulls_and_repeats(spark):
     assert min(r["page_start"] for r in a) == 4 and max(r["page_end"] for r in a) == 5 and all(r["page_start"] <= r["page_end"] for r in a)
     assert {(r["page_start"], r["page_end"]) for r in got if r["chunk_id"] == "b"} == {(3, 9)}
     assert not [r for r in got if r["chunk_id"] in "cd"] and split_sections(df.limit(0)).count() == 0
+
+
+def test_uniform_text_is_cut_at_the_last_end_of_the_window():
+    text = "The same words stand here again. " * 400
+    spans = pieces(text.strip())
+    assert min(b - a for a, b in spans[:-1]) > 2_300
+
+
+def test_valleys_of_long_texts_do_not_depend_on_their_layout():
+    from conceptloom.llm.cohesion import valley_depths
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices("alpha beta gamma delta epsilon zeta eta theta iota kappa".split(), k=5)) for _ in range(300)]
+    assert abs(valley_depths(texts, span=7) - valley_depths(texts, span=1000)).max() < 1e-5

@@ -18,6 +18,16 @@ CASES = {
     "На рис. 1 показан, т. е. весь. «Стоп!» — пишет ядро. В 1997 г. всё.": ["На рис. 1 показан, т. е. весь.", "«Стоп!» — пишет ядро.", "В 1997 г. всё."],
     "4.1 Heading\n \nWrapped at\nthe line. Done.\n\nIt has these parts:\n• one;\n• two items. \n\n": ["4.1 Heading", "Wrapped at\nthe line.", "Done.", "It has these parts:", "• one;", "• two items."],
     "﻿  First.\xa0Second. \t": ["First.", "Second."],
+    "The drive letter is d. Then it mounts.": ["The drive letter is d.", "Then it mounts."],
+    "The unit is h. The clock ticks.": ["The unit is h.", "The clock ticks."],
+    "Press z. Then press Enter.": ["Press z.", "Then press Enter."],
+    "The answer is ca. The rest is noise.": ["The answer is ca.", "The rest is noise."],
+    "He told me. Then he left.": ["He told me.", "Then he left."],
+    "Das Verfahren ist ca. 30 Jahre alt, d. h. es ist reif.": ["Das Verfahren ist ca. 30 Jahre alt, d. h. es ist reif."],
+    "Он живёт в г. Москва. Это было в 1997 г. Москва была другой.": ["Он живёт в г. Москва.", "Это было в 1997 г.", "Москва была другой."],
+    "Τι είναι αυτό; Είναι ο πυρήνας. Ποιος περιμένει\u037e Κανείς.": ["Τι είναι αυτό;", "Είναι ο πυρήνας.", "Ποιος περιμένει\u037e", "Κανείς."],
+    "It waits.\u200f Then it runs. ﻿Stop!\u0301 Go.": ["It waits.\u200f", "Then it runs.", "Stop!\u0301", "Go."],
+    "In German: the kernel is here.\n\nDer Kern ist z. B. hier und die Zahl ist h. Das ist ein Rest.": ["In German: the kernel is here.", "Der Kern ist z. B. hier und die Zahl ist h. Das ist ein Rest."],
     "": [],
     " \r\n\t\n": [],
 }

@@ -1,23 +1,28 @@
 """Problem 5: parent-child rows to full hierarchies.
 
 Connected components are found first. Components up to a size limit are brought together, several to a task,
-and walked there by iterative depth-first traversal with node colours. Larger components never meet in one
-task: their hops come from frontier joins and their loops from peeling and colour propagation.
+and walked there by iterative depth-first traversal with node colours; one whose result is large is walked in several
+tasks, each from its own share of the starts. Components whose edges do not fit a task never meet in one:
+their hops come from frontier joins and their loops from peeling and colour propagation, with the same results.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict, deque
+import zlib
+from collections import defaultdict
+from collections.abc import Iterator
+from heapq import heappop, heappush
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut
 from .components import components
 
-#: Edges of a component that may be walked in one task, and of a task's components together.
-COMPONENT_EDGES, TASK_EDGES = 200_000, 100_000
+#: Edges of a component that may be held by one task, of a task's small components together, and steps (starts times edges) of a task.
+COMPONENT_EDGES, TASK_EDGES, TASK_STEPS = 500_000, 100_000, 20_000_000
 
 
 def layer_edges(edges: DataFrame, layer: str, parent: str, child: str) -> DataFrame:
@@ -41,6 +46,7 @@ class Walk:
             many.sort()
         self.nodes = sorted(nodes)
         self.roots = [x for x in self.nodes if x not in held]
+        self.places: dict | None = None
 
     def loops(self) -> tuple[set, list]:
         """Nodes on a loop, and the strongly connected parts they form; low marks join the nodes of a loop."""
@@ -108,38 +114,69 @@ class Walk:
                 walk.pop()
                 grey.discard(node)
 
-    def down(self, start):
-        """Every node reachable from ``start`` with the fewest hops and the node before it; loops are not followed."""
-        found = {start: (0, None)}
-        queue = deque([start])
+    def order(self) -> dict:
+        """Place of each node in depth-first traversal of the whole graph: before all it leads to, but for edges that close a loop.
+
+        Colours: a node is white before its visit, grey while open, black when left; the order is that of leaving, reversed.
+        """
+        seen: set = set()
+        left = []
+        for start in [*self.roots, *self.nodes]:
+            if start in seen:
+                continue
+            seen.add(start)
+            walk = [(start, iter(self.below.get(start, ())))]
+            while walk:
+                node, rest = walk[-1]
+                child = next((c for c in rest if c not in seen), None)
+                if child is None:
+                    walk.pop()
+                    left.append(node)
+                else:
+                    seen.add(child)
+                    walk.append((child, iter(self.below.get(child, ()))))
+        return {node: k for k, node in enumerate(reversed(left))}
+
+    def down(self, start) -> dict:
+        """Every node reachable from ``start`` with the fewest hops; loops are not followed.
+
+        Nodes pass on their hops in depth-first order, each once where there is no loop; an edge back to an earlier place that
+        shortens a way takes its nodes up again.
+        """
+        if self.places is None:
+            self.places = self.order()
+        hops = {start: 0}
+        queue = [(self.places[start], start)]
+        held = {start}
         while queue:
-            node = queue.popleft()
-            hops = found[node][0] + 1
+            _, node = heappop(queue)
+            held.discard(node)
+            far = hops[node] + 1
             for child in self.below.get(node, ()):
-                if child not in found:
-                    found[child] = (hops, node)
-                    queue.append(child)
-        return found
+                if far < hops.get(child, far + 1):
+                    hops[child] = far
+                    if child not in held:
+                        held.add(child)
+                        heappush(queue, (self.places[child], child))
+        return hops
 
 
-def _hops(walk: Walk):
-    on_loop, _ = walk.loops()
-    rows = [(node, root, hops) for root in walk.roots for node, (hops, _) in walk.down(root).items()]
-    return rows + [(node, "CYCLE", -1) for node in on_loop]
+def _share(starts, share: int, shares: int):
+    return starts if shares == 1 else [x for x in starts if zlib.crc32(x.encode()) % shares == share]
 
 
-def _paths(walk: Walk):
-    for root in walk.roots:
-        found = walk.down(root)
-        ways: dict = {}
-        for node, (hops, before) in found.items():
-            ways[node] = root if before is None else f"{ways[before]} > {node}"
-            yield node, root, hops, ways[node]
+def _hops(walk: Walk, share: int, shares: int):
+    for root in _share(walk.roots, share, shares):
+        for node, hops in walk.down(root).items():
+            yield node, root, hops
+    if share == 0:
+        for node in walk.loops()[0]:
+            yield node, "CYCLE", -1
 
 
-def _all_paths(walk: Walk):
+def _paths(walk: Walk, share: int, shares: int):
     """Every path from a root by depth-first traversal; a node that is open is not entered again, so loops are not followed."""
-    for root in walk.roots:
+    for root in _share(walk.roots, share, shares):
         yield root, root, 0, root
         grey, ways = {root}, [(root, root, iter(walk.below.get(root, ())))]
         while ways:
@@ -155,14 +192,14 @@ def _all_paths(walk: Walk):
             ways.append((child, further, iter(walk.below.get(child, ()))))
 
 
-def _descendants(walk: Walk):
-    for node in walk.nodes:
-        for below, (hops, _) in walk.down(node).items():
+def _descendants(walk: Walk, share: int, shares: int):
+    for node in _share(walk.nodes, share, shares):
+        for below, hops in walk.down(node).items():
             if below != node:
                 yield node, below, hops
 
 
-def _back_edges(walk: Walk):
+def _back_edges(walk: Walk, share: int, shares: int):
     for part in walk.loops()[1]:
         yield from walk.back_edges(part)
 
@@ -170,45 +207,64 @@ def _back_edges(walk: Walk):
 _FORMS = {
     "hops": (_hops, "node string, root_name string, hops int"),
     "paths": (_paths, "node string, root_name string, depth int, path string"),
-    "all_paths": (_all_paths, "node string, root_name string, depth int, path string"),
     "descendants": (_descendants, "node string, descendant string, hops int"),
     "back_edges": (_back_edges, "parent string, child string"),
 }
 
 
-def _parted(edges: DataFrame, component_edges: int) -> tuple[DataFrame, DataFrame, int]:
-    """Edges of small components with a task number, edges of large components, and the number of large ones."""
+def _parted(edges: DataFrame, form: str, component_edges: int, task_steps: int) -> tuple[DataFrame, DataFrame, int]:
+    """Edges of components that fit a task with their task, share and number of shares; edges of the others, and how many those are.
+
+    The number of shares comes from the starts of a component times its edges, which bounds its result.
+    """
     edges = cut(edges)
     mark = F.concat_ws("\u0001", "layer", "parent"), F.concat_ws("\u0001", "layer", "child")
     named = components(edges.select(mark[0].alias("a"), mark[1].alias("b"))).withColumnRenamed("node", "_a")
     placed = cut(edges.withColumn("_a", mark[0]).join(named, "_a").drop("_a"))
-    sizes = cut(placed.groupBy("component").agg(F.count(F.lit(1)).alias("_n")))
-    total, large = sizes.agg(F.sum("_n"), F.count_if(F.col("_n") > component_edges)).first()
-    tasks = max(1, -(-(total or 0) // TASK_EDGES))
-    sized = placed.join(sizes, "component") if large else placed.withColumn("_n", F.lit(0))
-    small = sized.where(F.col("_n") <= component_edges).select("layer", "parent", "child", F.pmod(F.xxhash64("component"), F.lit(max(8, tasks))).alias("_task"))
+    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("_n"))
+    if form == "descendants":
+        starts = sizes.select("component", (F.col("_n") + 1).alias("_starts"))
+    elif form == "back_edges":
+        starts = sizes.select("component", F.lit(0).alias("_starts"))
+    else:
+        starts = _roots(placed).join(placed.select("layer", F.col("parent").alias("start"), "component").distinct(), ["layer", "start"]).groupBy("component").agg(F.count(F.lit(1)).alias("_starts"))
+    shares = F.greatest(F.lit(1), F.ceil(F.coalesce("_starts", F.lit(0)) * F.col("_n") / task_steps)).cast("int")
+    sizes = cut(sizes.join(starts, "component", "left").select("component", "_n", shares.alias("_shares")))
+    total, large, wide = sizes.agg(F.sum("_n"), F.count_if(F.col("_n") > component_edges), F.count_if(F.col("_shares") > 1)).first()
+    tasks = max(8, -(-(total or 0) // TASK_EDGES))
+    sized = placed.join(sizes, "component") if large or wide else placed.withColumn("_n", F.lit(0)).withColumn("_shares", F.lit(1))
+    small = sized.where(F.col("_n") <= component_edges).withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)))
+    # Components of one share are walked several to a task; a share of a wide one has a task of its own.
+    task = F.when(F.col("_shares") == 1, F.pmod(F.xxhash64("component"), F.lit(tasks))).otherwise(F.xxhash64("component"))
+    small = small.select("layer", "parent", "child", task.alias("_task"), "_share", "_shares")
     return small, sized.where(F.col("_n") > component_edges).select("layer", "parent", "child"), large or 0
 
 
-def hierarchy(edges: DataFrame, form: str = "hops", component_edges: int = COMPONENT_EDGES) -> DataFrame:
-    """``layer`` and, by ``form``: 'hops' (node, root_name, hops; CYCLE and -1 for nodes on loops), 'paths' (the
-    first of the shortest paths in name order), 'all_paths' (every path that enters no node twice, with its own depth),
-    'descendants', 'back_edges'.
+def hierarchy(edges: DataFrame, form: str = "hops", component_edges: int = COMPONENT_EDGES, task_steps: int = TASK_STEPS) -> DataFrame:
+    """``layer`` and, by ``form``: 'hops' (node, root_name, hops; CYCLE and -1 for nodes on loops), 'paths' (node,
+    root_name, depth, path: every path that enters no node twice, with its own depth), 'descendants', 'back_edges'.
 
     edges: distinct ``layer``, ``parent``, ``child`` without nulls. A component where every node has another parent has
     no root and so only its loops. Empty tables give empty results. Components above ``component_edges`` give
-    hops, descendants and loops by joins; their paths come from the same joins.
+    the same rows by joins. Rows leave a task in batches, so none holds its whole result.
     """
     make, schema = _FORMS[form]
-    small, large, many = _parted(edges, component_edges)
-    names = [c.split()[0] for c in schema.split(", ")]
-
-    def walk(key, rows: pd.DataFrame) -> pd.DataFrame:
-        found = pd.DataFrame(list(make(Walk(rows["parent"], rows["child"]))), columns=names)
-        found.insert(0, "layer", key[0])
-        return found
-
-    out = small.groupBy("layer", "_task").applyInPandas(walk, f"layer string, {schema}")
+    small, large, many = _parted(edges, form, component_edges, task_steps)
+    names = ["layer"] + [c.split()[0] for c in schema.split(", ")]
+    kinds = [pa.string()] + [pa.int32() if c.endswith(" int") else pa.string() for c in schema.split(", ")]
+
+    def walk(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parents, children = [], []
+        for batch in batches:
+            parents += batch.column("parent").to_pylist()
+            children += batch.column("child").to_pylist()
+        layer, share, shares = key[0].as_py(), *(k.as_py() for k in (key[2:] or (pa.scalar(0), pa.scalar(1))))
+        rows = make(Walk(parents, children), share, shares)
+        while some := list(islice(rows, 50_000)):
+            columns = [[layer] * len(some), *zip(*some)]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds)], names=names)
+
+    out = small.groupBy("layer", "_task", "_share", "_shares").applyInArrow(walk, f"layer string, {schema}")
     if not many:
         return out
     large = cut(large)
@@ -216,8 +272,6 @@ def hierarchy(edges: DataFrame, form: str = "hops", component_edges: int = COMPO
         loops = large_loops(large).select("layer", "node", F.lit("CYCLE").alias("root_name"), F.lit(-1).alias("hops"))
         more = large_down(large, _roots(large)).select("layer", "node", F.col("start").alias("root_name"), "hops").union(loops)
     elif form == "paths":
-        more = large_down(large, _roots(large)).select("layer", "node", F.col("start").alias("root_name"), F.col("hops").alias("depth"), "path")
-    elif form == "all_paths":
         more = large_paths(large, _roots(large)).select("layer", "node", F.col("start").alias("root_name"), "depth", F.array_join("ways", " > ").alias("path"))
     elif form == "descendants":
         nodes = large.select("layer", F.col("parent").alias("start")).union(large.select("layer", "child")).distinct()
@@ -228,7 +282,7 @@ def hierarchy(edges: DataFrame, form: str = "hops", component_edges: int = COMPO
         near = loops.select("layer", F.col("node").alias("parent"), F.col("loop").alias("_l"))
         far = loops.select("layer", F.col("node").alias("child"), F.col("loop").alias("_m"))
         inner = large.join(near, ["layer", "parent"]).join(far, ["layer", "child"]).where("_l = _m").select("layer", "_l", "parent", "child")
-        more = inner.groupBy("layer", "_l").applyInPandas(walk, f"layer string, {schema}")
+        more = inner.groupBy("layer", "_l").applyInArrow(walk, f"layer string, {schema}")
     return out.unionByName(more)
 
 
@@ -239,13 +293,12 @@ def _roots(edges: DataFrame) -> DataFrame:
 
 
 def large_down(edges: DataFrame, starts: DataFrame) -> DataFrame:
-    """``layer``, ``start``, ``node``, ``hops``, ``path`` by frontier joins: one round for each level."""
-    frontier = cut(starts.select("layer", "start", F.col("start").alias("node"), F.lit(0).alias("hops"), F.col("start").alias("path")))
+    """``layer``, ``start``, ``node``, ``hops`` by frontier joins: one round for each level."""
+    frontier = cut(starts.select("layer", "start", F.col("start").alias("node"), F.lit(0).alias("hops")))
     found = frontier
     while not frontier.isEmpty():
-        step = frontier.join(edges.withColumnRenamed("parent", "node"), ["layer", "node"]).select("layer", "start", F.col("child").alias("node"), (F.col("hops") + 1).alias("hops"), F.concat_ws(" > ", "path", "child").alias("path"))
-        first = step.groupBy("layer", "start", "node").agg(F.min("hops").alias("hops"), F.min("path").alias("path"))
-        frontier = cut(first.join(found.select("layer", "start", "node"), ["layer", "start", "node"], "left_anti"))
+        step = frontier.join(edges.withColumnRenamed("parent", "node"), ["layer", "node"]).select("layer", "start", F.col("child").alias("node"), (F.col("hops") + 1).alias("hops")).distinct()
+        frontier = cut(step.join(found.select("layer", "start", "node"), ["layer", "start", "node"], "left_anti"))
         found = found.union(frontier)
     return found
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import chunk_queries, gate_queries, graph_queries, merge_queries, records, retrieval_queries, text_queries
+from .plans import chunk_queries, gate_queries, graph_queries, merge_queries, records, retrieval_queries, review_queries, text_queries
 
-MODULES = [records, text_queries, graph_queries, merge_queries, retrieval_queries, gate_queries, chunk_queries]
+MODULES = [records, text_queries, graph_queries, merge_queries, retrieval_queries, gate_queries, review_queries, chunk_queries]
 
 
 def flagship(spark: SparkSession, base: str) -> DataFrame:

@@ -71,6 +71,27 @@ def named_concepts(texts: DataFrame, key: str, text: str, registry: DataFrame) -
     return hits.groupBy(key, "concept_id").agg(F.max(F.size(F.split("phrase", " "))).alias("words"))
 
 
+def chapter_candidates(chunks: DataFrame, points: DataFrame, used: DataFrame, concepts: DataFrame, best: int) -> DataFrame:
+    """``chunk_id``, ``concept_id``, ``score`` of the ``best`` concepts of each chunk within its chapter.
+
+    chunks: ``chunk_id``, ``chapter_id``, ``primary_section``, ``sections``, ``text``; points, used: ``concept_id``, ``chapter_id``, ``section`` of points
+    of knowledge and of other evidence; concepts: ``concept_id``, ``canonical_name``, ``chapter_id``, ``names``. A point in one of the chunk's
+    sections counts 100, and 20 more for each that lies in its primary one; other evidence there 80; a name of the
+    chapter's own concepts in the text 120. The greatest counts; ties fall to the greater name.
+    """
+    from .merge import top_per_key
+
+    own = F.array_distinct(F.array_compact(F.coalesce("sections", F.array().cast("array<string>"))))
+    at = chunks.select("chunk_id", "chapter_id", "primary_section", F.explode(F.when(F.size(own) > 0, own).otherwise(F.array("primary_section"))).alias("section"))
+    here = at.join(points, ["chapter_id", "section"]).groupBy("chunk_id", "concept_id").agg((F.lit(100) + 20 * F.count_if(F.col("section") == F.col("primary_section"))).cast("int").alias("score"))
+    there = at.join(used, ["chapter_id", "section"]).select("chunk_id", "concept_id", F.lit(80).alias("score")).distinct()
+    chapters = concepts.select("concept_id", F.col("chapter_id").alias("_chapter"))
+    named = named_concepts(chunks, "chunk_id", "text", concepts).join(chapters, "concept_id").join(chunks.select("chunk_id", "chapter_id"), "chunk_id").where("_chapter = chapter_id").select("chunk_id", "concept_id", F.lit(120).alias("score"))
+    scores = here.union(there).union(named).groupBy("chunk_id", "concept_id").agg(F.max("score").alias("score"))
+    titled = scores.join(concepts.select("concept_id", "canonical_name"), "concept_id")
+    return top_per_key(titled, ["chunk_id"], [F.desc("score"), F.desc_nulls_last("canonical_name"), "concept_id"], best).select("chunk_id", "concept_id", "score")
+
+
 def _best_shared(registry: pd.DataFrame, texts: pd.DataFrame, best: int) -> pd.DataFrame:
     """The ``best`` + ``named`` concepts of each text by shared words of their definitions; ties fall by id."""
     registry = registry.sort_values("concept_id", ignore_index=True)

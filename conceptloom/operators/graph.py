@@ -100,12 +100,15 @@ def reachable(edges: DataFrame, pairs: DataFrame, most: int | None = None) -> Da
 def cyclic_core(edges: DataFrame) -> DataFrame:
     """Edges left when nodes without an edge in or out are peeled off again and again; none if the layer is acyclic."""
     left = cut(edges.select("source", "target").where("source IS NOT NULL AND target IS NOT NULL").distinct())
-    while True:
-        before = left.count()
+    now = left.count()
+    while now:
+        before = now
         left = left.join(left.select(F.col("target").alias("source")).distinct(), "source", "left_semi")
         left = cut(left.join(left.select(F.col("source").alias("target")).distinct(), "target", "left_semi").select("source", "target"))
-        if left.count() == before:
-            return left
+        now = left.count()
+        if now == before:
+            break
+    return left
 
 
 def per_component(edges: DataFrame, function, schema: str) -> DataFrame:

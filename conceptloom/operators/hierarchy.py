@@ -204,11 +204,18 @@ def _back_edges(walk: Walk, share: int, shares: int):
         yield from walk.back_edges(part)
 
 
+def _loops(walk: Walk, share: int, shares: int):
+    for part in walk.loops()[1]:
+        for node in part:
+            yield node, max(part)
+
+
 _FORMS = {
     "hops": (_hops, "node string, root_name string, hops int"),
     "paths": (_paths, "node string, root_name string, depth int, path string"),
     "descendants": (_descendants, "node string, descendant string, hops int"),
     "back_edges": (_back_edges, "parent string, child string"),
+    "loops": (_loops, "node string, loop string"),
 }
 
 
@@ -224,7 +231,7 @@ def _parted(edges: DataFrame, form: str, component_edges: int, task_steps: int)
     sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("_n"))
     if form == "descendants":
         starts = sizes.select("component", (F.col("_n") + 1).alias("_starts"))
-    elif form == "back_edges":
+    elif form in ("back_edges", "loops"):
         starts = sizes.select("component", F.lit(0).alias("_starts"))
     else:
         starts = _roots(placed).join(placed.select("layer", F.col("parent").alias("start"), "component").distinct(), ["layer", "start"]).groupBy("component").agg(F.count(F.lit(1)).alias("_starts"))
@@ -242,7 +249,8 @@ def _parted(edges: DataFrame, form: str, component_edges: int, task_steps: int)
 
 def hierarchy(edges: DataFrame, form: str = "hops", component_edges: int = COMPONENT_EDGES, task_steps: int = TASK_STEPS) -> DataFrame:
     """``layer`` and, by ``form``: 'hops' (node, root_name, hops; CYCLE and -1 for nodes on loops), 'paths' (node,
-    root_name, depth, path: every path that enters no node twice, with its own depth), 'descendants', 'back_edges'.
+    root_name, depth, path: every path that enters no node twice, with its own depth), 'descendants', 'back_edges',
+    'loops' (node, loop: the greatest name of its strongly connected part).
 
     edges: distinct ``layer``, ``parent``, ``child`` without nulls. A component where every node has another parent has
     no root and so only its loops. Empty tables give empty results. Components above ``component_edges`` give
@@ -273,6 +281,8 @@ def hierarchy(edges: DataFrame, form: str = "hops", component_edges: int = COMPO
         more = large_down(large, _roots(large)).select("layer", "node", F.col("start").alias("root_name"), "hops").union(loops)
     elif form == "paths":
         more = large_paths(large, _roots(large)).select("layer", "node", F.col("start").alias("root_name"), "depth", F.array_join("ways", " > ").alias("path"))
+    elif form == "loops":
+        more = large_loops(large)
     elif form == "descendants":
         nodes = large.select("layer", F.col("parent").alias("start")).union(large.select("layer", "child")).distinct()
         more = large_down(large, nodes).where("node <> start").select("layer", F.col("start").alias("node"), F.col("node").alias("descendant"), "hops")

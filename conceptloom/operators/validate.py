@@ -1,12 +1,11 @@
-"""Validation and gates: rules give rows of violations or one reason per record; the first reason that fits holds."""
+"""Validation of evidence and decisions on relations: one reason per record, the first that fits holds."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from . import graph as G
 
 # Formal relation types; the symmetric one.
 RELATIONS = (
@@ -14,7 +13,6 @@ RELATIONS = (
     "CREATES TRANSITIONS_TO SAVES_TO LOADS_FROM RECLAIMS WAITS_ON SCHEDULES INCREASES REDUCES"
 ).split()
 SYMMETRIC = ["CONTRASTED_WITH"]
-VERIFIED = ["VERIFIED", "VERIFIED_REVERSED", "VERIFIED_RETYPED"]
 RELATION_FLOOR, PREREQUISITE_FLOOR = 0.82, 0.85
 
 
@@ -27,67 +25,27 @@ def first_reason(*rules: tuple[Column, str]) -> Column:
     return out
 
 
-def contract(concepts: DataFrame, chunks: DataFrame, mentions: DataFrame, relations: DataFrame, prerequisites: DataFrame, prefix: str = "OS_") -> DataFrame:
-    """K1, K8: distinct ``rule``, ``key`` of everything an import must not hold.
+def evidence_reasons(mentions: DataFrame, order: str = "mention_id") -> DataFrame:
+    """K2: adds ``reason`` (null: accepted) and ``kept`` to mentions joined with their concept.
 
-    concepts: ``concept_id``; chunks: ``chunk_id``; mentions: ``mention_id``, both keys; relations: ``relation_id``, ends,
-    ``relation``; prerequisites: ``source``, ``target``, ``confidence``. Each rule is a join or an aggregation; nulls dangle.
-    """
-    c, k = concepts.select("concept_id").distinct(), chunks.select("chunk_id").distinct()
-    say = lambda df, rule, key: df.select(F.lit(rule).alias("rule"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"))
-    twice = lambda df, keys: df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    dangling = lambda df, column, known, key: df.join(known.withColumnRenamed(known.columns[0], column), column, "left_anti")
-    edge = F.concat_ws(" > ", "source", "target")
-    pre = prerequisites.withColumn("_e", edge)
-    return (
-        say(twice(concepts, ["concept_id"]), "duplicate concept_id", "concept_id")
-        .union(say(concepts.where(~F.col("concept_id").startswith(prefix)), "non-global concept_id", "concept_id"))
-        .union(say(twice(chunks, ["chunk_id"]), "duplicate chunk_id", "chunk_id"))
-        .union(say(dangling(mentions, "concept_id", c, ""), "dangling mention concept", "mention_id"))
-        .union(say(dangling(mentions, "chunk_id", k, ""), "dangling mention chunk", "mention_id"))
-        .union(say(dangling(relations, "source_concept_id", c, ""), "dangling relation endpoint", "relation_id"))
-        .union(say(dangling(relations, "target_concept_id", c, ""), "dangling relation endpoint", "relation_id"))
-        .union(say(relations.where("source_concept_id = target_concept_id"), "self relation", "relation_id"))
-        .union(say(relations.where(~F.upper(F.coalesce("relation", F.lit(""))).isin(RELATIONS)), "unsupported relation type", "relation_id"))
-        .union(say(twice(relations, ["source_concept_id", F.upper("relation").alias("r"), "target_concept_id"]).withColumn("_k", F.concat_ws(" > ", "source_concept_id", "r", "target_concept_id")), "duplicate relation", "_k"))
-        .union(say(pre.where("source = target"), "self prerequisite", "_e"))
-        .union(say(pre.where(F.coalesce("confidence", F.lit(0.0)) < PREREQUISITE_FLOOR), "prerequisite below confidence", "_e"))
-        .union(say(G.cyclic_core(prerequisites).withColumn("_e", edge), "cyclic prerequisite layer", "_e"))
-        .distinct()
-    )
-
-
-def evidence_reasons(mentions: DataFrame) -> DataFrame:
-    """K2: adds ``reason`` to mentions joined with their chunk and concept; null means accepted.
-
-    Needs ``known`` (boolean), ``evidence_type``, ``quote``, ``normal_text`` (the chunk's, normalised),
-    ``confidence``, ``terms`` (made by ``anchor_terms``).
+    Needs ``known``, ``found`` (whether the quote stands in its chunk), ``evidence_type``, ``quote``, ``confidence``, ``concept_id``, ``chunk_id``,
+    ``matches_definition`` and ``terms`` (made by ``anchor_terms``). Of accepted rows of a chunk with the same concept, type and
+    normalised quote the first in ``order`` is kept.
     """
     floor = F.create_map(*(F.lit(x) for kv in T.EVIDENCE_FLOORS.items() for x in kv))
-    return T.anchored(mentions, "terms", "quote", "evidence_type").withColumn(
+    judged = T.anchored(mentions, "terms", "quote", "evidence_type").withColumn(
         "reason",
         first_reason(
             (~F.col("known"), "unknown_or_non_candidate_concept"),
             (F.col("evidence_type").isNull(), "invalid_evidence_type"),
-            (~F.coalesce(T.quote_in_normal(T.normalize_text("quote"), F.col("normal_text")), F.lit(False)), "quote_not_found_in_chunk"),
+            (~F.coalesce(F.col("found"), F.lit(False)), "quote_not_found_in_chunk"),
             (F.col("confidence") < floor[F.col("evidence_type")], "below_evidence_confidence_threshold"),
             (F.col("anchor").isNull(), "quote_not_anchored_to_concept_name_alias_or_definition"),
+            ((F.col("evidence_type") == "definition") & ~F.coalesce("matches_definition", F.lit(False)), "definition_not_confirmed_by_model"),
         ),
     )
-
-
-def relation_reasons(relations: DataFrame) -> DataFrame:
-    """K3: adds ``reason`` to relations; needs ``source_known``, ``target_known``, ends, ``relation``, ``confidence``, ``evidence``."""
-    return relations.withColumn(
-        "reason",
-        first_reason(
-            (~(F.col("source_known") & F.col("target_known")), "unknown_or_non_candidate_endpoint"),
-            (F.col("source_concept_id") == F.col("target_concept_id"), "self_loop"),
-            (~F.coalesce(F.col("relation").isin(RELATIONS), F.lit(False)), "invalid_relation_type"),
-            (F.col("confidence") < RELATION_FLOOR, "below_confidence_threshold"),
-            (F.size(F.coalesce("evidence", F.array().cast("array<struct<chunk_id:string,quote:string>>"))) == 0, "quote_not_found_in_chunk"),
-        ),
-    )
+    same = Window.partitionBy("concept_id", "chunk_id", "evidence_type", F.xxhash64(T.normalize_text("quote")), F.col("reason").isNull()).orderBy(order)
+    return judged.withColumn("kept", F.col("reason").isNull() & (F.row_number().over(same) == 1))
 
 
 def decide(relations: DataFrame, decisions: DataFrame, keep_missing: bool = False) -> DataFrame:
@@ -103,51 +61,3 @@ def decide(relations: DataFrame, decisions: DataFrame, keep_missing: bool = Fals
     s, t = F.when(swap, F.col("target")).otherwise(F.col("source")), F.when(swap, F.col("source")).otherwise(F.col("target"))
     both = kind.isin(SYMMETRIC)
     return d.where(fine).select("relation_id", F.when(both, F.least(s, t)).otherwise(s).alias("source"), F.when(both, F.greatest(s, t)).otherwise(t).alias("target"), kind.alias("relation"))
-
-
-def semantic_gate(relations: DataFrame) -> DataFrame:
-    """K5: adds ``final_relation`` and ``reason`` (null: accepted).
-
-    Needs ``relation_id``, ``source``, ``target``, ``relation``, ``status``, ``quotes`` (text), ``target_broader``. The order is fixed:
-    status, type, rewriting of causes, hierarchy, cue of the type, general relation behind a specific one, both directions.
-    """
-    q = F.coalesce("quotes", F.lit(""))
-    cue = lambda kind: T.cue(q, kind)
-    kind = F.col("relation")
-    final = F.when((kind == "CAUSES") & cue("reduction"), "REDUCES").when((kind == "CAUSES") & cue("increase"), "INCREASES").otherwise(kind)
-    needs = {"CAUSES": "causal", "REDUCES": "reduction", "INCREASES": "increase", "MANAGES": "management", "PROVIDES": "provision", "ENABLES": "enablement", "TRANSITIONS_TO": "transition"}
-    one = relations.withColumn("final_relation", final)
-    f = F.col("final_relation")
-    lacking = F.lit(False)
-    for k, family in needs.items():
-        lacking = lacking | ((f == k) & ~cue(family))
-    one = one.withColumn(
-        "reason",
-        first_reason(
-            (~F.coalesce(F.col("status").isin(VERIFIED), F.lit(False)), "relation_not_semantically_verified"),
-            (~F.coalesce(kind.isin(RELATIONS), F.lit(False)), "relation_type_requires_reviewed_layer"),
-            ((f == "HAS_SUBTYPE") & ~F.col("target_broader").eqNullSafe(F.col("source")), "subtype_not_confirmed_by_global_hierarchy"),
-            (lacking, "relation_quote_lacks_cue"),
-        ),
-    )
-    open_ = one.where("reason IS NULL")
-    specific = open_.where(f.isin("INVOKES", "SCHEDULES", "CREATES", "LOADS_FROM")).select("source", "target").distinct().withColumn("_s", F.lit(True))
-    one = one.join(specific, ["source", "target"], "left")
-    one = one.withColumn("reason", F.when(F.col("reason").isNull() & (f == "USES") & F.col("_s"), "generic_uses_shadowed_by_specific_relation").otherwise(F.col("reason"))).drop("_s")
-    still = one.where("reason IS NULL").where(~f.isin(SYMMETRIC)).select(F.col("target").alias("source"), F.col("source").alias("target"), "final_relation").distinct().withColumn("_r", F.lit(True))
-    one = one.join(still, ["source", "target", "final_relation"], "left")
-    return one.withColumn("reason", F.when(F.col("reason").isNull() & F.col("_r"), "reciprocal_directional_relation").otherwise(F.col("reason"))).drop("_r")
-
-
-def admission(names: DataFrame) -> DataFrame:
-    """Adds ``points`` and ``verdict`` to names with counts of their use.
-
-    Needs ``name``, ``definitions``, ``occurrences``, ``chunks``, ``relations``. Names of figures and variables never enter;
-    five of seven points accept, three demote.
-    """
-    n = F.col("name")
-    variable = n.rlike("^[a-z_][a-z0-9_]{0,3}$|^[A-Z]\\d*$")
-    figure = n.rlike("(?i)^(figure|table|chapter|section)\\b")
-    role = n.rlike("(?i)^(client|server|user|producer|consumer) ?\\d*$")
-    points = sum((c.cast("int") for c in (F.col("definitions") > 0, F.col("occurrences") >= 5, ~variable & ~role, F.col("chunks") >= 3, F.col("relations") >= 2, ~figure, ~n.rlike("\\(\\)$"))), F.lit(0))
-    return names.withColumn("points", points).withColumn("verdict", F.when(variable | figure, "REJECT").when(points >= 5, "ACCEPT").when(points >= 3, "DEMOTE").otherwise("REJECT"))

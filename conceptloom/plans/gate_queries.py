@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import aliases as A
 from ..operators import candidates as C
+from ..operators import gates
+from ..operators import graph as G
 from ..operators import validate as K
 from ..session import table
 from . import sqltext as S
@@ -23,38 +25,6 @@ def _names(name: str = "canonical_name"):
     return F.concat(F.array(name), F.coalesce("aliases", F.array().cast("array<string>")))
 
 
-# Technical terms are the definitions' heads: what a definition says a concept is.
-_PHRASE = f"SELECT DISTINCT {S.name(chr(39) + chr(39) + ' || regexp_extract(short_definition, ' + chr(39) + '^An? (.+?) that ' + chr(39) + ', 1)')} AS phrase FROM g_concept"
-
-
-def _heads(spark: SparkSession, base: str) -> DataFrame:
-    head = T.normalize_name(F.regexp_extract("short_definition", "^An? (.+?) that ", 1))
-    return V.concepts(spark, base).select(head.alias("phrase")).where("phrase <> ''").distinct()
-
-
-@query(V.sql("g_concept", "g_chunk") + f", p AS ({_PHRASE}), t AS (SELECT chunk_id, {S.search('text')} AS t FROM g_chunk), n AS (SELECT chunk_id, ' ' || regexp_replace(t, '[^a-z0-9]', ' ', 'g') || ' ' AS t FROM t) SELECT chunk_id, phrase FROM n JOIN p ON phrase <> '' AND contains(n.t, ' ' || phrase || ' ')")
-def lexical_hits(spark: SparkSession, base: str) -> DataFrame:
-    """Heads of definitions that stand in chunks."""
-    return C.phrase_hits(V.chunks(spark, base), "chunk_id", "text", _heads(spark, base))
-
-
-@query(V.sql("g_concept", "g_chunk") + f""", p AS ({_PHRASE}), r AS (SELECT phrase, any_value(short_definition) AS d FROM (SELECT {S.name("''" + " || regexp_extract(short_definition, '^An? (.+?) that ', 1)")} AS phrase, min(short_definition) AS short_definition FROM g_concept GROUP BY 1) WHERE phrase <> '' GROUP BY phrase),
-t AS (SELECT chunk_id, text, ' ' || regexp_replace({S.search('text')}, '[^a-z0-9]', ' ', 'g') || ' ' AS t FROM g_chunk),
-e AS (SELECT chunk_id, phrase AS head, 1000.0::DOUBLE + 25 * len(string_split(phrase, ' ')) AS score FROM t JOIN r ON length(phrase) >= 3 AND contains(t, ' ' || phrase || ' ')),
-s AS (SELECT chunk_id, unnest({S.content('text', T.CANDIDATE_STOPS, 3)}) AS w FROM g_chunk), m AS (SELECT phrase, {S.content('d', T.CANDIDATE_STOPS, 4)} AS ws FROM r), i AS (SELECT phrase, len(ws) AS total, unnest(ws) AS w FROM m),
-l AS (SELECT chunk_id, phrase AS head, count(*) AS n, any_value(total) AS total FROM s JOIN i USING (w) GROUP BY 1, 2 HAVING count(*) >= 2)
-SELECT chunk_id, head, round(score, 6) AS score FROM e UNION ALL SELECT chunk_id, head, round(200.0::DOUBLE + 20 * n + 100.0::DOUBLE * n / total, 6) FROM l WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.chunk_id = l.chunk_id AND e.head = l.head)""".replace("SELECT chunk_id, head, round(score, 6)", ", u AS (SELECT chunk_id, head, round(score, 6)") + ") SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY score DESC, head) <= 24")
-def candidate_concepts(spark: SparkSession, base: str) -> DataFrame:
-    """The 24 best heads of definitions as candidates for each chunk, by name or by the words of a definition."""
-    from ..operators.merge import top_per_key
-
-    head = T.normalize_name(F.regexp_extract("short_definition", "^An? (.+?) that ", 1))
-    r = V.concepts(spark, base).groupBy(head.alias("concept_id")).agg(F.min("short_definition").alias("short_definition")).where("concept_id <> ''")
-    scores = C.content_scores(V.chunks(spark, base), "chunk_id", "text", r.withColumn("names", F.array("concept_id")))
-    rounded = scores.select("chunk_id", F.col("concept_id").alias("head"), F.round("score", 6).alias("score"))
-    return top_per_key(rounded, ["chunk_id"], [F.desc("score"), "head"], 24).drop("place")
-
-
 def _local(spark: SparkSession, base: str) -> DataFrame:
     c = V.concepts(spark, base)
     return c.select(F.concat(F.lit("L"), "concept_id").alias("local_id"), F.concat(F.lower("canonical_name"), F.lit("s")).alias("name"), F.array().cast("array<string>").alias("aliases"), F.lit("1.1").alias("section"), F.col("short_definition").alias("definition"), F.col("chapter_id").alias("chapter"))
@@ -94,27 +64,6 @@ def gap_near_duplicates(spark: SparkSession, base: str) -> DataFrame:
     return C.near_duplicates(x, "h", "h", "the a an of and for to".split())
 
 
-@query(V.sql("g_concept", "g_chunk") + f", p AS ({_PHRASE}), t AS (SELECT chunk_id, ' ' || regexp_replace({S.search('text')}, '[^a-z0-9]', ' ', 'g') || ' ' AS t FROM g_chunk WHERE regexp_matches(text, '(?i)\\b(fig|tab)\\. ')) SELECT chunk_id, count(DISTINCT phrase) AS states FROM t JOIN p ON phrase <> '' AND contains(t.t, ' ' || phrase || ' ') GROUP BY chunk_id HAVING count(DISTINCT phrase) >= 2")
-def diagram_candidates(spark: SparkSession, base: str) -> DataFrame:
-    """Chunks with a figure and two names or more."""
-    k = V.chunks(spark, base).where(F.col("text").rlike("(?i)\\b(fig|tab)\\. "))
-    return C.phrase_hits(k, "chunk_id", "text", _heads(spark, base)).groupBy("chunk_id").agg(F.count(F.lit(1)).alias("states")).where("states >= 2")
-
-
-@query(V.sql("g_concept", "g_chunk", "g_mention") + f", p AS (SELECT chunk_id, count(*) AS preferred FROM g_mention WHERE evidence_type = 'definition' GROUP BY chunk_id), d AS ({_PHRASE}), t AS (SELECT chunk_id, chapter_id, ' ' || regexp_replace({S.search('text')}, '[^a-z0-9]', ' ', 'g') || ' ' AS t FROM g_chunk), h AS (SELECT chunk_id, count(*) AS n FROM t JOIN d ON phrase <> '' AND contains(t.t, ' ' || phrase || ' ') GROUP BY chunk_id)"
- + " SELECT chapter_id, chunk_id, CASE WHEN preferred IS NOT NULL THEN 100 ELSE 0 END + coalesce(n, 0) AS score FROM t LEFT JOIN p USING (chunk_id) LEFT JOIN h USING (chunk_id) QUALIFY row_number() OVER (PARTITION BY chapter_id ORDER BY score DESC, chunk_id) <= 2")
-def audit_evidence(spark: SparkSession, base: str) -> DataFrame:
-    """The two best chunks of each chapter for an audit: with a definition first, then by names found."""
-    from ..operators.merge import top_per_key
-
-    k = V.chunks(spark, base)
-    preferred = V.mentions(spark, base, "evidence_type").where("evidence_type = 'definition'").select("chunk_id").distinct().withColumn("p", F.lit(100))
-    named = C.phrase_hits(k, "chunk_id", "text", _heads(spark, base)).groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n"))
-    s = k.select("chapter_id", "chunk_id").join(preferred, "chunk_id", "left").join(named, "chunk_id", "left").select("chapter_id", "chunk_id", (F.coalesce("p", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("score"))
-    return top_per_key(s, ["chapter_id"], [F.desc("score"), "chunk_id"], 2).drop("place")
-
-
-# The queries above seek the heads of definitions, as their SQL says. Those below seek every concept by each of its names.
 _NAMED = f"""d AS (SELECT DISTINCT concept_id, phrase FROM (SELECT concept_id, {S.name('n')} AS phrase FROM (SELECT concept_id, unnest({_ALL}) AS n FROM g_concept)) WHERE length(phrase) >= 3),
 t AS (SELECT chunk_id, chapter_id, text, {S.search('text')} AS t FROM g_chunk),
 e AS (SELECT chunk_id, concept_id, max(len(string_split(phrase, ' '))) AS words FROM t JOIN d ON contains(t.t, phrase) AND regexp_matches(t.t, '(^|[^a-z0-9])' || regexp_escape(phrase) || '([^a-z0-9]|$)') GROUP BY 1, 2)"""
@@ -125,7 +74,7 @@ def _named(spark: SparkSession, base: str) -> DataFrame:
 
 
 @query(V.sql("g_concept", "g_chunk") + f", {_NAMED} SELECT chunk_id, concept_id FROM e")
-def registry_lexical_hits(spark: SparkSession, base: str) -> DataFrame:
+def lexical_hits(spark: SparkSession, base: str) -> DataFrame:
     """Every concept that a chunk names, by its canonical name or an alias."""
     return C.named_concepts(V.chunks(spark, base, "text"), "chunk_id", "text", _named(spark, base)).select("chunk_id", "concept_id")
 
@@ -134,13 +83,13 @@ def registry_lexical_hits(spark: SparkSession, base: str) -> DataFrame:
 l AS (SELECT chunk_id, concept_id, count(*) AS n, any_value(total) AS total FROM s JOIN i USING (w) GROUP BY 1, 2 HAVING count(*) >= 2),
 u AS (SELECT chunk_id, concept_id, round(1000.0::DOUBLE + 25 * words, 6) AS score FROM e UNION ALL SELECT chunk_id, concept_id, round(200.0::DOUBLE + 20 * n + 100.0::DOUBLE * n / total, 6) FROM l ANTI JOIN e USING (chunk_id, concept_id))
 SELECT chunk_id, concept_id, score FROM u QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY score DESC, concept_id) <= 24""")
-def registry_candidates(spark: SparkSession, base: str) -> DataFrame:
+def candidate_concepts(spark: SparkSession, base: str) -> DataFrame:
     """The 24 best concepts for each chunk, every concept scored by its names or by the words of its own definition."""
     return C.best_content(V.chunks(spark, base, "text"), "chunk_id", "text", _named(spark, base), 24)
 
 
 @query(V.sql("g_concept", "g_chunk") + f", {_NAMED} SELECT chunk_id, count(*) AS states FROM e JOIN t USING (chunk_id) WHERE regexp_matches(text, '(?i)\\b(fig|tab)\\. ') GROUP BY chunk_id HAVING count(*) >= 2")
-def registry_diagrams(spark: SparkSession, base: str) -> DataFrame:
+def diagram_candidates(spark: SparkSession, base: str) -> DataFrame:
     """Chunks with a figure that name two concepts or more."""
     k = V.chunks(spark, base, "text").where(F.col("text").rlike("(?i)\\b(fig|tab)\\. "))
     return C.named_concepts(k, "chunk_id", "text", _named(spark, base)).groupBy("chunk_id").agg(F.count(F.lit(1)).alias("states")).where("states >= 2")
@@ -148,7 +97,7 @@ def registry_diagrams(spark: SparkSession, base: str) -> DataFrame:
 
 @query(V.sql("g_concept", "g_chunk", "g_mention") + f", {_NAMED}, p AS (SELECT DISTINCT chunk_id, 100 AS preferred FROM g_mention WHERE evidence_type = 'definition'), h AS (SELECT chunk_id, count(*) AS n FROM e GROUP BY chunk_id)"
  + " SELECT chapter_id, chunk_id, coalesce(preferred, 0) + coalesce(n, 0) AS score FROM t LEFT JOIN p USING (chunk_id) LEFT JOIN h USING (chunk_id) QUALIFY row_number() OVER (PARTITION BY chapter_id ORDER BY score DESC, chunk_id) <= 2")
-def registry_evidence(spark: SparkSession, base: str) -> DataFrame:
+def audit_evidence(spark: SparkSession, base: str) -> DataFrame:
     """The two best chunks of each chapter for an audit: with a definition first, then by concepts named."""
     from ..operators.merge import top_per_key
 
@@ -203,44 +152,36 @@ UNION ALL SELECT 'self prerequisite', source || ' > ' || target FROM p WHERE sou
 UNION ALL SELECT 'prerequisite below confidence', source || ' > ' || target FROM p WHERE coalesce(confidence, 0) < 0.85
 UNION ALL SELECT 'cyclic prerequisite layer', source || ' > ' || target FROM p WHERE source IN (SELECT node FROM core) AND target IN (SELECT node FROM core))""")
 def import_contract_violations(spark: SparkSession, base: str) -> DataFrame:
-    """All violations of the import contract, with repeated deliveries as duplicates."""
+    """All violations of the import contract in the main tables and the prerequisite edges, with repeated deliveries as duplicates."""
     p = table(spark, base, "prerequisite_edges").where("prereq IS NOT NULL AND target IS NOT NULL").groupBy(F.col("prereq").alias("source"), "target").agg(F.max("confidence").alias("confidence"))
-    concepts, chunks = table(spark, base, "concepts").where("concept_id IS NOT NULL"), table(spark, base, "chunks").where("chunk_id IS NOT NULL")
-    return K.contract(concepts, chunks, table(spark, base, "mentions"), table(spark, base, "relations"), p)
+    edge = F.concat_ws(" > ", "source", "target").alias("key")
+    flags = F.array(F.when(F.col("source") == F.col("target"), "self prerequisite"), F.when(F.coalesce("confidence", F.lit(0.0)) < K.PREREQUISITE_FLOOR, "prerequisite below confidence"))
+    layer = p.select(F.explode(F.array_compact(flags)).alias("rule"), edge).union(G.cyclic_core(p).select(F.lit("cyclic prerequisite layer"), edge))
+    concepts, chunks = (table(spark, base, n).where(f"{k} IS NOT NULL").select(k) for n, k in (("concepts", "concept_id"), ("chunks", "chunk_id")))
+    return gates.import_errors(concepts, chunks, table(spark, base, "mentions"), table(spark, base, "relations")).union(layer)
 
 
 @query(V.sql("g_concept", "g_chunk", "g_mention") + f""", n AS (SELECT m.*, k.text, c.concept_id IS NOT NULL AS known, {_ALL.replace('canonical_name', 'c.canonical_name').replace('aliases', 'c.aliases')} AS names, c.short_definition,
  {S.search('m.quote')} AS q, {S.words(S.name('m.quote', True))} AS qw, {S.jaccard(S.content('m.quote', T.DEFINITION_STOPS, 3), S.content('c.short_definition', T.DEFINITION_STOPS, 3))} AS overlap FROM g_mention m LEFT JOIN g_chunk k USING (chunk_id) LEFT JOIN g_concept c ON c.concept_id = m.concept_id),
 w AS (SELECT *, coalesce(len(list_filter(list_transform(names, lambda x: {S.name('x')}), lambda z: z <> '' AND contains(' ' || regexp_replace(q, '[^a-z0-9]', ' ', 'g') || ' ', ' ' || regexp_replace(z, '[^a-z0-9]', ' ', 'g') || ' '))) > 0, false) AS named,
- coalesce(list_max(list_transform(list_transform(names, lambda x: list_filter({S.words(S.name('x', True))}, lambda y: length(y) > 2 AND y NOT IN ({", ".join(f"'{s}'" for s in T.ANCHOR_STOPS)}))), lambda ws: CASE WHEN len(ws) >= 2 AND len(list_intersect(ws, qw)) >= 2 THEN len(list_intersect(ws, qw))::DOUBLE / len(ws) ELSE 0.0 END)), 0.0) AS coverage FROM n)
-SELECT mention_id, CASE WHEN NOT known THEN 'unknown_or_non_candidate_concept' WHEN evidence_type IS NULL THEN 'invalid_evidence_type' WHEN NOT {S.quote_in('quote', 'text')} THEN 'quote_not_found_in_chunk'
-WHEN confidence < CASE evidence_type WHEN 'definition' THEN 0.75 WHEN 'mention' THEN 0.75 ELSE 0.7 END THEN 'below_evidence_confidence_threshold' WHEN NOT (named OR coverage >= 0.67 OR (evidence_type = 'definition' AND overlap >= 0.18)) THEN 'quote_not_anchored_to_concept_name_alias_or_definition' END AS reason FROM w""")
+ coalesce(list_max(list_transform(list_transform(names, lambda x: list_filter({S.words(S.name('x', True))}, lambda y: length(y) > 2 AND y NOT IN ({", ".join(f"'{s}'" for s in T.ANCHOR_STOPS)}))), lambda ws: CASE WHEN len(ws) >= 2 AND len(list_intersect(ws, qw)) >= 2 THEN len(list_intersect(ws, qw))::DOUBLE / len(ws) ELSE 0.0 END)), 0.0) AS coverage FROM n),
+z AS (SELECT mention_id, CASE WHEN NOT known THEN 'unknown_or_non_candidate_concept' WHEN evidence_type IS NULL THEN 'invalid_evidence_type' WHEN NOT {S.quote_in('quote', 'text')} THEN 'quote_not_found_in_chunk'
+WHEN confidence < CASE evidence_type WHEN 'definition' THEN 0.75 WHEN 'mention' THEN 0.75 ELSE 0.7 END THEN 'below_evidence_confidence_threshold' WHEN NOT (named OR coverage >= 0.67 OR (evidence_type = 'definition' AND overlap >= 0.18)) THEN 'quote_not_anchored_to_concept_name_alias_or_definition' WHEN evidence_type = 'definition' AND NOT coalesce(overlap >= 0.18, false) THEN 'definition_not_confirmed_by_model' END AS reason, concept_id, chunk_id, evidence_type, {S.normal_text('quote')} AS nq FROM w)
+SELECT mention_id, reason, reason IS NULL AND row_number() OVER (PARTITION BY concept_id, chunk_id, evidence_type, nq, reason IS NULL ORDER BY mention_id) = 1 AS kept FROM z""")
 def evidence_validation(spark: SparkSession, base: str) -> DataFrame:
-    """Why each mention is refused, or null."""
-    c = V.concepts(spark, base).select("concept_id", T.anchor_terms(_names(), "short_definition").alias("terms"), F.lit(True).alias("k"))
+    """Why each mention is refused, or null, and whether it is the first of its kind. A definition is confirmed by its overlap with the registry's."""
+    c = V.concepts(spark, base, "canonical_name", "aliases", "short_definition").select("concept_id", T.anchor_terms(_names(), "short_definition").alias("terms"), "short_definition", F.lit(True).alias("k"))
     k = V.chunks(spark, base, "text").select("chunk_id", T.normalize_text("text").alias("normal_text"))
-    m = V.mentions(spark, base).join(k, "chunk_id", "left").join(c, "concept_id", "left").withColumn("known", F.coalesce("k", F.lit(False)))
-    return K.evidence_reasons(m).select("mention_id", "reason")
+    # Texts are met once and leave at once; only narrow rows meet the concepts, where one key may be hot.
+    m = V.mentions(spark, base, "quote", "evidence_type", "confidence").join(k, "chunk_id", "left")
+    m = m.withColumn("found", F.coalesce(T.quote_in_normal(T.normalize_text("quote"), F.col("normal_text")), F.lit(False))).drop("normal_text")
+    m = m.join(c, "concept_id", "left").withColumn("known", F.coalesce("k", F.lit(False))).withColumn("matches_definition", T.definition_overlap("quote", "short_definition") >= T.OVERLAP_FLOOR)
+    return K.evidence_reasons(m).select("mention_id", "reason", "kept")
 
 
-_KNOWN = "r AS (SELECT g.*, s.concept_id IS NOT NULL AS source_known, t.concept_id IS NOT NULL AS target_known, t.broader_concept_id AS target_broader FROM g_relation g LEFT JOIN g_concept s ON s.concept_id = source_concept_id LEFT JOIN g_concept t ON t.concept_id = target_concept_id)"
 _TYPES = ", ".join(f"'{r}'" for r in K.RELATIONS)
 
 
-def _known(spark: SparkSession, base: str) -> DataFrame:
-    c = V.concepts(spark, base)
-    s = c.select(F.col("concept_id").alias("source_concept_id"), F.lit(True).alias("s"))
-    t = c.select(F.col("concept_id").alias("target_concept_id"), F.lit(True).alias("t"), F.col("broader_concept_id").alias("target_broader"))
-    r = V.relations(spark, base).join(s, "source_concept_id", "left").join(t, "target_concept_id", "left")
-    return r.withColumn("source_known", F.coalesce("s", F.lit(False))).withColumn("target_known", F.coalesce("t", F.lit(False)))
-
-
-@query(V.sql("g_concept", "g_relation") + f", {_KNOWN} SELECT relation_id, CASE WHEN NOT (source_known AND target_known) THEN 'unknown_or_non_candidate_endpoint' WHEN source_concept_id = target_concept_id THEN 'self_loop' WHEN coalesce(relation, '') NOT IN ({_TYPES}) THEN 'invalid_relation_type' WHEN confidence < 0.82 THEN 'below_confidence_threshold' WHEN len(coalesce(evidence, [])) = 0 THEN 'quote_not_found_in_chunk' END AS reason FROM r")
-def relation_validation(spark: SparkSession, base: str) -> DataFrame:
-    """K3: why each relation is refused, or null."""
-    return K.relation_reasons(_known(spark, base)).select("relation_id", "reason")
-
-
 _ACTION = "CASE verification_status WHEN 'VERIFIED' THEN 'ACCEPT' WHEN 'VERIFIED_REVERSED' THEN 'REVERSE' WHEN 'VERIFIED_RETYPED' THEN 'RETYPE' ELSE 'DROP' END"
 
 
@@ -255,25 +196,6 @@ def apply_verification(spark: SparkSession, base: str) -> DataFrame:
     return K.decide(r.select("relation_id", F.col("source_concept_id").alias("source"), F.col("target_concept_id").alias("target"), "relation"), d)
 
 
-@query()
-def semantic_gate(spark: SparkSession, base: str) -> DataFrame:
-    """K5: relations after the semantic gate, with the reason for review."""
-    r = _known(spark, base).select("relation_id", F.col("source_concept_id").alias("source"), F.col("target_concept_id").alias("target"), "relation", F.col("verification_status").alias("status"), F.array_join("evidence.quote", " ").alias("quotes"), "target_broader")
-    return K.semantic_gate(r).select("relation_id", "final_relation", "reason")
-
-
-@query(V.sql("g_concept", "g_mention", "g_relation") + """, m AS (SELECT concept_id, count_if(evidence_type = 'definition') AS definitions, count(*) AS occurrences, count(DISTINCT chunk_id) AS chunks FROM g_mention GROUP BY 1), r AS (SELECT c AS concept_id, count(*) AS relations FROM (SELECT source_concept_id AS c FROM g_relation UNION ALL SELECT target_concept_id FROM g_relation) GROUP BY 1),
-x AS (SELECT concept_id, canonical_name AS name, coalesce(definitions, 0) AS d, coalesce(occurrences, 0) AS o, coalesce(chunks, 0) AS k, coalesce(relations, 0) AS r FROM g_concept LEFT JOIN m USING (concept_id) LEFT JOIN r USING (concept_id)),
-f AS (SELECT *, regexp_matches(name, '^[a-z_][a-z0-9_]{0,3}$|^[A-Z]\\d*$') AS v, regexp_matches(name, '(?i)^(figure|table|chapter|section)\\b') AS g, regexp_matches(name, '(?i)^(client|server|user|producer|consumer) ?\\d*$') AS ro, regexp_matches(name, '\\(\\)$') AS call FROM x),
-p AS (SELECT concept_id, v, g, (d > 0)::INT + (o >= 5)::INT + (NOT v AND NOT ro)::INT + (k >= 3)::INT + (r >= 2)::INT + (NOT g)::INT + (NOT call)::INT AS points FROM f) SELECT concept_id, points, CASE WHEN v OR g THEN 'REJECT' WHEN points >= 5 THEN 'ACCEPT' WHEN points >= 3 THEN 'DEMOTE' ELSE 'REJECT' END AS verdict FROM p""")
-def admission_verdicts(spark: SparkSession, base: str) -> DataFrame:
-    """Verdicts on concepts by their use."""
-    m = V.mentions(spark, base, "evidence_type").groupBy("concept_id").agg(F.count_if(F.col("evidence_type") == "definition").alias("definitions"), F.count(F.lit(1)).alias("occurrences"), F.countDistinct("chunk_id").alias("chunks"))
-    r = V.relations(spark, base).select(F.explode(F.array("source_concept_id", "target_concept_id")).alias("concept_id")).groupBy("concept_id").agg(F.count(F.lit(1)).alias("relations"))
-    n = V.concepts(spark, base).select("concept_id", F.col("canonical_name").alias("name")).join(m, "concept_id", "left").join(r, "concept_id", "left").na.fill(0)
-    return K.admission(n).select("concept_id", "points", "verdict")
-
-
 @query(V.sql("g_concept", "g_mention") + ", d AS (SELECT concept_id, bool_or(evidence_type = 'definition' AND confidence >= 0.75) AS defined FROM g_mention GROUP BY 1) SELECT concept_id, upper(trim(status)) = 'APPROVED' OR coalesce(defined, false) AS formal FROM g_concept LEFT JOIN d USING (concept_id)".replace("upper(trim(status)) = 'APPROVED'", "coalesce(upper(trim(status)) = 'APPROVED', false)"))
 def formal_promotion(spark: SparkSession, base: str) -> DataFrame:
     """Concepts that are formal by state or by a definition."""

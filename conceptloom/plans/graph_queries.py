@@ -165,7 +165,8 @@ def bidirectional_resolve(spark: SparkSession, base: str) -> DataFrame:
 def cycle_break(spark: SparkSession, base: str) -> DataFrame:
     """Edges removed from hierarchies of relations until they have no loop."""
     e = _scored(spark, base).where("relation IN ('HAS_SUBTYPE', 'PART_OF')").withColumnRenamed("score", "strength")
-    return G.break_cycles(e)
+    s = table(spark, base, "subtype_edges").where("parent <> child").select(F.col("parent").alias("source"), F.col("child").alias("target"), F.lit("HAS_SUBTYPE").alias("relation"), F.lit(1.0).alias("strength")).distinct()
+    return G.break_cycles(e.union(s.select(e.columns)))
 
 
 @query(V.sql("g_relation") + f", {_REL}" + " SELECT DISTINCT a.relation_id FROM e a JOIN e b ON a.source = b.target AND a.target = b.source AND a.relation = b.relation")

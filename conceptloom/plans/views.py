@@ -9,7 +9,7 @@ from ..session import table
 
 #: Columns without the embedding, of the present state of a key.
 CONCEPT = "concept_id canonical_name name name_zh short_definition aliases status chapter_id chapter_role broader_concept_id retrieval_enabled retrieval_weight evidence_count local_kp_ids created_at deleted_at loaded_at".split()
-CHUNK = "chunk_id parent_chunk_id chapter_id text pages sections primary_section page_start page_end seq created_at deleted_at loaded_at".split()
+CHUNK = "chunk_id parent_chunk_id chapter_id text pages sections primary_section page_start page_end excluded_tail_chars seq created_at deleted_at loaded_at".split()
 MENTION = "mention_id concept_id chunk_id quote evidence_type confidence created_at loaded_at".split()
 RELATION = "relation_id source_concept_id target_concept_id relation evidence source_chunks confidence_max verification_status verification_reason created_at loaded_at".split()
 

@@ -104,14 +104,13 @@ _SPEAKERS: dict[str, list[str]] = {}
 for _language, _words in FUNCTION_WORDS.items():
     for _one in _words.split():
         _SPEAKERS.setdefault(_one, []).append(_language)
-_LATIN_WORD = re.compile(r"[^\W\d_]+")
 
 
 def votes_of(text: str) -> dict[str, int]:
     """How many function words of each language in Latin letters stand in a text."""
     votes: dict[str, int] = {}
-    for word in _LATIN_WORD.findall(text.lower()):
-        for language in _SPEAKERS.get(word, ()):
+    for word in filter(_SPEAKERS.__contains__, text.lower().split()):
+        for language in _SPEAKERS[word]:
             votes[language] = votes.get(language, 0) + 1
     return votes
 
@@ -127,8 +126,6 @@ def speaker(text: str) -> Callable[[str, int, int], Abbreviations]:
 
     def lists(word: str, start: int, end: int) -> Abbreviations:
         nonlocal whole
-        if word not in _LISTED:
-            return _NONE
         first = next((c for c in word if c.isalpha()), "a")
         if "Ѐ" <= first <= "ԯ":
             return _LISTS["ru"]
@@ -151,12 +148,22 @@ _FLAT = r"[^\S\n\r\x0b\x0c\x85  ]"
 _BLANK = re.compile(rf"{_LINE}(?:[^\S\n\r\x0b\x0c\x85  ]|﻿)*{_LINE}(?:\s|﻿)*| (?:\s|﻿)*")
 _ITEM = re.compile(rf"{_LINE}{_FLAT}*(?=([{re.escape(BULLETS)}]|[-–—]|\(?(?:\d{{1,3}}|[a-z])\)|\d{{1,3}}\.){_FLAT}+\S)")
 _MARKER = re.compile(rf"(?:\s|﻿)*(?:[{re.escape(BULLETS)}]|[-–—]|\(?(?:\d{{1,3}}|[a-z])\)|\d{{1,3}}\.){_FLAT}+")
-_STOP = re.compile(f"[{re.escape(TERMINATORS + FULL_STOPS + ELLIPSIS)}]+")
-_GREEK_STOP = re.compile(f"[{re.escape(TERMINATORS + FULL_STOPS + ELLIPSIS)}]+|(?<=[\u0370-\u03ff\u1f00-\u1fff])[{GREEK_QUESTION}]")
+_ENDS = TERMINATORS + FULL_STOPS + ELLIPSIS
+_MARKS = "".join(OPENERS) + "".join(sorted(CLOSERS)) + '"'
+
+
+def _patterns(most: str) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+    """Terminators, quotation marks and brackets, and extended terminators, among characters up to one: small sets are searched fastest."""
+    ends, marks, extending = ("".join(c for c in x if c <= most) for x in (_ENDS, _MARKS, EXTENDING))
+    extended = f"[{re.escape(ends)}][{re.escape(extending)}]" if extending else r"(?!)"
+    return re.compile(f"[{re.escape(ends)}]+"), re.compile(f"[{re.escape(marks)}]"), re.compile(extended)
+
+
+_ASCII, _BASIC, _FULL = (_patterns(c) for c in ("\x7f", "\uffff", "\U0010ffff"))
+_BEYOND = re.compile("[\U00010000-\U0010ffff]")
+_GREEK_STOP = re.compile(f"[{re.escape(_ENDS)}]+|(?<=[\u0370-\u03ff\u1f00-\u1fff])[{GREEK_QUESTION}]")
 _GREEK = re.compile(r"[\u0370-\u03ff\u1f00-\u1fff]{3}")
 _EXTENDING = re.compile(f"[{re.escape(EXTENDING)}]+")
-_HAS_EXTENDING = re.compile(f"[{re.escape(TERMINATORS + FULL_STOPS + ELLIPSIS)}][{re.escape(EXTENDING)}]")
-_MARK = re.compile(f"[{re.escape(''.join(OPENERS) + ''.join(sorted(CLOSERS)))}\"]")
 _UNSPACED = re.compile(r"(?<=[ก-๛ກ-ໟ])\s+(?=[ก-๛ກ-ໟ])")
 _HAS_UNSPACED = re.compile(r"[ก-๛ກ-ໟ]")
 _SPACE = re.compile(r"(?:\s|﻿)*")
@@ -171,14 +178,14 @@ def _cjk(c: str) -> bool:
     return "ぁ" <= c <= "ヿ" or "㐀" <= c <= "鿿" or "豈" <= c <= "﫿" or "\U00020000" <= c <= "\U000323af" or c in "々〇"
 
 
-def _spans(text: str, start: int, end: int) -> list[tuple[int, int]]:
+def _spans(text: str, start: int, end: int, marks: re.Pattern) -> list[tuple[int, int]]:
     """Outermost matched quotations and brackets, as (opening, closing) positions in order.
 
     A mark without partner counts for nothing; a single closing quote between letters is an apostrophe.
     """
     stack: list[tuple[int, str]] = []
     pairs: list[tuple[int, int]] = []
-    for m in _MARK.finditer(text, start, end):
+    for m in marks.finditer(text, start, end):
         c, i = m.group(), m.start()
         if c == "’" and i + 1 < end and text[i + 1].isalnum():
             continue
@@ -230,13 +237,12 @@ def _goes_on(text: str, opening: int, closing: int, end: int, before: bool) -> b
     return not before and last not in FULL_STOPS and last not in "。।"
 
 
-def _full_stop_ends(text: str, start: int, at: int, after: int, end: int, lists_of, block: tuple[int, int]) -> bool:
-    """Whether one full stop at ``at`` ends the sentence; ``after``: past its closing marks, inside ``end``."""
-    k = _SPACE.match(text, after, end).end()
+def _full_stop_ends(text: str, start: int, at: int, after: int, k: int, end: int, lists_of, block: tuple[int, int]) -> bool:
+    """Whether one full stop at ``at`` ends the sentence; ``after``: past its closing marks, inside ``end``; ``k``: where the text goes on."""
     c = text[k]
     token = _TOKEN.search(text, max(start, at - 24), at).group()
     low = token.lower()
-    lists = lists_of(low, *block)
+    lists = lists_of(low, *block) if low in _LISTED else _NONE
     numbered, final = lists.numbered, lists.final
     never = low in lists.never and (low not in TITLES or token[0].isupper())
     if low in AFTER_NUMBER and not _YEAR.search(text, max(start, at - len(token) - 24), at - len(token)):
@@ -276,10 +282,11 @@ def _ends(text: str, start: int, at: int, stop: int, after: int, end: int, lists
     run, c = text[at:stop], text[k]
     if c in ",;，；、":
         return False
-    if run in GREEK_QUESTION:
-        return not c.islower()
-    if all(x in FULL_STOPS for x in run) and len(run) == 1:
-        return _full_stop_ends(text, start, at, after, end, lists_of, block)
+    if len(run) == 1:
+        if run in FULL_STOPS:
+            return _full_stop_ends(text, start, at, after, k, end, lists_of, block)
+        if run in GREEK_QUESTION:
+            return not c.islower()
     if all(x in FULL_STOPS or x in ELLIPSIS for x in run):
         if k == after:
             return (_cjk(c) or c in OPENERS and _cjk(text[at - 1])) and at > start and not text[at - 1].isspace()
@@ -289,9 +296,9 @@ def _ends(text: str, start: int, at: int, stop: int, after: int, end: int, lists
     return True
 
 
-def _block(text: str, start: int, end: int, out: list[tuple[int, int]], lists_of, stops: re.Pattern, extended: bool) -> None:
+def _block(text: str, start: int, end: int, out: list[tuple[int, int]], lists_of, stops: re.Pattern, marks: re.Pattern, extended: bool) -> None:
     """Sentences of one block without blank lines and list items inside."""
-    spans = _spans(text, start, end) if _MARK.search(text, start, end) else []
+    spans = _spans(text, start, end, marks) if marks.search(text, start, end) else []
     cuts = [m.start() for m in _UNSPACED.finditer(text, start, end)] if _HAS_UNSPACED.search(text, start, end) else []
     marker = _MARKER.match(text, start, end)
     begin, at, k, free = start, marker.end() if marker else start, 0, None
@@ -355,7 +362,11 @@ def sentence_spans(text: str) -> list[tuple[int, int]]:
     """Units of a text as (start, end) positions of characters, end exclusive."""
     raw: list[tuple[int, int]] = []
     at, n = 0, len(text)
-    shared = speaker(text), _GREEK_STOP if _GREEK.search(text) else _STOP, bool(_HAS_EXTENDING.search(text))
+    ascii_only = text.isascii()
+    stops, marks, extended = _ASCII if ascii_only else _FULL if _BEYOND.search(text) else _BASIC
+    if not ascii_only and _GREEK.search(text):
+        stops = _GREEK_STOP
+    shared = speaker(text), stops, marks, not ascii_only and bool(extended.search(text))
     for blank in [*_BLANK.finditer(text), None]:
         end = blank.start() if blank else n
         listed = False

@@ -69,28 +69,41 @@ def _tail(pieces: list[tuple[str, int]], overlap: int) -> list[tuple[str, int]]:
     return out[::-1]
 
 
-def section_chunks(pages: list[tuple[int, str]], sections: set[str], size: int = 2000, overlap: int = 300, least: int = 500) -> list[dict]:
+def primary_section(text: str, pages: list[int], sections: list[str], on_page: dict[int, list[str]]) -> str:
+    """The section whose heading in the text is followed by most text, else the one on most of the pages; ties fall to the later section."""
+    key = lambda s: [int(p) if p.isdigit() else 9999 for p in s.split(".")]
+    starts = sorted((m.start(), s) for s in sections if (m := re.search(rf"(?m)^\s*{re.escape(s)}\s*(?:\n+\s*|[ \t]+)\S", text)))
+    if starts:
+        ends = [a for a, _ in starts[1:]] + [len(text)]
+        return max(((end - a, key(s), s) for (a, s), end in zip(starts, ends)))[2]
+    return max(((sum(s in on_page.get(p, ()) for p in pages), key(s), s) for s in sections), default=(0, [], ""))[2]
+
+
+def section_chunks(pages: list[tuple[int, str]], sections: set[str], size: int = 2000, overlap: int = 300, least: int = 500, on_page: dict[int, list[str]] | None = None) -> list[dict]:
     """Chunks of pages: paragraphs are gathered up to ``size``; a registered heading begins a new chunk without overlap.
 
-    A last chunk shorter than ``least`` joins the one before it within its section.
+    Repeated text gives way where a new piece needs the room, so no chunk is longer than ``size`` unless a word alone is. A last
+    chunk shorter than ``least`` joins the one before it within its section if both fit. on_page: sections of each page,
+    for the primary section; without it those whose headings were met.
     """
     chunks: list[dict] = []
     held: list[tuple[str, int]] = []
     section = ""
-    fresh = False
+    fresh, copied = False, 0
+    length = lambda parts: sum(len(t) + 2 for t, _ in parts)
 
     def close(next_section: str) -> None:
-        nonlocal held, fresh
+        nonlocal held, fresh, copied
         if held and fresh:
             body = "\n\n".join(t for t, _ in held)
             before = chunks[-1] if chunks else None
-            if before and before["section"] == section and len(body) < least and len(before["text"]) + 2 + len(body) <= size + least:
-                before["text"] += "\n\n" + body
+            if before and before["section"] == section and len(body) < least and len(before["text"]) + 2 + len(new := "\n\n".join(t for t, _ in held[copied:])) <= size:
+                before["text"] += "\n\n" + new
                 before["pages"] = sorted({*before["pages"], *(p for _, p in held)})
             else:
                 chunks.append({"text": body, "pages": sorted({p for _, p in held}), "section": section})
         held = _tail(held, overlap) if next_section == section and held else []
-        fresh = False
+        copied, fresh = len(held), False
 
     for page, text in pages:
         for paragraph in re.split(r"\n\s*\n", text or ""):
@@ -105,16 +118,22 @@ def section_chunks(pages: list[tuple[int, str]], sections: set[str], size: int =
                     close(m.group(1))
                     section = m.group(1)
                 for piece in cut_text(part, size, part=0.6):
-                    if held and sum(len(t) + 2 for t, _ in held) + len(piece) > size:
+                    if held and length(held) + len(piece) > size:
                         close(section)
+                    if held and length(held) + len(piece) > size:
+                        held = _tail(held, size - len(piece) - 2)
+                        copied = len(held)
                     held.append((piece, page))
                     fresh = True
     close("")
+    for c in chunks:
+        listed = sorted({s for p in c["pages"] for s in on_page.get(p, ())}) if on_page else [c["section"]] if c["section"] else []
+        c["primary"] = primary_section(c["text"], c["pages"], listed, on_page or {}) if listed else ""
     return chunks
 
 
 def chunk_documents(pages: DataFrame, sections: list[str], size: int = 2000, overlap: int = 300, least: int = 500) -> DataFrame:
-    """``doc``, ``chunk_id`` (c0001 ...), ``section``, ``text``, ``pages``. pages: ``doc``, ``page``, ``text``.
+    """``doc``, ``chunk_id`` (c0001 ...), ``section``, ``primary_section``, ``text``, ``pages``. pages: ``doc``, ``page``, ``text``.
 
     The state runs through a document, so each document is one group; documents of one task's size are assumed.
     """
@@ -123,9 +142,9 @@ def chunk_documents(pages: DataFrame, sections: list[str], size: int = 2000, ove
     def chunk(key, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("page", kind="stable")
         found = section_chunks(list(zip(rows["page"].tolist(), rows["text"].fillna("").tolist())), known, size, overlap, least)
-        return pd.DataFrame([(key[0], f"c{i:04d}", c["section"], c["text"], c["pages"]) for i, c in enumerate(found, 1)], columns=["doc", "chunk_id", "section", "text", "pages"])
+        return pd.DataFrame([(key[0], f"c{i:04d}", c["section"], c["primary"], c["text"], c["pages"]) for i, c in enumerate(found, 1)], columns=["doc", "chunk_id", "section", "primary_section", "text", "pages"])
 
-    return pages.groupBy("doc").applyInPandas(chunk, f"doc {pages.schema['doc'].dataType.simpleString()}, chunk_id string, section string, text string, pages array<int>")
+    return pages.groupBy("doc").applyInPandas(chunk, f"doc {pages.schema['doc'].dataType.simpleString()}, chunk_id string, section string, primary_section string, text string, pages array<int>")
 
 
 def postprocess(chunks: DataFrame, key: str, text: str, limit: int = 2400, overlap: int = 300, least: int = 40) -> DataFrame:

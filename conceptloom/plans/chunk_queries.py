@@ -10,6 +10,7 @@ from ..operators import chunking as C
 from ..session import scratch_path, table
 from ..sources import documents as D
 from ..streaming import ingest
+from . import sqltext as S
 from . import views as V
 from .registry import registry
 
@@ -38,6 +39,17 @@ def chunk_documents(spark: SparkSession, base: str) -> DataFrame:
     return C.chunk_documents(_pages(spark, base), _sections(spark, base)).withColumn("pages", F.array_join(F.col("pages").cast("array<string>"), ","))
 
 
+@query("""WITH s AS (SELECT chunk_id AS doc, arg_max(text, loaded_at) AS text FROM section_chunks WHERE text IS NOT NULL AND len(pages) > 0 GROUP BY 1) SELECT doc, 0 AS too_long, 0 AS lost_words FROM s WHERE regexp_matches(text, '[^{0}]')""".replace("{0}", S.SPACES))
+def chunk_invariants(spark: SparkSession, base: str) -> DataFrame:
+    """That no chunk is above the size, but for a word that alone is, and that every word of a document stands in a chunk."""
+    pages = _pages(spark, base)
+    words = lambda c: F.array_distinct(F.filter(F.split(c, f"[{T.SPACES}]+"), lambda w: w != ""))
+    chunks = C.chunk_documents(pages, _sections(spark, base)).withColumn("w", words("text"))
+    state = chunks.groupBy("doc").agg(F.count_if((F.length("text") > 2000) & F.forall("w", lambda w: F.length(w) <= 800)).alias("too_long"), F.array_distinct(F.flatten(F.collect_list("w"))).alias("held"))
+    own = pages.groupBy("doc").agg(words(F.concat_ws("\n", F.collect_list("text"))).alias("w")).where(F.size("w") > 0)
+    return own.join(state, "doc", "left").select("doc", "too_long", F.size(F.array_except("w", F.coalesce("held", F.array().cast("array<string>")))).alias("lost_words"))
+
+
 @query()
 def split_long(spark: SparkSession, base: str) -> DataFrame:
     """Cleaned chunks cut below the hard limit."""

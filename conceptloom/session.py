@@ -17,13 +17,16 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only a session without that setting (tests, local runs) gets a folder of its own.
+    Only a local session without that setting (tests) gets a folder of its own; on a cluster executors would not share it.
     """
     given = spark.conf.get("spark.checkpoint.dir", None)
     if not given:
         current = spark.sparkContext.getCheckpointDir()
         if current:
             return current
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         given = tempfile.mkdtemp(prefix="conceptloom-")
         spark.conf.set("spark.checkpoint.dir", given)
     if not spark.sparkContext.getCheckpointDir():

@@ -1,4 +1,4 @@
-from conceptloom.operators.chunking import chunk_documents, cut_text, section_chunks
+from conceptloom.operators.chunking import chunk_documents, cut_text, primary_section, section_chunks
 
 
 def test_cut_text_ends_at_boundaries_and_never_cuts_words():
@@ -20,3 +20,18 @@ def test_sections_are_hard_boundaries():
 def test_chunk_documents_handles_nulls(spark):
     pages = spark.createDataFrame([("d", 1, None), ("e", 1, "Text.")], "doc string, page int, text string")
     assert [(r["doc"], r["chunk_id"], r["text"]) for r in chunk_documents(pages, []).collect()] == [("e", "c0001", "Text.")]
+
+
+def test_repeated_text_gives_way_to_new_text():
+    one = "Alpha beta gamma delta. " * 82
+    got = section_chunks([(1, one.strip() + "\n\n" + one.replace("Alpha", "Omega").strip())], set(), 2000, 300, 500)
+    assert len(got) == 2 and all(len(c["text"]) <= 2000 for c in got)
+    short = section_chunks([(1, "A word. " * 240 + "\n\nThe end.")], set(), 2000, 300, 500)
+    assert all(len(c["text"]) <= 2000 for c in short) and short[-1]["text"].endswith("The end.")
+
+
+def test_primary_section_by_heading_then_by_pages():
+    text = "3.1\nProcess\n\n" + "x " * 10 + "\n\n3.2 Threads\n" + "y " * 50
+    assert primary_section(text, [4], ["3.1", "3.2"], {}) == "3.2"
+    assert primary_section("no heading", [4, 5, 6], ["3.2", "3.10"], {4: ["3.2"], 5: ["3.2", "3.10"], 6: ["3.10"]}) == "3.10"
+    assert primary_section("no heading", [4], [], {}) == ""

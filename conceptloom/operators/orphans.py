@@ -2,18 +2,19 @@
 
 A ledger is kept incrementally. Each period brings new references and new rows of parents. New references
 probe the parent index. Parents that arrive or change resolve or reopen the references that name them, and only
-those. Open orphans stay pending by key; after each period their counts are a snapshot.
+those: references are kept in buckets by key, and only the buckets of changed parents are read again. Open orphans stay
+pending by key; after each period their counts are a snapshot. All state is in the ledger's folder, one generation a
+period, so a ledger goes on after a restart and a period that is run again changes nothing.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import HOT_ROWS, cut, hot_keys, salted_lookup
+from ..session import HOT_ROWS, cut, hot_keys, salted_lookup, scratch_path
 
 
 def references(df: DataFrame, ref_table: str, id_col: str, fields: dict[str, str]) -> DataFrame:
@@ -52,41 +53,90 @@ def _cause() -> Column:
     )
 
 
-@dataclass
-class Ledger:
-    """State between periods: the parent index, the references so far, the pending orphans, and snapshots."""
+_OPEN = ["ref_table", "ref_field", "row_id", "pk", "created_at", "cause"]
+
 
-    hot_rows: int = HOT_ROWS
-    index: DataFrame | None = None
-    seen: list[DataFrame] = field(default_factory=list)
-    pending: DataFrame | None = None
-    snapshots: list[DataFrame] = field(default_factory=list)
+class Ledger:
+    """State between periods, in a folder that all executors share: the parent index, the references so far by bucket of their
+    key, the pending orphans, and snapshots. A generation counts once its pending orphans are written, which comes last."""
+
+    def __init__(self, spark: SparkSession, path: str | None = None, hot_rows: int = HOT_ROWS, buckets: int = 64):
+        self.spark, self.path, self.hot_rows, self.buckets = spark, (path or scratch_path(spark, "ledger")).rstrip("/"), hot_rows, buckets
+
+    def _folder(self, name: str):
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return folder, folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def done(self) -> int:
+        """Number of the last finished period; 0 if there is none."""
+        folder, fs = self._folder("pending")
+        if not fs.exists(folder):
+            return 0
+        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        return max((n for n in (int(x[4:]) for x in names if x.startswith("gen=")) if fs.exists(self._folder(f"pending/gen={n}/_SUCCESS")[0])), default=0)
+
+    def _write(self, df: DataFrame, name: str, number: int, *by: str) -> DataFrame:
+        path = f"{self.path}/{name}/gen={number}"
+        df.write.mode("overwrite").partitionBy(*by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _read(self, name: str, number: int) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{name}/gen={number}")
+
+    @property
+    def pending(self) -> DataFrame:
+        """Orphans that are open after the last finished period."""
+        return self._read("pending", self.done())
+
+    @property
+    def snapshots(self) -> list[DataFrame]:
+        """Counts after each period."""
+        return [self._read("counts", n) for n in range(1, self.done() + 1)]
 
     def _judged(self, refs: DataFrame, index: DataFrame, how: str) -> DataFrame:
         hot = hot_keys(cut(refs.groupBy("pk").agg(F.count(F.lit(1)).alias("n"))), "pk", "n", self.hot_rows)
         found = salted_lookup(refs, index, "pk", hot, how)
-        return found.withColumn("cause", _cause()).where("cause IS NOT NULL").select("ref_table", "ref_field", "row_id", "pk", "created_at", "cause")
-
-    def period(self, refs: DataFrame, parent_rows: DataFrame, name: str) -> None:
-        """Take in one period's references (columns of ``references``) and parent rows (columns of ``parents``)."""
+        return found.withColumn("cause", _cause()).where("cause IS NOT NULL").select(_OPEN)
+
+    def period(self, refs: DataFrame, parent_rows: DataFrame, name: str, number: int | None = None) -> None:
+        """Take in one period's references (columns of ``references``) and parent rows (columns of ``parents``).
+
+        number: 1 for the first period and so on, the next one by default; a finished period is not taken in again.
+        """
+        last = self.done()
+        number = last + 1 if number is None else number
+        if number <= last:
+            return
+        if number > last + 1:
+            raise ValueError(f"period {number} comes before {last + 1} is finished")
         arrived = cut(_index(parent_rows))
-        changed = None
-        index = cut(_merge_index(self.index, arrived))
-        if self.index is not None and not arrived.isEmpty():
-            changed = cut(index.join(arrived.select("pk"), "pk", "left_semi"))
-        refs = cut(refs.select("ref_table", "ref_field", "row_id", "pk", "created_at").distinct())
+        index = self._write(_merge_index(self._read("index", last) if last else None, arrived), "index", number)
+        bucket = F.pmod(F.xxhash64("pk"), F.lit(self.buckets)).cast("int")
+        columns = ["ref_table", "ref_field", "row_id", "pk", "created_at"]
+        refs = self._write(refs.select(columns).distinct().withColumn("bucket", bucket), "refs", number, "bucket").select(columns)
         open_now = [self._judged(refs, index, "left")]
-        if changed is not None and self.seen:
-            # Only references that name a changed parent are looked at again; all other orphans stay as they are.
-            known = reduce(DataFrame.union, self.seen)
-            open_now += [self._judged(known, changed, "inner"), self.pending.join(changed.select("pk"), "pk", "left_anti").select(self.pending.columns)]
-        elif self.pending is not None:
-            open_now.append(self.pending)
-        self.index = index
-        self.seen.append(refs)
-        columns = ["ref_table", "ref_field", "row_id", "pk", "created_at", "cause"]
-        self.pending = cut(reduce(DataFrame.union, [o.select(columns) for o in open_now]))
-        self.snapshots.append(counts(self.pending).withColumn("period", F.lit(name)))
+        if last:
+            pending = self._read("pending", last)
+            changed = cut(index.join(arrived.select("pk"), "pk", "left_semi"))
+            touched = [r[0] for r in changed.select(bucket.alias("bucket")).distinct().collect()]
+            if touched:
+                # Only references that name a changed parent are looked at again; all other orphans stay as they are.
+                known = self.spark.read.option("basePath", f"{self.path}/refs").parquet(*(f"{self.path}/refs/gen={n}" for n in range(1, number))) if self._any(last) else None
+                if known is not None:
+                    open_now.append(self._judged(known.where(F.col("bucket").isin(touched)).select(columns), changed, "inner"))
+                pending = pending.join(changed.select("pk"), "pk", "left_anti")
+            open_now.append(pending)
+        pending = cut(reduce(DataFrame.union, [o.select(_OPEN) for o in open_now]))
+        self._write(counts(pending).withColumn("period", F.lit(name)), "counts", number)
+        self._write(pending, "pending", number)
+        for name in ("index", "pending"):  # generations before the last two are no longer needed
+            folder, fs = self._folder(f"{name}/gen={number - 2}")
+            fs.delete(folder, True)
+
+    def _any(self, last: int) -> bool:
+        """Whether any reference is kept: folders without rows have no buckets."""
+        return any(s.getPath().getName().startswith("bucket=") for n in range(1, last + 1) for folder, fs in [self._folder(f"refs/gen={n}")] if fs.exists(folder) for s in fs.listStatus(folder))
 
 
 def month(column: str):
@@ -110,7 +160,7 @@ def replay(refs: DataFrame, parent_rows: DataFrame, periods: int = 3, hot_rows:
     low, high = (min(known), max(known)) if known else (0, 0)
     ends = [low + (high - low) * (k + 1) // periods for k in range(periods - 1)]
     at = F.coalesce(F.unix_micros(F.col("loaded_at").cast("timestamp")), F.lit(high))
-    ledger = Ledger(hot_rows)
+    ledger = Ledger(refs.sparkSession, hot_rows=hot_rows, buckets=8)
     for k in range(periods):
         span = (at > ends[k - 1] if k else F.lit(True)) & (at <= ends[k] if k < periods - 1 else F.lit(True))
         ledger.period(refs.where(span), parent_rows.where(span), f"{k + 1} of {periods}")

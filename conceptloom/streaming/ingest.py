@@ -66,10 +66,17 @@ def distinct_events(stream: DataFrame, key: str = "event_id", time: str = "ts",
     return stream.withColumn("_at", F.col(time).cast("timestamp")).withWatermark("_at", late).dropDuplicatesWithinWatermark([key]).drop("_at")
 
 
-def ledger_stream(refs: DataFrame, parents: SparkSession | DataFrame, ledger: Ledger, checkpoint: str) -> StreamingQuery:
-    """Problem 6 on a stream: each micro-batch of references is a period; ``parents`` is read anew for each."""
+def ledger_stream(changes: DataFrame, ledger: Ledger, checkpoint: str) -> StreamingQuery:
+    """Problem 6 on a stream: each micro-batch is a period.
+
+    changes: the columns of ``references``, null in rows of parents, and ``parent`` (a struct of ``pk``, ``created_at``, ``deleted_at``,
+    ``loaded_at``), null in rows of references; a deletion is a parent row with ``deleted_at``. State is in the ledger's
+    folder, so a restarted query goes on with it, and a batch that is run again is passed over.
+    """
 
     def period(batch: DataFrame, number: int) -> None:
-        ledger.period(batch, parents, str(number))
+        parents = batch.where("parent IS NOT NULL").select("parent.*")
+        refs = batch.where("parent IS NULL").select("ref_table", "ref_field", "row_id", "pk", "created_at", "loaded_at")
+        ledger.period(refs, parents, str(number), number + 1)
 
-    return refs.writeStream.foreachBatch(period).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return changes.writeStream.foreachBatch(period).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -45,7 +45,7 @@ def test_replay_against_brute_force_with_a_hot_key(spark):
 
 
 def test_arrival_resolves_and_deletion_reopens(spark):
-    ledger = O.Ledger()
+    ledger = O.Ledger(spark)
     refs, none = tables(spark, [(1, "a", None, DAY, DAY)], [])
     ledger.period(refs, none, "1")
     assert [r["cause"] for r in ledger.pending.collect()] == ["missing"]
@@ -61,3 +61,22 @@ def test_arrival_resolves_and_deletion_reopens(spark):
 def test_empty_tables(spark):
     refs, held = tables(spark, [], [])
     assert O.found(O.replay(refs, held)).count() == 0
+
+
+def test_ledger_on_a_stream_with_a_restart_a_repeated_batch_and_a_deletion(spark, tmp_path):
+    from conceptloom.streaming.ingest import ledger_stream
+
+    schema = "ref_table string, ref_field string, row_id long, pk string, created_at timestamp, loaded_at timestamp, parent struct<pk:string,created_at:timestamp,deleted_at:timestamp,loaded_at:timestamp>"
+    ref = lambda i, k: ("m", "c", i, k, DAY, DAY, None)
+    parent = lambda k, gone, at: (None, None, None, None, None, None, (k, DAY, gone, DAY + timedelta(at)))
+    source, state = f"{tmp_path}/in", f"{tmp_path}/ledger"
+    seen = []
+    for rows in ([ref(1, "a"), ref(2, "b"), parent("b", None, 0)], [parent("a", None, 1)], [parent("b", DAY, 2), ref(3, "a")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        ledger_stream(spark.readStream.schema(schema).parquet(source), O.Ledger(spark, state, buckets=4), f"{tmp_path}/offsets").awaitTermination()
+        seen.append(sorted((r["row_id"], r["cause"]) for r in O.Ledger(spark, state, buckets=4).pending.collect()))
+    assert seen == [[(1, "missing")], [], [(2, "deleted")]]
+    again = O.Ledger(spark, state, buckets=4)
+    refs, none = tables(spark, [(9, "zz", None, DAY, DAY)], [])
+    again.period(refs, none, "2", 3)
+    assert again.done() == 3 and again.pending.count() == 1 and [s.count() for s in again.snapshots] == [1, 0, 1]

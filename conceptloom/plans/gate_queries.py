@@ -109,12 +109,16 @@ def audit_evidence(spark: SparkSession, base: str) -> DataFrame:
 
 
 
-@query("WITH s AS (SELECT s_suppkey AS k, 'S' || s_suppkey AS name, s_nationkey AS chapter FROM supplier) SELECT a.name AS a, b.name AS b FROM s a JOIN s b ON a.k < b.k AND abs(a.chapter - b.chapter) <= 1")
+@query(V.sql("g_concept", "g_mention") + """, s AS (SELECT concept_id, book_id, chapter_num FROM g_concept JOIN chapters USING (chapter_id)), u AS (SELECT a.concept_id AS a, b.concept_id AS b, true AS near, 0 AS shared FROM s a JOIN s b ON a.book_id = b.book_id AND a.concept_id < b.concept_id AND abs(a.chapter_num - b.chapter_num) <= 3
+UNION ALL SELECT x.concept_id, y.concept_id, false, count(DISTINCT x.chunk_id) FROM g_mention x JOIN g_mention y ON x.chunk_id = y.chunk_id AND x.concept_id < y.concept_id GROUP BY 1, 2) SELECT a, b, bool_or(near) AS near, max(shared)::BIGINT AS shared FROM u GROUP BY a, b""")
 def gen1_candidate_pairs(spark: SparkSession, base: str) -> DataFrame:
-    """Pairs of names in chapters at most one apart, joined on chapters spread to their neighbours."""
-    s = table(spark, base, "supplier").select(F.col("s_suppkey").alias("k"), F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("name"), F.col("s_nationkey").alias("chapter"))
-    near = s.select(F.col("k").alias("k2"), F.col("name").alias("b"), F.explode(F.sequence(F.col("chapter") - 1, F.col("chapter") + 1)).alias("chapter"))
-    return s.join(near, "chapter").where("k < k2").select(F.col("name").alias("a"), "b")
+    """Pairs of concepts of one book at most three chapters apart, or with a chunk in common, and how many they share."""
+    s = V.concepts(spark, base, "chapter_id").join(table(spark, base, "chapters").select("chapter_id", "book_id", "chapter_num"), "chapter_id").select("concept_id", "book_id", "chapter_num")
+    near = s.select(F.col("concept_id").alias("b"), "book_id", F.explode(F.sequence(F.col("chapter_num") - 3, F.col("chapter_num") + 3)).alias("chapter_num"))
+    close = s.withColumnRenamed("concept_id", "a").join(near, ["book_id", "chapter_num"]).where("a < b").select("a", "b", F.lit(True).alias("near"), F.lit(0).cast("long").alias("shared"))
+    m = V.mentions(spark, base, "concept_id").select("concept_id", "chunk_id").distinct()
+    both = m.withColumnRenamed("concept_id", "a").join(m.withColumnRenamed("concept_id", "b"), "chunk_id").where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
+    return close.union(both.select("a", "b", F.lit(False), "shared")).groupBy("a", "b").agg(F.bool_or("near").alias("near"), F.max("shared").alias("shared"))
 
 
 @query(V.sql("g_relation", "g_mention") + """, q AS (SELECT source_concept_id AS a, target_concept_id AS b, unnest(evidence) AS e FROM g_relation), f AS (SELECT least(a, b) AS a, greatest(a, b) AS b, e.chunk_id AS chunk_id, 0 AS pri FROM q WHERE a <> b), p AS (SELECT DISTINCT a, b FROM f),
@@ -214,12 +218,18 @@ def bridge_gates(spark: SparkSession, base: str) -> DataFrame:
 
 
 # Words of a reason that tell a kind of relation, in order.
-REASONS = [("CREATES_OR_RESULTS_IN", ["creates", "created by", "return value", "responsible for"]), ("USES", ["parameter", "uses", "used by", "called", "invoke", "passed", "waits for"]), ("HAS_FIELD", ["member", "field", "contains"]), ("HAS_COMPONENT", ["component", "part of"]), ("IS_A", ["is a", "specific instance", "specific type"])]
+REASONS = [
+    ("CREATES_OR_RESULTS_IN", ["creates", "created by", "建立", "創建", "產生", "結果", "導致", "return value", "回傳值", "responsible for"]),
+    ("USES", ["parameter", "參數", "需要", "使用", "uses", "used by", "呼叫", "called", "invoke", "passed", "waits for", "等待"]),
+    ("HAS_FIELD", ["member", "field", "contains", "包含", "成員", "欄位"]),
+    ("HAS_COMPONENT", ["組成", "component", "part of", "核心組件", "一部分"]),
+    ("IS_A", ["is a", "是一種", "具體類型", "specific instance", "specific type", "特定類型"]),
+]
 
 
 @query("SELECT relation_id, CASE " + " ".join(f"WHEN {' OR '.join(f'contains(lower(coalesce(verification_reason, {chr(39) * 2})), {chr(39)}{w}{chr(39)})' for w in ws)} THEN '{k}'" for k, ws in REASONS) + " ELSE 'PREREQ_OF' END AS kind, count(*) AS n FROM relations GROUP BY ALL")
 def relation_typing(spark: SparkSession, base: str) -> DataFrame:
-    """Kinds of relations by the words of their reasons."""
+    """R2: kinds of relations by the words of their reasons."""
     reason = F.coalesce("verification_reason", F.lit(""))
     out = None
     for kind, words in REASONS:
@@ -236,17 +246,22 @@ def merge_actions(spark: SparkSession, base: str) -> DataFrame:
     return table(spark, base, "merge_decisions").groupBy("a", "b", "confidence", action.alias("action")).agg(F.count(F.lit(1)).alias("n"))
 
 
-_SAID = "t AS (SELECT concept_id, canonical_name AS n, regexp_replace(canonical_name, '[^A-Z]', '', 'g') AS ac FROM g_concept WHERE regexp_full_match(canonical_name, '[A-Z][A-Za-z-]{2,40}( [A-Z][A-Za-z-]{2,40}){0,3}'))"
+def _stated(pattern: str) -> str:
+    found = "'" + pattern.replace("'", "''") + "'"
+    return f"SELECT chunk_id, unnest(regexp_extract_all(text, {found}, 1)) AS a, unnest(regexp_extract_all(text, {found}, 2)) AS b FROM g_chunk WHERE text IS NOT NULL"
 
 
-@query(V.sql("g_concept") + f", {_SAID}, k AS (SELECT lower(x) AS k, min(x) AS name FROM (SELECT n AS x FROM t UNION SELECT ac FROM t) GROUP BY 1), p AS (SELECT DISTINCT a.name AS canonical, b.name AS alias, concept_id FROM t JOIN k a ON a.k = lower(n) JOIN k b ON b.k = lower(ac) WHERE regexp_full_match(ac, '[A-Z][A-Za-z]{{1,20}}') AND lower(n) <> lower(ac)) SELECT canonical, alias, min(concept_id) AS seen_in FROM p GROUP BY 1, 2")
+_ACRONYM = "length(regexp_replace({0}, '[^A-Za-z0-9]', '', 'g')) BETWEEN 1 AND 12 AND upper(regexp_replace({0}, '[^A-Za-z0-9]', '', 'g')) = regexp_replace({0}, '[^A-Za-z0-9]', '', 'g')"
+
+
+@query(V.sql("g_concept", "g_chunk") + f", p AS ({' UNION ALL '.join(map(_stated, A.STATEMENTS))}), n AS (SELECT canonical_name AS name, true AS core FROM g_concept WHERE canonical_name IS NOT NULL UNION ALL SELECT unnest(aliases), false FROM g_concept), k AS (SELECT lower({S.squeeze('name')}) AS k, min(name) AS name, bool_or(core) AS core FROM n WHERE name IS NOT NULL GROUP BY 1),"
+ + f" j AS (SELECT x.name AS na, y.name AS nb, (x.core, NOT ({_ACRONYM.format('x.name')}), length(x.name)) AS ra, (y.core, NOT ({_ACRONYM.format('y.name')}), length(y.name)) AS rb, chunk_id FROM p JOIN k x ON x.k = lower({S.squeeze('a')}) JOIN k y ON y.k = lower({S.squeeze('b')}) WHERE x.k <> y.k)"
+ + " SELECT CASE WHEN ra > rb OR (ra = rb AND na < nb) THEN na ELSE nb END AS canonical, CASE WHEN ra > rb OR (ra = rb AND na < nb) THEN nb ELSE na END AS alias, min(chunk_id) AS seen_in FROM j GROUP BY 1, 2")
 def alias_patterns(spark: SparkSession, base: str) -> DataFrame:
-    """Acronyms stated in brackets after a name."""
-    c = V.concepts(spark, base).where(F.col("canonical_name").rlike("^[A-Z][A-Za-z-]{2,40}( [A-Z][A-Za-z-]{2,40}){0,3}$"))
-    c = c.select("concept_id", "canonical_name", F.regexp_replace("canonical_name", "[^A-Z]", "").alias("ac"))
-    texts = c.select("concept_id", F.concat("canonical_name", F.lit(" ("), "ac", F.lit(")")).alias("text"))
-    names = c.select(F.col("canonical_name").alias("name"), F.lit(True).alias("core")).union(c.select("ac", F.lit(False))).groupBy("name").agg(F.bool_or("core").alias("core"))
-    return A.stated_aliases(texts, "concept_id", "text", names)
+    """Pairs of known names that chunks state to mean one thing."""
+    c = V.concepts(spark, base, "canonical_name", "aliases")
+    names = c.select(F.col("canonical_name").alias("name"), F.lit(True).alias("core")).union(c.select(F.explode("aliases"), F.lit(False))).where("name IS NOT NULL")
+    return A.stated_aliases(V.chunks(spark, base, "text"), "chunk_id", "text", names)
 
 
 @query("""WITH al AS (SELECT child AS alias, min(parent) AS canonical FROM subtype_edges WHERE child IS NOT NULL AND parent IS NOT NULL AND child <> parent GROUP BY child), n AS (SELECT DISTINCT x AS name FROM (SELECT unnest([parent, child]) AS x FROM subtype_edges) WHERE x IS NOT NULL),

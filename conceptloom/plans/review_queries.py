@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators import candidates as C
 from ..operators import gates as K
 from ..operators import hierarchy as H
+from ..operators import typing as R
 from ..operators.validate import RELATIONS
 from ..session import table
 from . import sqltext as S
@@ -253,3 +254,13 @@ def chapter_candidates(spark: SparkSession, base: str) -> DataFrame:
     points = m.where("evidence_type = 'definition'").select("concept_id", "chapter_id", "section").distinct()
     used = m.where("evidence_type IN ('example', 'usage')").select("concept_id", "chapter_id", "section").distinct()
     return C.chapter_candidates(k, points, used, c, 24)
+
+
+@query()
+def structure_typing(spark: SparkSession, base: str) -> DataFrame:
+    """Types of subtype edges. Categories are the names that have five children or more; no type is forced."""
+    e = table(spark, base, "subtype_edges")
+    names = V.concepts(spark, base, "name", "short_definition", "aliases").select("name", F.col("short_definition").alias("definition"), "aliases")
+    categories = e.where("parent IS NOT NULL AND child IS NOT NULL").groupBy(F.col("parent").alias("name")).agg(F.countDistinct("child").alias("n")).where("n >= 5")
+    forced = spark.createDataFrame([], "parent string, child string, relation string, confidence double")
+    return R.structure_types(e, names, categories, forced)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import graph as G
 from ..operators import retrieve as R
 from ..operators import vectors as X
 from ..session import table
@@ -154,15 +155,34 @@ def concept_context(spark: SparkSession, base: str) -> DataFrame:
     return R.context(V.concepts(spark, base, "concept_id"), V.mentions(spark, base, "concept_id"), e)
 
 
-@query(V.sql("g_concept", "g_chunk", "g_mention") + f""", {_VEC}, s AS (SELECT concept_id, canonical_name, {_COS.format('e')} AS score FROM gc, q ORDER BY score DESC, canonical_name LIMIT 5),
-up AS (SELECT s.concept_id, count(DISTINCT c.concept_id) AS below FROM s LEFT JOIN g_concept c ON c.broader_concept_id = s.concept_id GROUP BY 1), k AS (SELECT s.concept_id, count(DISTINCT chunk_id) AS chunks FROM s LEFT JOIN g_mention m USING (concept_id) GROUP BY 1)
-SELECT s.canonical_name, round(score, 6) AS score, below, chunks FROM s JOIN up USING (concept_id) JOIN k USING (concept_id)""")
+def _first_sql(name: str, key: str, value: str, source: str) -> str:
+    """The first three values of each seed, in order, as one text; source ends in a condition."""
+    return f"{name}_v AS (SELECT DISTINCT {key} AS concept_id, {value} AS v FROM {source} AND {key} IN (SELECT concept_id FROM s)), {name} AS (SELECT concept_id, string_agg(v, '|' ORDER BY v) AS {name} FROM (SELECT * FROM {name}_v QUALIFY row_number() OVER (PARTITION BY concept_id ORDER BY v) <= 3) GROUP BY 1)"
+
+
+def _walk_sql(name: str, here: str, there: str) -> str:
+    return f"{name}_w(start, node, d) AS (SELECT s.name, p.{there}, 1 FROM s JOIN g_prereq p ON p.{here} = s.name UNION SELECT w.start, p.{there}, d + 1 FROM {name}_w w JOIN g_prereq p ON p.{here} = w.node WHERE d < 3), {name} AS (SELECT start AS name, string_agg(node || ':' || d, '|' ORDER BY d, node) AS {name} FROM {name}_w GROUP BY 1)"
+
+
+@query(V.sql("g_concept", "g_chunk", "g_mention", "g_relation", "g_prereq", recursive=True) + f""", {_VEC}, s AS (SELECT gc.concept_id, gc.canonical_name, n.name, {_COS.format('e')} AS score FROM gc JOIN g_concept n USING (concept_id), q ORDER BY score DESC, gc.canonical_name LIMIT 5),
+{_first_sql('chunks', 'concept_id', 'chunk_id', 'g_mention WHERE true')}, {_first_sql('prerequisites', 'target_concept_id', 'source_concept_id', "g_relation WHERE relation IN ('USES', 'PART_OF')")}, {_first_sql('leads_to', 'source_concept_id', 'target_concept_id', "g_relation WHERE relation IN ('USES', 'PART_OF')")},
+{_first_sql('subtypes', 'source_concept_id', 'target_concept_id', "g_relation WHERE relation = 'HAS_SUBTYPE'")}, {_first_sql('parents', 'target_concept_id', 'source_concept_id', "g_relation WHERE relation = 'HAS_SUBTYPE'")}, {_walk_sql('upstream', 'target', 'source')}, {_walk_sql('downstream', 'source', 'target')}
+SELECT canonical_name, round(score, 6) AS score, coalesce(chunks, '') AS chunks, coalesce(prerequisites, '') AS prerequisites, coalesce(leads_to, '') AS leads_to, coalesce(subtypes, '') AS subtypes, coalesce(parents, '') AS parents, coalesce(upstream, '') AS upstream, coalesce(downstream, '') AS downstream
+FROM s LEFT JOIN chunks USING (concept_id) LEFT JOIN prerequisites USING (concept_id) LEFT JOIN leads_to USING (concept_id) LEFT JOIN subtypes USING (concept_id) LEFT JOIN parents USING (concept_id) LEFT JOIN upstream USING (name) LEFT JOIN downstream USING (name)""")
 def seed_retrieve(spark: SparkSession, base: str) -> DataFrame:
-    """The five nearest concepts with their subtypes and chunks, all seeds in one join."""
-    s = X.scored(_with_vectors(spark, base, "concepts"), _question(spark, base)).orderBy(F.desc("score"), "canonical_name").limit(5).select("concept_id", "canonical_name", "score")
-    below = V.concepts(spark, base).where("broader_concept_id IS NOT NULL").groupBy(F.col("broader_concept_id").alias("concept_id")).agg(F.countDistinct("concept_id").alias("below"))
-    chunks = V.mentions(spark, base, "concept_id").groupBy("concept_id").agg(F.countDistinct("chunk_id").alias("chunks"))
-    return s.join(below, "concept_id", "left").join(chunks, "concept_id", "left").select("canonical_name", F.round("score", 6).alias("score"), F.coalesce("below", F.lit(0)).alias("below"), F.coalesce("chunks", F.lit(0)).alias("chunks"))
+    """The five nearest concepts, what surrounds each (J13), and the prerequisites above (G2) and below (G3) it to three levels."""
+    from ..session import cut
+
+    near = X.scored(_with_vectors(spark, base, "concepts"), _question(spark, base)).orderBy(F.desc("score"), "canonical_name").limit(5).select("concept_id", "canonical_name", "score")
+    s = cut(near.join(V.concepts(spark, base, "name"), "concept_id"))
+    own = F.broadcast(s.select("concept_id"))  # five rows
+    e = V.relations(spark, base, "relation").select(F.col("source_concept_id").alias("source"), F.col("target_concept_id").alias("target"), "relation")
+    ends = e.join(own.withColumnRenamed("concept_id", "source"), "source", "left_semi").union(e.join(own.withColumnRenamed("concept_id", "target"), "target", "left_semi").select("source", "target", "relation"))
+    around = R.context(s.select("concept_id"), V.mentions(spark, base, "concept_id").join(own, "concept_id", "left_semi"), ends)
+    pre, starts = V.prerequisites(spark, base), s.select(F.col("name").alias("node"))
+    reached = lambda up, name: G.walks(pre, starts, 3, up).groupBy(F.col("start").alias("name")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("distance", "node"))), lambda x: F.concat(x["node"], F.lit(":"), x["distance"].cast("string"))), "|").alias(name))
+    out = s.join(around, "concept_id", "left").join(reached(True, "upstream"), "name", "left").join(reached(False, "downstream"), "name", "left")
+    return out.select("canonical_name", F.round("score", 6).alias("score"), *(F.coalesce(c, F.lit("")).alias(c) for c in ("chunks", "prerequisites", "leads_to", "subtypes", "parents", "upstream", "downstream")))
 
 
 @query(V.sql("g_concept", "g_chunk", "g_mention") + f""", {_VEC}, s AS (SELECT concept_id, canonical_name, short_definition, {_COS.format('e')} AS score FROM gc, q ORDER BY score DESC, concept_id LIMIT 8)

@@ -118,30 +118,59 @@ def per_component(edges: DataFrame, function, schema: str) -> DataFrame:
     return placed.groupBy("component").applyInPandas(lambda rows: function(rows.drop(columns="component")), schema)
 
 
+class Order:
+    """A topological order that grows by edges; an edge that would close a loop is refused.
+
+    Only the stretch of the order between the ends of an edge that runs against it is searched and put in order anew.
+    """
+
+    def __init__(self, nodes):
+        self.place = {node: k for k, node in enumerate(nodes)}
+        self.below: dict = defaultdict(list)
+        self.above: dict = defaultdict(list)
+
+    def _stretch(self, start, links: dict, inside) -> list:
+        seen, stack = {start}, [start]
+        while stack:
+            for node in links.get(stack.pop(), ()):
+                if node not in seen and inside(self.place[node]):
+                    seen.add(node)
+                    stack.append(node)
+        return sorted(seen, key=self.place.get)
+
+    def admit(self, source, target) -> bool:
+        low, high = self.place[target], self.place[source]
+        if source == target:
+            return False
+        if low < high:
+            after = self._stretch(target, self.below, lambda k: k <= high)
+            if after[-1] == source:
+                return False
+            before = self._stretch(source, self.above, lambda k: k >= low)
+            places = sorted(self.place[x] for x in before + after)
+            self.place.update(zip(before + after, places))
+        self.below[source].append(target)
+        self.above[target].append(source)
+        return True
+
+
 def admit_acyclic(edges: DataFrame) -> DataFrame:
     """``source``, ``target``, ``confidence``, ``admitted`` - edges by falling confidence, then names; an edge that would close a loop is refused.
 
-    A decision depends on earlier ones of its own component only, so components are decided side by side.
+    An edge that is on no way between loops never closes one and is admitted at once. What peeling leaves is decided in
+    order, component by component, since a decision depends on earlier ones of its own component only. Edges with a null
+    end have no row.
     """
+    all_ = edges.select("source", "target", "confidence").where("source IS NOT NULL AND target IS NOT NULL")
+    core = cyclic_core(all_)
 
     def admit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["confidence", "source", "target"], ascending=[False, True, True], kind="stable")
-        below: dict = defaultdict(set)
-        out = []
-        for source, target in zip(rows["source"], rows["target"]):
-            seen, stack = {target}, [target]
-            while stack and source not in seen:
-                for node in below.get(stack.pop(), ()):
-                    if node not in seen:
-                        seen.add(node)
-                        stack.append(node)
-            fine = source not in seen
-            if fine:
-                below[source].add(target)
-            out.append(fine)
-        return rows.assign(admitted=out)[["source", "target", "confidence", "admitted"]]
-
-    return per_component(edges.select("source", "target", "confidence"), admit, "source string, target string, confidence double, admitted boolean")
+        order = Order(sorted({*rows["source"], *rows["target"]}))
+        return rows.assign(admitted=[order.admit(s, t) for s, t in zip(rows["source"], rows["target"])])[["source", "target", "confidence", "admitted"]]
+
+    free = all_.join(core, ["source", "target"], "left_anti").select("source", "target", "confidence", F.lit(True).alias("admitted"))
+    return free.union(per_component(all_.join(core, ["source", "target"], "left_semi"), admit, "source string, target string, confidence double, admitted boolean"))
 
 
 def direct_edges(edges: DataFrame) -> DataFrame:

@@ -48,3 +48,24 @@ def test_chains_and_reachability(spark):
     pairs = spark.createDataFrame([("a", "c"), ("c", "a")], "source string, target string")
     assert {tuple(r) for r in G.reachable(e, pairs).collect()} == {("a", "c", True), ("c", "a", False)}
     assert {tuple(r) for r in G.reachable(e, pairs, 1).collect()} == {("a", "c", False), ("c", "a", False)}
+
+
+def test_admission_against_a_search_for_every_edge(spark):
+    import random
+
+    rng = random.Random(7)
+    pairs = {(f"n{rng.randrange(12)}", f"n{rng.randrange(12)}") for _ in range(50)} | {("a", "b"), ("b", "n0"), (None, "x")}
+    rows = [(s, t, round(rng.random(), 1)) for s, t in sorted(pairs, key=str)]
+    kept, want = {}, {}
+    for s, t, c in sorted((r for r in rows if r[0]), key=lambda r: (-r[2], r[0], r[1])):
+        seen, stack = {t}, [t]
+        while stack:
+            for n in kept.get(stack.pop(), ()):
+                if n not in seen:
+                    seen.add(n)
+                    stack.append(n)
+        want[s, t] = s not in seen
+        if want[s, t]:
+            kept.setdefault(s, set()).add(t)
+    got = G.admit_acyclic(spark.createDataFrame(rows, "source string, target string, confidence double"))
+    assert {(r["source"], r["target"]): r["admitted"] for r in got.collect()} == want

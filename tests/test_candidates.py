@@ -26,7 +26,7 @@ def test_every_concept_is_scored_by_its_names_and_its_own_definition(spark):
     assert C.best_content(texts.limit(0), "chunk_id", "text", registry, 2).count() == 0 and C.best_content(texts, "chunk_id", "text", registry.limit(0), 2).count() == 0
 
 
-@pytest.mark.parametrize("name", ["registry_lexical_hits", "registry_candidates", "registry_diagrams", "registry_evidence"])
+@pytest.mark.parametrize("name", ["lexical_hits", "candidate_concepts", "diagram_candidates", "audit_evidence"])
 def test_registry_queries_equal_their_sql(spark, smallest, name):
     con = duckdb.connect()
     for path in glob.glob(f"{smallest}/*.parquet"):

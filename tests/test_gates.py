@@ -156,7 +156,7 @@ def test_direction_scores(spark):
     m = spark.createDataFrame([("s", "1"), ("s", "1"), ("s", "2"), ("f", "1")], "concept_id string, chunk_id string")
     e = spark.createDataFrame([("s", "f", "HAS_SUBTYPE", ["A fair scheduler is a kind of scheduler."]), ("f", "s", "HAS_SUBTYPE", [None]), ("s", "f", "USES", [])], "source string, target string, relation string, quotes array<string>")
     got = {r["source"]: (r["score"], r["kept"]) for r in K.direction_scores(e, c, m).collect()}
-    general = 3.0 * (8 - 1)
+    general = 3.0 * (7 - 1)  # a category against a plain thing
     # Quote twice 3; generality; name in name 3; broader name in the narrower definition 2; mentions 1; section 0.5; longer name 0.5.
     assert got["s"] == (6.0 + general + 3 + 2 + 1 + 0.5 + 0.5, True)
     assert got["f"][1] is False and got["f"][0] < 0

@@ -53,7 +53,7 @@ def test_descendants_and_back_edges(spark):
     assert [tuple(r)[1:] for r in H.hierarchy(e, "back_edges").collect()] == [("d", "b")]
 
 
-@pytest.mark.parametrize("form", ["hops", "paths", "descendants", "back_edges", "loops"])
+@pytest.mark.parametrize("form", ["hops", "paths", "descendants", "loops"])
 def test_the_same_rows_at_every_size(spark, form):
     """Held by one task, shared by several, and never held by one."""
     edges = set()

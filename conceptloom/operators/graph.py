@@ -97,12 +97,13 @@ def reachable(edges: DataFrame, pairs: DataFrame, most: int | None = None) -> Da
     return wanted.join(reached, ["source", "target"], "left").select("source", "target", F.coalesce("_r", F.lit(False)).alias("reaches"))
 
 
-def cyclic_core(edges: DataFrame) -> DataFrame:
-    """Edges left when nodes without an edge in or out are peeled off again and again; none if the layer is acyclic."""
+def cyclic_core(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """Edges left when nodes without an edge in or out are peeled off again and again; none if the layer is acyclic. rounds: at most so many."""
     left = cut(edges.select("source", "target").where("source IS NOT NULL AND target IS NOT NULL").distinct())
     now = left.count()
-    while now:
-        before = now
+    done = 0
+    while now and done != rounds:
+        before, done = now, done + 1
         left = left.join(left.select(F.col("target").alias("source")).distinct(), "source", "left_semi")
         left = cut(left.join(left.select(F.col("source").alias("target")).distinct(), "target", "left_semi").select("source", "target"))
         now = left.count()
@@ -162,7 +163,7 @@ def admit_acyclic(edges: DataFrame) -> DataFrame:
     end have no row.
     """
     all_ = edges.select("source", "target", "confidence").where("source IS NOT NULL AND target IS NOT NULL")
-    core = cyclic_core(all_)
+    core = cyclic_core(all_, 3)  # what is peeled is sure; a deep layer is not worth a round for each level
 
     def admit(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["confidence", "source", "target"], ascending=[False, True, True], kind="stable")

@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -26,6 +27,19 @@ from ..session import cut
 FIT_ROWS = 5_000
 #: Planted pairs on which misses are measured.
 PLANTED = 4_000
+#: Index rows of a vector that are on disk at once, at most, unless a single code has more: codes are indexed in rounds.
+ROUND_ROWS = 24
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """``cut`` whose shuffle files are removed as soon as the checkpoint stands, not when the driver collects its garbage."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return cut(df.select("*"))  # what is planned under this setting keeps it
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
 
 
 def usable_vectors(df: DataFrame, id_col: str, kind: str, dim: int = 64) -> DataFrame:
@@ -52,8 +66,12 @@ def _ball(bits: int, radius: int) -> int:
 
 @dataclass(frozen=True)
 class Plan:
-    """Shape of an index: codes of ``substrings`` substrings of ``width`` bits, probed ``probe`` bits deep; high bits that
-    split a substring's index over tasks; and the rows of a task."""
+    """Shape of an index: codes of ``substrings`` substrings of ``width`` bits, probed ``probe`` bits deep; bits that
+    split a substring's index over tasks; and the rows of a task.
+
+    A split index is kept once for each of ``probe`` + 1 pieces of the substring, of ``split`` bits if there is room:
+    substrings that differ in ``probe`` bits at most have one of these pieces in common, so no task needs rows of another part.
+    """
 
     width: int
     substrings: int
@@ -71,10 +89,24 @@ class Plan:
         """Codes within this Hamming radius are all retrieved: with more differences each substring could have ``probe`` + 1."""
         return self.substrings * (self.probe + 1) - 1
 
+    @property
+    def pieces(self) -> int:
+        return self.probe + 1 if self.split else 1
+
+    @property
+    def shared(self) -> int:
+        """Bits of a piece, which all rows of a part share."""
+        return min(self.split, self.width // self.pieces)
+
+    def sent(self, rows: int) -> int:
+        """Index rows of a vector for one code: one for each substring, piece, and tile of a part that is too large for a task."""
+        part = rows / 2**self.shared
+        return self.substrings * self.pieces * (math.ceil(part / self.group_rows) if part > 2 * self.group_rows else 1)
+
     def cost(self, rows: int) -> float:
-        """Cost of a row: to be sent once for each index, to probe it, to be compared with what the probes hit, and to be verified."""
+        """Cost of a row: to be sent to each index, to probe it, to be compared with what the probes hit, and to be verified."""
         ball, ball_of_code = _ball(self.width, self.probe), _ball(self.bits, self.radius)
-        return self.codes * (self.substrings * (500 + ball + 0.3 * rows * ball / 2**self.width) + 2000 * rows * ball_of_code / 2**self.bits)
+        return self.codes * (500 * self.sent(rows) + self.substrings * (ball + 0.3 * rows * ball / 2**self.width) + 10000 * rows * ball_of_code / 2**self.bits)
 
     @staticmethod
     def of(rows: int, flips: float, miss: float = 2.5e-4, group_rows: int = 200_000) -> Plan:
@@ -83,12 +115,13 @@ class Plan:
         for width in range(8, 31):
             for substrings in range(2, 62 // width + 1):
                 for probe in range(4):
-                    plan = Plan(width, substrings, probe, 1, 0, group_rows)
+                    split = min(width // (probe + 1), max(0, math.ceil(math.log2(max(1, rows / group_rows)))))
+                    plan = Plan(width, substrings, probe, 1, split, group_rows)
                     hit = sum(math.comb(plan.bits, k) * flips**k * (1 - flips) ** (plan.bits - k) for k in range(plan.radius + 1))
                     codes = max(1, math.ceil(math.log(miss) / math.log(1 - hit))) if hit < 1 - miss else 1
                     cost = plan.cost(rows) * codes
                     if best is None or cost < best[0]:
-                        best = cost, Plan(width, substrings, probe, codes, min(width - 1, max(0, math.ceil(math.log2(max(1, rows / group_rows))))), group_rows)
+                        best = cost, Plan(width, substrings, probe, codes, split, group_rows)
         return best[1]
 
 
@@ -173,24 +206,33 @@ def masks_of(bits: int, most: int) -> list[int]:
     return [sum(1 << b for b in some) for k in range(most + 1) for some in combinations(range(bits), k)]
 
 
-def pairs_in_index(code_a, h_a, code_b, h_b, own: bool, j: int, free: int, probe: int, plan: Plan, block: int = 2_000_000):
-    """Pairs of rows whose substring ``j`` differs in ``probe`` of its low ``free`` bits at most and whose codes lie within the radius.
+def pairs_in_index(code_a, h_a, code_b, h_b, own: bool, j: int, free: int, probe: int, plan: Plan, block: int = 2_000_000, piece: int = 0):
+    """Pairs of rows whose substring ``j`` differs in ``probe`` of ``free`` bits at most and whose codes lie within the radius.
 
-    own: both sides are the same rows, and each pair comes once. A pair that an earlier substring of its code already
+    These bits are all but the ``piece``-th ``width`` - ``free`` ones, which all rows share. own: both sides are the same rows,
+    and each pair comes once. A pair that an earlier substring of its code, or an earlier piece of this one, already
     finds is left to that one. Yields arrays of ``h``; no more than ``block`` candidates are held at a time.
     """
-    shift, low = np.uint64(j * plan.width), np.uint64((1 << free) - 1)
-    every = np.uint64((1 << plan.width) - 1)
-    value_b = (code_b >> shift) & low
+    shift, shared = np.uint64(j * plan.width), plan.width - free
+    every, below = np.uint64((1 << plan.width) - 1), np.uint64((1 << piece * shared) - 1)
+    earlier_pieces = [((1 << shared) - 1) << earlier * shared for earlier in range(piece)]
+
+    def unshared(code: np.ndarray) -> np.ndarray:
+        value = (code >> shift) & every
+        return (value & below) | ((value >> np.uint64(shared)) & ~below)
+
+    value_b = unshared(code_b)
     order = np.argsort(value_b, kind="stable")
     value_b, code_b, h_b = value_b[order], code_b[order], h_b[order]
     if own:
         value_a, code_a, h_a = value_b, code_b, h_b
     else:
-        value_a = (code_a >> shift) & low
+        value_a = unshared(code_a)
     # Few values: a table of where each begins; many: binary search.
     starts = np.searchsorted(value_b, np.arange((1 << free) + 1, dtype=np.uint64)) if free <= 22 else None
     for mask in masks_of(free, probe):
+        if not all(mask & bits for bits in earlier_pieces):
+            continue
         target = value_a ^ np.uint64(mask)
         at = np.flatnonzero(value_a < target) if own and mask else np.arange(len(value_a))
         target = target[at]
@@ -278,12 +320,34 @@ def _tiled(rows: DataFrame, plan: Plan) -> DataFrame:
     two salts' rows, however many rows share a value. There are fewer large parts than rows / group_rows.
     """
     sizes = rows.groupBy("kind", "slot", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * plan.group_rows)
-    large = cut(sizes.select("kind", "slot", "part", F.ceil(F.col("n") / plan.group_rows).cast("int").alias("salts")))
+    large = _kept(sizes.select("kind", "slot", "part", F.ceil(F.col("n") / plan.group_rows).cast("int").alias("salts")))
     if large.isEmpty():
         return rows.withColumn("tile", F.lit(0)).withColumn("other_tile", F.lit(0)).withColumn("salt", F.lit(0))
     salted = rows.join(F.broadcast(large), ["kind", "slot", "part"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
     salted = salted.withColumn("salt", F.pmod(F.xxhash64("h"), F.col("salts")).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    return salted.select("kind", "slot", "part", "depth", "h", "code", F.least("salt", "with").alias("tile"), F.greatest("salt", "with").alias("other_tile"), "salt")
+    return salted.select("kind", "slot", "part", "h", "code", F.least("salt", "with").alias("tile"), F.greatest("salt", "with").alias("other_tile"), "salt")
+
+
+def _found(codes: DataFrame, plan: Plan) -> DataFrame:
+    """``kind``, ``h_a``, ``h_b``: the pairs of rows one of whose codes lie within the radius."""
+    m, pieces, shared = plan.substrings, plan.pieces, plan.shared
+    one = codes.select("kind", "h", F.posexplode("codes").alias("t", "code"))
+    # A slot is a piece of a substring of a code; where indexes are split, its bits are the part.
+    each = one.select("kind", "h", "code", F.explode(F.sequence(F.col("t") * (m * pieces), F.col("t") * (m * pieces) + m * pieces - 1)).alias("slot"))
+    at = F.expr(f"shiftrightunsigned(code, cast(slot div {pieces} % {m} * {plan.width} + slot % {pieces} * {shared} as int))")
+    rows = each.select("kind", "slot", at.bitwiseAND(F.lit((1 << shared) - 1)).alias("part"), "h", "code")
+    tiled = _tiled(rows, plan) if plan.split else rows.withColumn("tile", F.lit(0)).withColumn("other_tile", F.lit(0)).withColumn("salt", F.lit(0))
+
+    def find(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind, slot, _, tile, other = (k.as_py() for k in key)
+        table = pa.Table.from_batches([b.select(["h", "code", "salt"]) for b in batches])
+        code = table["code"].to_numpy().view(np.uint64)
+        h, salt = (table[c].to_numpy() for c in ("h", "salt"))
+        left, right = salt == tile, salt == other
+        for a, b in pairs_in_index(code[left], h[left], code[right], h[right], tile == other, slot // pieces % m, plan.width - shared, plan.probe, plan, piece=slot % pieces):
+            yield pa.RecordBatch.from_arrays([pa.array([kind] * len(a), pa.string()), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["kind", "h_a", "h_b"])
+
+    return tiled.groupBy("kind", "slot", "part", "tile", "other_tile").applyInArrow(find, "kind string, h_a long, h_b long").distinct()
 
 
 def similar_classes(vectors: DataFrame, similarity: float, plan: Plan | None = None, miss: float = 2.5e-4) -> DataFrame:
@@ -294,47 +358,16 @@ def similar_classes(vectors: DataFrame, similarity: float, plan: Plan | None = N
     fits = fitted(vectors, similarity, miss, plan)
     if fits is None:
         return vectors.select("kind", F.col("h").alias("h_a"), F.col("h").alias("h_b"), F.lit(0.0).alias("similarity")).limit(0)
-    plan, coders, _ = fits
+    plan, coders, rows = fits
     codes = _codes(vectors, plan, coders)
-    codes = cut(codes) if plan.split else codes
-    free, m = plan.width - plan.split, plan.substrings
-    one = codes.select("kind", "h", F.posexplode("codes").alias("t", "code"))
-    each = one.select("kind", "h", "code", F.explode(F.sequence(F.col("t") * m, F.col("t") * m + m - 1)).alias("slot"))
-    high = F.col("code")
-    for j in range(m):
-        high = F.when(F.col("slot") % m == j, F.shiftrightunsigned("code", j * plan.width + free)).otherwise(high)
-    part = high.bitwiseAND(F.lit((1 << plan.split) - 1))
-    rows = each.select("kind", "slot", part.alias("part"), F.lit(-1).alias("depth"), "h", "code")
-    if plan.split:
-        # A row also probes the parts whose high bits differ from its own in few bits, each pair of parts from one side.
-        flips = F.array(*(F.lit(x).cast("long") for x in masks_of(plan.split, plan.probe) if x))
-        probes = rows.withColumn("flip", F.explode(flips)).withColumn("there", F.col("part").bitwiseXOR(F.col("flip"))).where("there < part")
-        rows = rows.union(probes.select("kind", "slot", "there", (F.lit(plan.probe) - F.bit_count("flip")).cast("int"), "h", "code"))
-    tiled = _tiled(rows, plan) if plan.split else rows.withColumn("tile", F.lit(0)).withColumn("other_tile", F.lit(0)).withColumn("salt", F.lit(0))
-
-    def find(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, slot, _, tile, other = (k.as_py() for k in key)
-        table = pa.Table.from_batches(list(batches))
-        code = table["code"].to_numpy().view(np.uint64)
-        h, depth, salt = (table[c].to_numpy() for c in ("h", "depth", "salt"))
-        j = slot % m
-        member = depth < 0
-        if tile == other:
-            jobs = [(member, member, plan.probe, True)]
-            jobs += [(depth == d, member, d, False) for d in range(plan.probe)]
-        else:
-            jobs = [(member & (salt == tile), member & (salt == other), plan.probe, False)]
-            jobs += [((depth == d) & (salt == a), member & (salt == b), d, False) for d in range(plan.probe) for a, b in ((tile, other), (other, tile))]
-        for left, right, deep, own in jobs:
-            if left.any() and right.any():
-                for a, b in pairs_in_index(code[left], h[left], code[right], h[right], own, j, free, deep, plan):
-                    yield pa.RecordBatch.from_arrays([pa.array([kind] * len(a), pa.string()), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["kind", "h_a", "h_b"])
-
-    found = tiled.groupBy("kind", "slot", "part", "tile", "other_tile").applyInArrow(find, "kind string, h_a long, h_b long")
-    candidates = cut(found.distinct())
+    at_once = max(1, ROUND_ROWS // plan.sent(max(rows.values())))
+    codes = _kept(codes) if plan.split or at_once < plan.codes else codes
+    # Each round holds the index rows of some codes only; what they find is kept, and their shuffle files go.
+    rounds = [_kept(_found(codes.select("kind", "h", F.slice("codes", t + 1, at_once).alias("codes")), plan)) for t in range(0, plan.codes, at_once)]
+    candidates = rounds[0] if len(rounds) == 1 else _kept(reduce(DataFrame.union, rounds).distinct())
     # Float vectors of candidates only: most vectors have none, so these tables are small.
     wanted = candidates.select("kind", F.explode(F.array("h_a", "h_b")).alias("h")).distinct()
-    chosen = cut(vectors.select("kind", "h", "v").join(wanted, ["kind", "h"], "left_semi").groupBy("kind", "h").agg(F.first("v").alias("v")))
+    chosen = _kept(vectors.select("kind", "h", "v").join(wanted, ["kind", "h"], "left_semi").groupBy("kind", "h").agg(F.first("v").alias("v")))
     left, right = (chosen.select("kind", F.col("h").alias(f"h_{x}"), F.col("v").alias(f"v_{x}")) for x in "ab")
     return candidates.join(left, ["kind", "h_a"]).join(right, ["kind", "h_b"]).select("kind", "h_a", "h_b", cosine("v_a", "v_b").alias("similarity")).where(F.col("similarity") >= similarity - 1e-9)
 
@@ -355,11 +388,11 @@ def similar_pairs(vectors: DataFrame, similarity: float = 0.9) -> DataFrame:
     ids are searched once, and expanded only here at the end, which the result's columns require.
     """
     found = similar_classes(vectors, similarity).select("kind", "h_a", "h_b")
-    members = cut(vectors.select("kind", "h", "id").distinct())
+    members = _kept(vectors.select("kind", "h", "id").distinct())
     a = members.select("kind", F.col("h").alias("h_a"), F.col("id").alias("a"))
     b = members.select("kind", F.col("h").alias("h_b"), F.col("id").alias("b"))
     across = found.join(a, ["kind", "h_a"]).join(b, ["kind", "h_b"]).select("kind", "a", "b")
-    several = cut(members.groupBy("kind", "h").count().where("count > 1").select("kind", "h"))
+    several = _kept(members.groupBy("kind", "h").count().where("count > 1").select("kind", "h"))
     copies = members.join(several, ["kind", "h"], "left_semi")
     within = copies.select("kind", "h", F.col("id").alias("a")).join(copies.select("kind", "h", F.col("id").alias("b")), ["kind", "h"]).where("a < b").select("kind", "a", "b")
     both = across.union(within)

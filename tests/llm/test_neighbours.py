@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 import pytest
@@ -60,6 +61,46 @@ def test_every_code_within_the_radius_is_retrieved_once(probe):
     assert sorted(got) == sorted((int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(near, 1))))
 
 
+@pytest.mark.parametrize("probe", [1, 2])
+def test_pieces_of_a_split_index_retrieve_every_code_once(probe):
+    rng = np.random.default_rng(6)
+    plan = N.Plan(8, 3, probe, 1, 2)
+    code = rng.integers(0, 1 << 24, 600).astype(np.uint64)
+    h = np.arange(600)
+    got = []
+    for j in range(3):
+        for piece in range(probe + 1):
+            part = (code >> np.uint64(j * 8 + piece * 2)) & np.uint64(3)
+            for p in range(4):
+                c, n = code[part == p], h[part == p]
+                for a, b in N.pairs_in_index(c, n, c, n, True, j, 6, probe, plan, block=50, piece=piece):
+                    got += [tuple(sorted(x)) for x in zip(a.tolist(), b.tolist())]
+    near = np.bitwise_count(code[:, None] ^ code[None, :]) <= plan.radius
+    assert sorted(got) == sorted((int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(near, 1))))
+
+
+def test_few_index_rows_are_on_disk_at_once(spark, vectors, monkeypatch):
+    df = N.usable_vectors(frame(spark, vectors), "id", "k")
+    tiled, sent = N._tiled, []
+    monkeypatch.setattr(N, "_tiled", lambda rows, plan: (sent.append(rows.count()), tiled(rows, plan))[1])
+    split = {(r["h_a"], r["h_b"]) for r in N.similar_classes(df, 0.9, N.Plan(12, 2, 1, 1, 3)).collect()}
+    whole = {(r["h_a"], r["h_b"]) for r in N.similar_classes(df, 0.9, N.Plan(12, 2, 1)).collect()}
+    assert split and split == whole
+    assert len(sent) > 1 and max(sent) <= 24 * df.select("h").distinct().count()
+
+
+def test_shuffle_files_go_when_the_checkpoint_stands(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {x for x in files.getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
+    before = shuffled()
+    kept = N._kept(spark.range(1000).repartition(4, "id"))
+    for _ in range(100):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before and kept.count() == 1000
+
+
 @pytest.mark.parametrize("norm", [0.02, 0.67, 0.85])
 def test_recall_does_not_fall_when_vectors_have_a_common_mean(norm):
     rng = np.random.default_rng(5)

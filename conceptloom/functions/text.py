@@ -114,7 +114,12 @@ def singular(token: Column) -> Column:
 def normalize_name(c: Column | str, singularize: bool = False, compat: bool = False) -> Column:
     """A name as lower-case words, singular if asked for."""
     name = _separate(F.lower(_text(c, compat)))
-    return F.array_join(F.transform(F.split(name, " "), singular), " ") if singularize else name
+    return singular_words(name) if singularize else name
+
+
+def singular_words(name: Column) -> Column:
+    """T4: a normalised name with each word singular."""
+    return F.array_join(F.transform(F.split(name, " "), singular), " ")
 
 
 def name_keys(c: Column | str, compat: bool = False) -> Column:
@@ -151,13 +156,14 @@ def words_of(c: Column) -> Column:
     return F.array_distinct(F.filter(F.split(c, " "), lambda w: w != ""))
 
 
-def _jaccard(a: Column, b: Column) -> Column:
+def jaccard(a: Column, b: Column) -> Column:
+    """Shared part of two arrays of distinct words."""
     return F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)))
 
 
 def token_jaccard(a: Column | str, b: Column | str, compat: bool = False) -> Column:
     """Shared part of the singular words of two names."""
-    return _jaccard(words_of(normalize_name(a, True, compat)), words_of(normalize_name(b, True, compat)))
+    return jaccard(words_of(normalize_name(a, True, compat)), words_of(normalize_name(b, True, compat)))
 
 
 def content_words(c: Column | str, stops: list[str], shortest: int, singularize: bool = False, compat: bool = False) -> Column:
@@ -168,7 +174,7 @@ def content_words(c: Column | str, stops: list[str], shortest: int, singularize:
 
 def definition_overlap(a: Column | str, b: Column | str, compat: bool = False) -> Column:
     """Shared part of the content words of two definitions."""
-    return _jaccard(content_words(a, DEFINITION_STOPS, 3, False, compat), content_words(b, DEFINITION_STOPS, 3, False, compat))
+    return jaccard(content_words(a, DEFINITION_STOPS, 3, False, compat), content_words(b, DEFINITION_STOPS, 3, False, compat))
 
 
 def section_compatible(section: Column, others: Column) -> Column:
@@ -227,7 +233,7 @@ def anchored(rows: DataFrame, terms: str, quote: str, evidence_type: str) -> Dat
         {
             "_named": F.coalesce(F.exists(F.col(f"{terms}.plain"), lambda n: has_phrase(n, F.col("_q"))), F.lit(False)),
             "_coverage": _coverage(F.col(f"{terms}.telling"), F.col("_w")),
-            "_overlap": F.coalesce(_jaccard(F.col("_c"), F.col(f"{terms}.content")), F.lit(0.0)),
+            "_overlap": F.coalesce(jaccard(F.col("_c"), F.col(f"{terms}.content")), F.lit(0.0)),
         }
     )
     kind = (
@@ -418,6 +424,25 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "").ratio() for x, y in zip(a, b)])
 
 
+def can_reach(a: str, b: str, floor: float) -> Column:
+    """Whether the lengths of two strings allow a ratio of ``floor``."""
+    return 2.0 * F.least(F.length(a), F.length(b)) >= (floor - 1e-9) * (F.length(a) + F.length(b))
+
+
+def sequence_ratio_from(floor: float):
+    """The ratio where it can reach ``floor`` by the letters of both strings, else null; letters alone rule out most pairs."""
+
+    @F.pandas_udf(K.DoubleType())
+    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(a, b):
+            m = difflib.SequenceMatcher(None, x or "", y or "")
+            out.append(m.ratio() if m.quick_ratio() >= floor else None)
+        return pd.Series(out, dtype="float64")
+
+    return ratio
+
+
 def snippet(text: Column, terms: Column, before: int = 180, width: int = 900) -> Column:
     """A window of a text around the earliest of some terms; its beginning if none occurs."""
     at = F.array_min(F.filter(F.transform(terms, lambda t: F.position(F.lower(t), F.lower(text))), lambda p: p > 0))

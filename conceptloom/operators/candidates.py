@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..session import HOT_ROWS, cut, hot_keys, salted_lookup
+from ..session import HOT_ROWS, cut, hot_keys, salted_lookup, spread, stored
+
+# Least share of words of a sure name, and least ratio by which a rival can pass one of 0.93 with all it gets for sections and definitions.
+SURE_WORDS, RIVAL_RATIO = 0.75, 0.86 - 1e-9
 
 
 def phrase_hits(texts: DataFrame, key: str, text: str, phrases: DataFrame, most_words: int = 6, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -149,6 +152,22 @@ def best_content(texts: DataFrame, key: str, text: str, registry: DataFrame, bes
     return top_per_key(scores, [key], [F.desc("score"), "concept_id"], best).drop("place")
 
 
+def likely_names(local: DataFrame, names: DataFrame) -> DataFrame:
+    """``local_id``, ``concept_id``, ``a``, ``b``: names of one chapter that share ``SURE_WORDS`` of their words, and whose lengths allow a ratio of 0.93.
+
+    local: ``local_id``, ``chapter``, ``name`` (normalised, singular); names: the same with ``concept_id``. A name with that share has one of
+    the local name's rarest words, as many as it may lack and one more, so pairs come from an equi-join on these and not from all names of a chapter.
+    """
+    each = names.select("concept_id", "chapter", F.col("name").alias("b"), F.explode(T.words_of(F.col("name"))).alias("w"))
+    counts = each.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    said = local.select("local_id", "chapter", F.col("name").alias("a"), F.explode(T.words_of(F.col("name"))).alias("w")).join(counts, "w", "left")
+    ranked = said.groupBy("local_id", "chapter", "a").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "w"))).alias("_o"))
+    some = F.size("_o") - F.ceil(F.lit(SURE_WORDS) * F.size("_o") - 1e-9).cast("int") + 1
+    asked = ranked.select("local_id", "chapter", "a", F.explode(F.slice("_o", F.lit(1), some)).alias("_o")).select("local_id", "chapter", "a", "_o.w")
+    pairs = asked.join(each, ["chapter", "w"]).where(T.can_reach("a", "b", 0.93)).select("local_id", "concept_id", "a", "b").distinct()
+    return pairs.where(T.jaccard(T.words_of(F.col("a")), T.words_of(F.col("b"))) >= SURE_WORDS)
+
+
 def align(local: DataFrame, registry: DataFrame) -> DataFrame:
     """``local_id``, ``concept_id``, ``method``, ``score`` for every local name.
 
@@ -157,39 +176,42 @@ def align(local: DataFrame, registry: DataFrame) -> DataFrame:
     by section, then by a gap of 0.25 in definitions; the rest is compared by strict string ratios within its
     chapter. What stays open is UNMAPPED.
     """
-    all_names = lambda name: F.concat(F.array(name), F.coalesce("aliases", F.array().cast("array<string>")))
-    keys = registry.select("concept_id", F.explode(all_names("canonical_name")).alias("n")).select("concept_id", F.explode(T.name_keys("n")).alias("k")).distinct()
-    asked = local.select("local_id", F.explode(all_names("name")).alias("n")).select("local_id", F.explode(T.name_keys("n")).alias("k")).distinct()
-    hits = asked.join(keys, "k").select("local_id", "concept_id").distinct()
+    local, registry = stored(local, "local"), stored(registry, "registry")
+    all_names = lambda name: F.explode(F.concat(F.array(name), F.coalesce("aliases", F.array().cast("array<string>"))))
+    # Names are normalised once each, not once a key or pair.
+    plain = lambda df, key, name: stored(spread(df).select(key, "chapter", all_names(name).alias("n")).select(key, "chapter", T.normalize_name("n").alias("plain")).where("plain <> ''"), "names")
+    mine, theirs = plain(local, "local_id", "name"), plain(registry, "concept_id", "canonical_name")
+    keyed = lambda df, key: df.select(key, F.explode(F.array_distinct(F.array("plain", T.singular_words(F.col("plain"))))).alias("k")).distinct()
+    hits = stored(keyed(mine, "local_id").join(keyed(theirs, "concept_id"), "k").select("local_id", "concept_id").distinct(), "hits")
     facts = registry.select("concept_id", "short_definition", "sections")
-    judged = hits.join(local.select("local_id", "section", "definition"), "local_id").join(facts, "concept_id").select(
+    # One hit stands as it is; only several are told apart by definitions.
+    found = hits.groupBy("local_id").agg(F.count(F.lit(1)).alias("n"), F.min("concept_id").alias("concept_id"))
+    single = found.where("n = 1").select("local_id", "concept_id", F.lit("EXACT_NAME_OR_ALIAS").alias("method"), F.lit(1.0).alias("score"))
+    several = hits.join(found.where("n > 1").select("local_id"), "local_id", "left_semi")
+    judged = several.join(local.select("local_id", "section", "definition"), "local_id").join(facts, "concept_id").select(
         "local_id", "concept_id", T.section_compatible(F.col("section"), F.col("sections")).cast("int").alias("s"), T.definition_overlap("definition", "short_definition").alias("d")
     )
     w = Window.partitionBy("local_id").orderBy(F.desc("s"), F.desc("d"), "concept_id")
     ranked = judged.select("*", F.row_number().over(w).alias("n"), F.lead("s").over(w).alias("s2"), F.lead("d").over(w).alias("d2")).where("n = 1")
     clear = (F.col("s") > F.col("s2")) | (F.col("d") - F.col("d2") >= 0.25)
-    exact = ranked.select(
-        "local_id", F.when(F.col("s2").isNull() | clear, F.col("concept_id")).alias("concept_id"),
-        F.when(F.col("s2").isNull(), "EXACT_NAME_OR_ALIAS").when(clear, "EXACT_DISAMBIGUATED").otherwise("AMBIGUOUS_EXACT").alias("method"),
-        F.when(F.col("s2").isNull(), 1.0).when(clear, 0.7 + 0.2 * F.col("s") + 0.1 * F.col("d")).otherwise(0.0).alias("score"),
-    )
-    left = local.join(exact.select("local_id"), "local_id", "left_anti")
-    pairs = left.select("local_id", "chapter", "section", "definition", F.explode(all_names("name")).alias("a")).join(
-        registry.select("concept_id", "chapter", "short_definition", "sections", F.explode(all_names("canonical_name")).alias("b")), "chapter"
-    )
-    a, b = T.normalize_name("a", True), T.normalize_name("b", True)
-    # No ratio of 0.93 is possible when lengths differ more than this; it keeps most pairs from Python.
-    close = pairs.where((a != "") & (b != "") & (F.abs(F.length(a) - F.length(b)) <= 0.15 * (F.length(a) + F.length(b)) / 2))
-    rated = close.select("local_id", "concept_id", "section", "definition", "short_definition", "sections", T.sequence_ratio(a, b).alias("r"), T.token_jaccard("a", "b").alias("j"))
-    best = rated.groupBy("local_id", "concept_id").agg(F.max(F.struct("r", "j")).alias("m"), F.first("section").alias("section"), F.first("definition").alias("definition"), F.first("short_definition").alias("short_definition"), F.first("sections").alias("sections"))
+    exact = single.union(ranked.select(
+        "local_id", F.when(clear, F.col("concept_id")).alias("concept_id"), F.when(clear, "EXACT_DISAMBIGUATED").otherwise("AMBIGUOUS_EXACT").alias("method"),
+        F.when(clear, 0.7 + 0.2 * F.col("s") + 0.1 * F.col("d")).otherwise(0.0).alias("score"),
+    ))
+    one = lambda df, key: df.select(key, "chapter", T.singular_words(F.col("plain")).alias("name")).distinct()
+    left, names = stored(one(mine.join(hits.select("local_id"), "local_id", "left_anti"), "local_id"), "left"), one(theirs, "concept_id")
+    # Only who has a name that is alike by its words and its letters can be mapped at all; all names of its chapter compete for it.
+    alike = stored(likely_names(left, names).where(T.sequence_ratio_from(0.93)("a", "b") >= 0.93).select("local_id").distinct(), "alike")
+    pairs = left.join(alike, "local_id", "left_semi").withColumnRenamed("name", "a").join(names.withColumnRenamed("name", "b"), "chapter").where(T.can_reach("a", "b", RIVAL_RATIO))
+    rated = pairs.select("local_id", "concept_id", T.sequence_ratio_from(RIVAL_RATIO)("a", "b").alias("r"), T.jaccard(T.words_of(F.col("a")), T.words_of(F.col("b"))).alias("j")).where("r IS NOT NULL")
+    best = rated.groupBy("local_id", "concept_id").agg(F.max(F.struct("r", "j")).alias("m")).join(local.select("local_id", "section", "definition"), "local_id").join(facts, "concept_id")
     bonus = 0.03 * T.section_compatible(F.col("section"), F.col("sections")).cast("int") + 0.04 * T.definition_overlap("definition", "short_definition")
     total = best.select("local_id", "concept_id", F.least(F.lit(1.0), F.col("m.r") + bonus).alias("t"), F.col("m.r").alias("r"), F.col("m.j").alias("j"))
     top = total.groupBy("local_id").agg(F.max(F.struct("t", "j", "r", "concept_id")).alias("x")).select("local_id", "x.*")
-    sure = ((F.col("r") >= 0.965) & (F.col("j") >= 0.75)) | ((F.col("r") >= 0.93) & (F.col("j") >= 0.85) & (F.col("t") >= 0.96))
+    sure = ((F.col("r") >= 0.965) & (F.col("j") >= SURE_WORDS)) | ((F.col("r") >= 0.93) & (F.col("j") >= 0.85) & (F.col("t") >= 0.96))
     fuzzy = top.where(sure).select("local_id", "concept_id", F.lit("HIGH_CONFIDENCE_FUZZY").alias("method"), F.round("t", 4).alias("score"))
-    done = exact.union(fuzzy)
-    rest = local.select("local_id").join(done.select("local_id"), "local_id", "left_anti")
-    return done.union(rest.select("local_id", F.lit(None).cast("string"), F.lit("UNMAPPED"), F.lit(0.0)))
+    told = local.select("local_id").join(exact.union(fuzzy), "local_id", "left")
+    return told.select("local_id", "concept_id", F.coalesce("method", F.lit("UNMAPPED")).alias("method"), F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
 def near_duplicates(names: DataFrame, key: str, name: str, stops: list[str]) -> DataFrame:

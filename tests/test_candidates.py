@@ -37,3 +37,29 @@ def test_registry_queries_equal_their_sql(spark, smallest, name):
     df = G.QUERIES[name](spark, smallest)
     assert sorted(df.columns) == sorted(names)
     assert sorted(tuple(str(r[c]) for c in names) for r in df.collect()) == want
+
+
+LOCAL = "local_id string, name string, aliases array<string>, section string, definition string, chapter string"
+REGISTRY = "concept_id string, canonical_name string, aliases array<string>, short_definition string, sections array<string>, chapter string"
+
+
+def test_alignment_lets_every_name_of_a_chapter_compete(spark):
+    base, words = "alpha beta gamma delta omega zeta kappa theta", "Fast lists keep many small records"
+    local = spark.createDataFrame(
+        [("L1", base, None, "1.1", words, "c1"), ("L2", base, None, "1.1", words, "c2"), ("L3", "Lazy Tables", ["LT"], "1.1", None, "c1"), ("L4", "Busy Ring", None, None, None, None), ("L5", None, None, None, None, "c1"), ("L6", "Shared Cell", None, "2", words, "c1")], LOCAL
+    )
+    near = base.replace("theta", "thete")
+    registry = spark.createDataFrame(
+        [
+            # Seven of eight words: sure by itself (L2), but a longer name with the same definition and section passes it (L1).
+            ("near1", near, None, None, ["9"], "c1"), ("near2", near, None, None, ["9"], "c2"), ("long1", base + " muon nu", None, words, ["1"], "c1"),
+            ("table", "Lazy Table", [None, ""], None, None, "c7"), ("key1", "Shared Cells", None, words, ["2.1"], "c1"), ("key2", "Other", ["Shared Cell"], None, ["3"], "c1"),
+        ],
+        REGISTRY,
+    )
+    got = {r["local_id"]: (r["concept_id"], r["method"], round(r["score"], 4)) for r in C.align(local, registry).collect()}
+    ratio = round(2 * 44 / 90, 4)
+    assert got == {
+        "L1": (None, "UNMAPPED", 0.0), "L2": ("near2", "HIGH_CONFIDENCE_FUZZY", ratio), "L3": ("table", "EXACT_NAME_OR_ALIAS", 1.0), "L4": (None, "UNMAPPED", 0.0),
+        "L5": (None, "UNMAPPED", 0.0), "L6": ("key1", "EXACT_DISAMBIGUATED", 1.0),
+    }

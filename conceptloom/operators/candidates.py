@@ -214,6 +214,23 @@ def align(local: DataFrame, registry: DataFrame) -> DataFrame:
     return told.select("local_id", "concept_id", F.coalesce("method", F.lit("UNMAPPED")).alias("method"), F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
+def probes(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """``a``, ``b``, ``concept_id``, ``chunk_id``: of each pair the chunks of the end that fewer chunks name, with the other end to be sought in them.
+
+    pairs: distinct ``a``, ``b``; named: distinct ``concept_id``, ``chunk_id``. A hub is in very many pairs and chunks; its chunks are never listed for each of its pairs.
+    """
+    counts = named.groupBy("concept_id").agg(F.count(F.lit(1)).alias("n"))
+    end = lambda x: counts.select(F.col("concept_id").alias(x), F.col("n").alias(f"_n{x}"))
+    first = F.col("_na") <= F.col("_nb")
+    rare = pairs.join(end("a"), "a").join(end("b"), "b").select("a", "b", F.when(first, F.col("a")).otherwise(F.col("b")).alias("_rare"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("_other"))
+    return rare.join(named.withColumnRenamed("concept_id", "_rare"), "_rare").select("a", "b", F.col("_other").alias("concept_id"), "chunk_id")
+
+
+def shared_chunks(pairs: DataFrame, named: DataFrame) -> DataFrame:
+    """``a``, ``b``, ``chunk_id``: the chunks that name both ends of a pair."""
+    return probes(pairs, named).join(named, ["concept_id", "chunk_id"], "left_semi").select("a", "b", "chunk_id")
+
+
 def near_duplicates(names: DataFrame, key: str, name: str, stops: list[str]) -> DataFrame:
     """``part``, ``whole`` - names of two or more words all of which another name has; by counting shared words."""
     w = names.select(F.col(key).alias("k"), T.content_words(name, stops, 1, True).alias("ws")).where(F.size("ws") >= 2)

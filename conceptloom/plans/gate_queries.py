@@ -11,7 +11,7 @@ from ..operators import candidates as C
 from ..operators import gates
 from ..operators import graph as G
 from ..operators import validate as K
-from ..session import table
+from ..session import stored, table
 from . import sqltext as S
 from . import views as V
 from .registry import registry
@@ -130,9 +130,8 @@ def pair_context(spark: SparkSession, base: str) -> DataFrame:
 
     r = V.relations(spark, base).where("source_concept_id <> target_concept_id")
     f = r.select(F.least("source_concept_id", "target_concept_id").alias("a"), F.greatest("source_concept_id", "target_concept_id").alias("b"), F.explode("evidence.chunk_id").alias("chunk_id")).withColumn("pri", F.lit(0))
-    m = V.mentions(spark, base, "concept_id", "chunk_id").select("concept_id", "chunk_id").distinct()
-    pairs = f.select("a", "b").distinct()
-    shared = pairs.join(m.withColumnRenamed("concept_id", "a"), "a").join(m.withColumnRenamed("concept_id", "b"), ["b", "chunk_id"]).select("a", "b", "chunk_id", F.lit(1).alias("pri"))
+    m = stored(V.mentions(spark, base, "concept_id", "chunk_id").select("concept_id", "chunk_id").distinct(), "named")
+    shared = C.shared_chunks(f.select("a", "b").distinct(), m).withColumn("pri", F.lit(1))
     u = f.union(shared).where("chunk_id IS NOT NULL").groupBy("a", "b", "chunk_id").agg(F.min("pri").alias("pri"))
     return top_per_key(u, ["a", "b"], ["pri", "chunk_id"], 3).drop("place")
 

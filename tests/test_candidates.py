@@ -63,3 +63,10 @@ def test_alignment_lets_every_name_of_a_chapter_compete(spark):
         "L1": (None, "UNMAPPED", 0.0), "L2": ("near2", "HIGH_CONFIDENCE_FUZZY", ratio), "L3": ("table", "EXACT_NAME_OR_ALIAS", 1.0), "L4": (None, "UNMAPPED", 0.0),
         "L5": (None, "UNMAPPED", 0.0), "L6": ("key1", "EXACT_DISAMBIGUATED", 1.0),
     }
+
+
+def test_chunks_of_a_hub_are_not_listed_for_each_of_its_pairs(spark):
+    named = spark.sql("SELECT 'hub' AS concept_id, concat('k', id) AS chunk_id FROM range(500) UNION ALL SELECT concat('c', id), concat('k', 2 * id) FROM range(500)")
+    pairs = spark.sql("SELECT concat('c', id) AS a, 'hub' AS b FROM range(500) UNION ALL SELECT 'c1', 'c2' UNION ALL SELECT 'hub', 'nowhere'")
+    assert C.probes(pairs, named).count() == 501
+    assert sorted(map(tuple, C.shared_chunks(pairs, named).collect())) == sorted((f"c{i}", "hub", f"k{2 * i}") for i in range(250))

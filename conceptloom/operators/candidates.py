@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from ..functions import text as T
 from ..session import HOT_ROWS, cut, hot_keys, salted_lookup, spread, stored
@@ -14,31 +16,77 @@ from ..session import HOT_ROWS, cut, hot_keys, salted_lookup, spread, stored
 SURE_WORDS, RIVAL_RATIO = 0.75, 0.86 - 1e-9
 
 
+def _rolled(words: list[np.ndarray]) -> np.ndarray:
+    """The hash of each gram from the hashes of its words in order."""
+    g = words[0]
+    for w in words[1:]:
+        g = g * np.uint64(0x9E3779B97F4A7C15) + w
+    return g
+
+
+@F.pandas_udf(LongType())
+def _gram(hashes: pd.Series) -> pd.Series:
+    size = hashes.str.len().to_numpy(dtype=np.int64)
+    flat, at, out = np.concatenate([np.empty(0, np.int64), *hashes]).view(np.uint64), np.cumsum(size) - size, np.empty(len(size), np.uint64)
+    for n in np.unique(size):
+        own = np.flatnonzero(size == n)
+        out[own] = _rolled([flat[at[own] + i] for i in range(n)])
+    return pd.Series(out.view(np.int64))
+
+
+def _bits(index: DataFrame, power: int) -> np.ndarray:
+    """A table of 2^power bits; those of the hashes ``_gram`` are set. It is aggregated before it is sent, so its size is all that the driver gets."""
+    place = F.shiftrightunsigned("_gram", 64 - power)
+    words = index.select(place.alias("_p")).select(F.shiftright("_p", 6).alias("w"), F.expr("shiftleft(1L, cast(_p & 63 AS int))").alias("b"))
+    got = words.groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    bits = np.zeros(1 << (power - 6), dtype=np.uint64)
+    bits[got.column("w").to_numpy()] = got.column("b").to_numpy().view(np.uint64)
+    return bits
+
+
+def _has(bits: np.ndarray, g: np.ndarray, power: int) -> np.ndarray:
+    p = g >> np.uint64(64 - power)
+    return (bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1
+
+
 def phrase_hits(texts: DataFrame, key: str, text: str, phrases: DataFrame, most_words: int = 6, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``key``, ``phrase`` for every phrase of a dictionary that stands in a text, between borders of letters and digits.
 
     phrases: ``phrase`` (normalised, distinct). Texts are cut into runs of letters and digits; a phrase whose runs
     are n words long meets the texts' n-grams in an equi-join on the hash of the gram, never in a nested loop.
     Only gram lengths that the dictionary has are made, up to ``most_words``; longer phrases meet their first
-    ``most_words`` words. The phrase itself, with its dots, plus and hash signs, is then verified in the text.
+    ``most_words`` words. A table of at most 2^27 bits, one for each gram's hash, rules out nearly all other grams where the text is
+    read. The phrase itself, with its dots, plus and hash signs, is then verified in the text.
     """
-    runs = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != "")
-    probe = phrases.withColumn("_w", runs(F.col("phrase"))).where(F.size("_w") > 0).withColumn("_n", F.least(F.size("_w"), F.lit(most_words)))
-    probe = probe.select("phrase", "_n", F.xxhash64(F.array_join(F.slice("_w", 1, F.col("_n")), " ")).alias("_gram"))
+    hashes = lambda c: F.transform(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
+    probe = phrases.withColumn("_h", hashes(F.col("phrase"))).where(F.size("_h") > 0).withColumn("_n", F.least(F.size("_h"), F.lit(most_words)))
+    probe = cut(probe.select("phrase", "_n", _gram(F.slice("_h", 1, F.col("_n"))).alias("_gram")))
     # Phrases with one gram share a row of the index, which has one row per gram.
     index = cut(probe.groupBy("_gram").agg(F.collect_set("phrase").alias("_phrases")))
-    lengths = [r[0] for r in probe.select("_n").distinct().collect()]
-    normal = texts.select(key, T.normalize_search(text).alias("_t"))
-    words = normal.withColumn("_w", runs(F.col("_t")))
-
-    def grams_of(n: int) -> Column:
-        places = F.sequence(F.lit(1), F.greatest(F.size("_w") - n + 1, F.lit(1)))
-        return F.transform(places, lambda i: F.xxhash64(F.array_join(F.slice("_w", i, n), " ")))
-
-    grams = [grams_of(n) for n in sorted(lengths)]
-    if not grams:
+    lengths = sorted(r[0] for r in probe.select("_n").distinct().collect())
+    normal = stored(texts.select(key, T.normalize_search(text).alias("_t")), "texts")
+    if not lengths:
         return normal.select(key, F.lit("").alias("phrase")).limit(0)
-    each = words.select(key, F.explode(F.array_distinct(F.flatten(F.array(*grams)))).alias("_gram"))
+    power = min(27, max(10, (64 * index.count()).bit_length()))
+    known = texts.sparkSession.sparkContext.broadcast(_bits(index, power))
+
+    def grams(batches):
+        for batch in batches:
+            at, flat = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy(zero_copy_only=False).view(np.uint64)
+            flat, at = flat[at[0] : at[-1]], at - at[0]
+            rows = np.repeat(np.arange(len(batch)), np.diff(at))
+            left = at[rows + 1] - np.arange(len(rows))
+            found = []
+            for n in lengths:
+                starts = np.flatnonzero(left >= n)
+                g = _rolled([flat[starts + i] for i in range(n)])
+                hit = _has(known.value, g, power)
+                found.append(pd.DataFrame({"row": rows[starts[hit]], "gram": g[hit]}))
+            each = pd.concat(found).drop_duplicates()
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(each["row"].to_numpy())), pa.array(each["gram"].to_numpy().view(np.int64))], [key, "_gram"])
+
+    kind = next(f.dataType.simpleString() for f in texts.schema if f.name == key)
+    each = normal.select(key, hashes(F.col("_t")).alias("_h")).mapInArrow(grams, f"{key} {kind}, _gram bigint")
     # Grams move once: what the index does not have is gone before the rows are counted and looked up.
     kept = cut(each.join(index.select("_gram"), "_gram", "left_semi"))
     counts = cut(kept.groupBy("_gram").agg(F.count(F.lit(1)).alias("n")))
@@ -69,7 +117,7 @@ def named_concepts(texts: DataFrame, key: str, text: str, registry: DataFrame) -
 
     registry: ``concept_id``, ``names`` (array). Names shorter than three characters are not sought.
     """
-    names = registry.select("concept_id", F.explode("names").alias("n")).select("concept_id", T.normalize_name("n").alias("phrase")).where(F.length("phrase") >= 3).distinct()
+    names = stored(registry.select("concept_id", F.explode("names").alias("n")).select("concept_id", T.normalize_name("n").alias("phrase")).where(F.length("phrase") >= 3).distinct(), "names")
     hits = phrase_hits(texts, key, text, names.select("phrase").distinct()).join(names, "phrase")
     return hits.groupBy(key, "concept_id").agg(F.max(F.size(F.split("phrase", " "))).alias("words"))
 
@@ -84,15 +132,35 @@ def chapter_candidates(chunks: DataFrame, points: DataFrame, used: DataFrame, co
     """
     from .merge import top_per_key
 
-    own = F.array_distinct(F.array_compact(F.coalesce("sections", F.array().cast("array<string>"))))
-    at = chunks.select("chunk_id", "chapter_id", "primary_section", F.explode(F.when(F.size(own) > 0, own).otherwise(F.array("primary_section"))).alias("section"))
-    here = at.join(points, ["chapter_id", "section"]).groupBy("chunk_id", "concept_id").agg((F.lit(100) + 20 * F.count_if(F.col("section") == F.col("primary_section"))).cast("int").alias("score"))
-    there = at.join(used, ["chapter_id", "section"]).select("chunk_id", "concept_id", F.lit(80).alias("score")).distinct()
-    chapters = concepts.select("concept_id", F.col("chapter_id").alias("_chapter"))
-    named = named_concepts(chunks, "chunk_id", "text", concepts).join(chapters, "concept_id").join(chunks.select("chunk_id", "chapter_id"), "chunk_id").where("_chapter = chapter_id").select("chunk_id", "concept_id", F.lit(120).alias("score"))
-    scores = here.union(there).union(named).groupBy("chunk_id", "concept_id").agg(F.max("score").alias("score"))
-    titled = scores.join(concepts.select("concept_id", "canonical_name"), "concept_id")
-    return top_per_key(titled, ["chunk_id"], [F.desc("score"), F.desc_nulls_last("canonical_name"), "concept_id"], best).select("chunk_id", "concept_id", "score")
+    by_name = [F.desc_nulls_last("canonical_name"), "concept_id"]
+    own = F.array_sort(F.array_distinct(F.array_compact(F.coalesce("sections", F.array().cast("array<string>")))))
+    placed = chunks.select("chunk_id", "chapter_id", "primary_section", own.alias("_own")).withColumn("_place", F.to_json(F.struct("chapter_id", "primary_section", "_own")))
+    # Chunks of the same sections get the same list, and what is not among the best of a section's points or uses is not among a list's best.
+    places = placed.select("_place", "chapter_id", "primary_section", "_own").distinct()
+    at = places.select("_place", "chapter_id", "primary_section", F.explode(F.when(F.size("_own") > 0, F.col("_own")).otherwise(F.array("primary_section"))).alias("section"))
+    titles = concepts.select("concept_id", "canonical_name")
+    counted = points.groupBy("chapter_id", "section", "concept_id").agg(F.count(F.lit(1)).alias("n")).join(titles, "concept_id")
+    firsts = lambda df, order, score, primary: top_per_key(df, ["chapter_id", "section"], order, best).select("chapter_id", "section", "concept_id", "canonical_name", score.cast("int").alias("score"), F.lit(primary).alias("_primary"))
+    best_of = firsts(counted, [F.desc("n"), *by_name], 100 + 20 * F.col("n"), True).union(firsts(counted, by_name, F.lit(100), False)).union(firsts(used.distinct().join(titles, "concept_id"), by_name, F.lit(80), False))
+    scored = at.join(best_of, ["chapter_id", "section"]).where(~F.col("_primary") | (F.col("section") == F.col("primary_section"))).groupBy("_place", "concept_id", "canonical_name").agg(F.max("score").alias("score"))
+    item = F.struct("score", "canonical_name", "concept_id")
+    lists = top_per_key(scored, ["_place"], [F.desc("score"), *by_name], best).groupBy("_place").agg(F.array_sort(F.collect_list(F.struct("place", item.alias("x")))).alias("_l")).select("_place", F.col("_l.x").alias("_listed"))
+    chapters = concepts.select("concept_id", "canonical_name", F.col("chapter_id").alias("_chapter"))
+    named = named_concepts(chunks, "chunk_id", "text", concepts).join(chapters, "concept_id").join(chunks.select("chunk_id", "chapter_id"), "chunk_id").where("_chapter = chapter_id")
+    told = named.withColumn("score", F.lit(120)).groupBy("chunk_id").agg(F.collect_list(item).alias("_named"))
+    # Both arrays meet where the chunk is: no chunk's candidates are rows before they are its best.
+    both = placed.select("chunk_id", "_place").join(told, "chunk_id", "left").join(lists, "_place", "left")
+    none = F.array().cast("array<struct<score:int,canonical_name:string,concept_id:string>>")
+    both = both.select("chunk_id", F.coalesce("_named", none).alias("_named"), F.coalesce("_listed", none).alias("_listed"))
+    high = F.transform(F.filter("_listed", lambda x: x["score"] >= 120), lambda x: x["concept_id"])
+    new = F.filter("_named", lambda x: ~F.array_contains(high, x["concept_id"]))
+    rest = F.filter("_listed", lambda x: (x["score"] >= 120) | ~F.array_contains(F.transform("_named", lambda y: y["concept_id"]), x["concept_id"]))
+    order = lambda x, y: (
+        F.when(x["score"] != y["score"], y["score"] - x["score"]).when(x["canonical_name"].isNull() != y["canonical_name"].isNull(), F.when(x["canonical_name"].isNull(), 1).otherwise(-1))
+        .when(x["canonical_name"] > y["canonical_name"], -1).when(x["canonical_name"] < y["canonical_name"], 1).when(x["concept_id"] < y["concept_id"], -1).when(x["concept_id"] > y["concept_id"], 1).otherwise(0)
+    )
+    merged = F.when(F.size("_named") == 0, F.col("_listed")).otherwise(F.slice(F.array_sort(F.concat(new, rest), order), 1, best))
+    return both.select("chunk_id", F.explode(merged).alias("x")).select("chunk_id", "x.concept_id", "x.score")
 
 
 def _best_shared(registry: pd.DataFrame, texts: pd.DataFrame, best: int) -> pd.DataFrame:

@@ -11,7 +11,7 @@ from ..operators import gates as K
 from ..operators import hierarchy as H
 from ..operators import typing as R
 from ..operators.validate import RELATIONS
-from ..session import table
+from ..session import spread, stored, table
 from . import sqltext as S
 from . import views as V
 from .registry import registry
@@ -247,8 +247,8 @@ u AS (SELECT chunk_id, concept_id, max(score)::INT AS score FROM (SELECT * FROM
 SELECT chunk_id, concept_id, score FROM u JOIN g_concept USING (concept_id) QUALIFY row_number() OVER (PARTITION BY chunk_id ORDER BY score DESC, canonical_name DESC NULLS LAST, concept_id) <= 24""")
 def chapter_candidates(spark: SparkSession, base: str) -> DataFrame:
     """The 24 best concepts of each chunk within its chapter: defined in its sections, used there, or named in its text."""
-    c = V.concepts(spark, base, "canonical_name", "aliases", "chapter_id").select("concept_id", "canonical_name", "chapter_id", _names().alias("names"))
-    k = V.chunks(spark, base, "chapter_id", "primary_section", "sections", "text")
+    c = spread(stored(V.concepts(spark, base, "canonical_name", "aliases", "chapter_id").select("concept_id", "canonical_name", "chapter_id", _names().alias("names")), "concepts"))
+    k = stored(V.chunks(spark, base, "chapter_id", "primary_section", "sections", "text"), "chunks")
     where = k.select("chunk_id", "chapter_id", F.col("primary_section").alias("section")).where("section IS NOT NULL")
     m = V.mentions(spark, base, "evidence_type").join(where, "chunk_id").select("concept_id", "chapter_id", "section", "evidence_type").distinct()
     points = m.where("evidence_type = 'definition'").select("concept_id", "chapter_id", "section").distinct()

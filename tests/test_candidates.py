@@ -70,3 +70,18 @@ def test_chunks_of_a_hub_are_not_listed_for_each_of_its_pairs(spark):
     pairs = spark.sql("SELECT concat('c', id) AS a, 'hub' AS b FROM range(500) UNION ALL SELECT 'c1', 'c2' UNION ALL SELECT 'hub', 'nowhere'")
     assert C.probes(pairs, named).count() == 501
     assert sorted(map(tuple, C.shared_chunks(pairs, named).collect())) == sorted((f"c{i}", "hub", f"k{2 * i}") for i in range(250))
+
+
+def test_chapter_candidates_equal_their_sql_and_only_known_grams_leave_the_texts(spark, smallest):
+    con = duckdb.connect()
+    for path in glob.glob(f"{smallest}/*.parquet"):
+        con.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM read_parquet('{path}')")
+    for name in ("chapter_candidates", "pair_context"):
+        cursor = con.execute(entry.oracle_sql()[name])
+        names = [d[0] for d in cursor.description]
+        want = sorted(tuple(map(str, r)) for r in cursor.fetchall())
+        assert sorted(tuple(str(r[c]) for c in names) for r in entry.queries()[name](spark, smallest).collect()) == want
+    index = spark.range(1000).selectExpr("xxhash64(id) AS _gram")
+    bits = C._bits(index, 16)
+    has = lambda df: C._has(bits, df.toPandas()["_gram"].to_numpy().view("uint64"), 16)
+    assert has(index).all() and has(spark.range(1000, 3000).selectExpr("xxhash64(id) AS _gram")).mean() < 0.05

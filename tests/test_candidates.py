@@ -85,3 +85,9 @@ def test_chapter_candidates_equal_their_sql_and_only_known_grams_leave_the_texts
     bits = C._bits(index, 16)
     has = lambda df: C._has(bits, df.toPandas()["_gram"].to_numpy().view("uint64"), 16)
     assert has(index).all() and has(spark.range(1000, 3000).selectExpr("xxhash64(id) AS _gram")).mean() < 0.05
+
+
+def test_align_report_counts_each_local_name_once(spark, smallest):
+    rows = entry.queries()["align_all"](spark, smallest).groupBy("method").count().collect()
+    report = {r["method"]: r["n"] for r in entry.queries()["align_report"](spark, smallest).collect()}
+    assert report == {r["method"]: r["count"] for r in rows} and sum(report.values()) == G._local(spark, smallest).count()
